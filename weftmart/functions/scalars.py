@@ -2,9 +2,23 @@
 
 from __future__ import annotations
 
+import datetime as dt
+from typing import Any
+
 from pyspark.sql import Column, functions as F
 
 
+def literal(value: Any) -> Column:
+    """A literal; a time without a zone stays one, whatever the zones of driver and session.
+
+    Comparing a zone-less column with a zoned literal would cast the column and keep the filter from
+    reaching the scan.
+    """
+    if isinstance(value, dt.datetime) and value.tzinfo is None:
+        return F.lit(value.isoformat(sep=" ")).cast("timestamp_ntz")
+    return F.lit(value)
+
+
 def render_in_zone(ts: Column, zone: str, source_zone: str = "UTC") -> Column:
     """The wall-clock time of ``zone`` for a wall-clock time of ``source_zone``."""
     return F.convert_timezone(F.lit(source_zone), F.lit(zone), ts)

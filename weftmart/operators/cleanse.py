@@ -8,6 +8,7 @@ from typing import Any
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from weftmart.functions.scalars import literal
 from weftmart.functions.types import DEFAULT_DATE_FORMAT, RECOERCED_TYPES, ZERO_DATE, default_value, parse_type, spark_type
 from weftmart.operators.project import named
 
@@ -82,7 +83,7 @@ def replace_missing(
         if value is None:
             continue
         kind = df.schema[column].dataType
-        changed[column] = F.when(missing(named(column), kind, blank), F.lit(value).cast(kind)).otherwise(named(column))
+        changed[column] = F.when(missing(named(column), kind, blank), literal(value).cast(kind)).otherwise(named(column))
     return df.withColumns(changed) if changed else df
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from weftmart.functions.types import normalise_source_type, parse_type, spark_type
 from weftmart.operators.diff import key_violations
-from weftmart.operators.joins import exclude
+from weftmart.operators.joins import exclude, keep_matching
 from weftmart.operators.project import named
 from weftmart.spec import PK, SK, TRANSACTION, ColumnMap, WarehouseSpec
 
@@ -99,11 +99,4 @@ def tag_incremental(spec: WarehouseSpec, previous_kind: str | None = None) -> Wa
 
 def purge_orphans(df: DataFrame, parent: DataFrame, on: Mapping[str, str]) -> DataFrame:
     """Rows whose parent key still exists."""
-    keys = parent.select(*[named(b).alias(f"__p_{i}") for i, b in enumerate(on.values())])
-    condition = F.lit(True)
-    for i, a in enumerate(on):
-        equal = named(a) == F.col(f"__p_{i}")
-        condition = equal if i == 0 else condition & equal
-    return df.join(keys, condition, "left_semi")
-
-
+    return keep_matching(df, parent, on)

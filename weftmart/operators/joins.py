@@ -112,10 +112,24 @@ def deleted_rows(warehouse: DataFrame, source_keys: DataFrame, keys: Sequence[st
     return gone.withColumn(DELETE_INDICATOR, F.lit(True))
 
 
+def _partner_keys(other: DataFrame, on: Mapping[str, str]) -> tuple[DataFrame, Column]:
+    """Key columns of the other side, each key once, and the join condition.
+
+    Repeats are removed in each task before the shuffle, so a key that holds a large part of the other
+    side reaches its join task as one row. The join reuses the partitioning of that step.
+    """
+    keys = other.select(*[named(b).alias(f"__x_{i}") for i, b in enumerate(on.values())]).distinct()
+    return keys, _matching([(a, f"__x_{i}") for i, a in enumerate(on)])
+
+
 def exclude(df: DataFrame, other: DataFrame, on: Mapping[str, str]) -> DataFrame:
     """Rows without a partner; a null key has none and stays."""
-    right = other.select(*[named(b).alias(f"__x_{i}") for i, b in enumerate(on.values())])
-    return df.join(right, _matching([(a, f"__x_{i}") for i, a in enumerate(on)]), "left_anti")
+    return df.join(*_partner_keys(other, on), "left_anti")
+
+
+def keep_matching(df: DataFrame, other: DataFrame, on: Mapping[str, str]) -> DataFrame:
+    """Rows with a partner, each once."""
+    return df.join(*_partner_keys(other, on), "left_semi")
 
 
 def not_in(df: DataFrame, column: str, other: DataFrame, other_column: str) -> DataFrame:
@@ -140,8 +154,8 @@ def flag_matches(df: DataFrame, existing: DataFrame, keys: Sequence[str], flag:
 
 def match_split(df: DataFrame, existing: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
     """(rows to update, rows to insert)."""
-    known = existing.select(*[named(k) for k in keys])
-    return df.join(known, list(keys), "left_semi"), df.join(known, list(keys), "left_anti")
+    on = {k: k for k in keys}
+    return keep_matching(df, existing, on), exclude(df, existing, on)
 
 
 def inner_chain(first: DataFrame, others: Sequence[tuple[DataFrame, Sequence[tuple[str, str]]]]) -> DataFrame:

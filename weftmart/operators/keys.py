@@ -60,24 +60,35 @@ def running_number(df: DataFrame, keys: Sequence[str], order: Sequence[str], ali
     # a key has at most one piece per partition
     before = Window.partitionBy(*[named(k) for k in keys]).orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
     pieces = pieces.select(
-        _PART, *[named(k) for k in keys], "__first", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__offset")
+        F.col(_PART).alias("__p"),
+        *[named(k).alias(f"__k_{i}") for i, k in enumerate(keys)],
+        "__first",
+        F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__offset"),
     )
-    numbered = placed.join(pieces, [_PART, *keys])
+    same_piece = F.col(_PART) == F.col("__p")
+    for i, k in enumerate(keys):
+        # rows without a key are numbered as a group of their own
+        same_piece = same_piece & named(k).eqNullSafe(F.col(f"__k_{i}"))
+    numbered = placed.join(pieces, same_piece)
     number = F.col("__offset") + F.col(_POS) - F.col("__first") + 1
     return numbered.select(*[named(c) for c in df.columns], number.cast("bigint").alias(alias))
 
 
-def surrogate_keys(incoming: DataFrame, existing: DataFrame | None, keys: Sequence[str], name: str) -> DataFrame:
-    """Add the surrogate key column: known keys keep theirs, new ones follow the greatest in key order."""
-    key_columns = [named(k) for k in keys]
-    fresh = incoming.select(*key_columns).distinct()
+def new_surrogate_keys(incoming: DataFrame, existing: DataFrame | None, keys: Sequence[str], name: str) -> DataFrame:
+    """Keys the target does not have yet, numbered in key order from its greatest surrogate key on."""
+    fresh = incoming.select(*[named(k) for k in keys]).distinct()
     if existing is None:
-        assigned = global_number(fresh, keys, name)
-    else:
-        known = existing.select(*key_columns, named(name).cast("bigint").alias(name))
-        greatest = known.agg(F.coalesce(F.max(name), F.lit(0))).scalar()
-        fresh = fresh.join(known, list(keys), "left_anti")
-        assigned = known.unionByName(global_number(fresh, keys, name, start=greatest))
+        return global_number(fresh, keys, name)
+    greatest = existing.agg(F.coalesce(F.max(named(name)), F.lit(0))).scalar()
+    fresh = fresh.join(existing.select(*[named(k) for k in keys]), list(keys), "left_anti")
+    return global_number(fresh, keys, name, start=greatest)
+
+
+def surrogate_keys(incoming: DataFrame, existing: DataFrame | None, keys: Sequence[str], name: str) -> DataFrame:
+    """Add the surrogate key column: known keys keep theirs, new ones are numbered. Cleanse keys first."""
+    assigned = new_surrogate_keys(incoming, existing, keys, name)
+    if existing is not None:
+        assigned = existing.select(*[named(k) for k in keys], named(name).cast("bigint").alias(name)).unionByName(assigned)
     return incoming.join(assigned, list(keys), "left_outer")
 
 

@@ -11,7 +11,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from weftmart.functions.scalars import render_in_zone
+from weftmart.functions.scalars import literal, render_in_zone
 from weftmart.operators.project import DELETE_INDICATOR, named
 from weftmart.session import materialise, write_table
 
@@ -24,7 +24,7 @@ Stamp = tuple[dt.datetime, str]
 
 
 def _stamp_columns(stamp: Stamp) -> dict[str, Column]:
-    when, user = F.lit(stamp[0]).cast("timestamp_ntz"), F.lit(stamp[1])
+    when, user = literal(stamp[0]), F.lit(stamp[1])
     return {ADDED_DATE: when, ADDED_USER: user, UPDATED_DATE: when, UPDATED_USER: user}
 
 
@@ -46,6 +46,7 @@ def _merged(
     stamp: Stamp | None,
     hash_column: str | None,
     date_only: bool,
+    insert_only: Sequence[str] = (),
 ) -> DataFrame:
     """Target columns from rows that hold the old and the new version side by side."""
     old, new = F.col("__old"), F.col("__new")
@@ -65,6 +66,8 @@ def _merged(
             value = F.when(inserted, audit[c]).otherwise(old[c])
         elif c in (UPDATED_DATE, UPDATED_USER) and stamp:
             value = F.when(changed, audit[c]).otherwise(old[c])
+        elif c in insert_only:
+            value = F.when(inserted, new[c].cast(kind)).otherwise(old[c])
         elif c in given:
             value = F.when(changed, new[c].cast(kind)).otherwise(old[c])
         else:
@@ -81,12 +84,13 @@ def upsert(
     hash_column: str | None = None,
     date_only: bool = False,
     strategy: str = "bulk",
+    insert_only: Sequence[str] = (),
 ) -> DataFrame:
     """The target after merging incoming rows by key; both sides must be unique on the key.
 
     With ``hash_column`` a row whose checksum did not change stays as it is, its update time included.
-    Columns the incoming rows lack keep their old value. ``date_only`` stamps only the update time of
-    changed rows.
+    Columns the incoming rows lack keep their old value, and so do ``insert_only`` columns of known keys.
+    ``date_only`` stamps only the update time of changed rows.
 
     ``bulk`` shuffles each side once (full outer join). ``delta`` is for incoming sets much smaller than
     the target: all its joins have the incoming side on the right, so Catalyst broadcasts it when its
@@ -97,7 +101,7 @@ def upsert(
     given = [c for c in incoming.columns if c in columns]
     old = _packed(target, keys, columns, "__old")
     new = _packed(incoming, keys, given, "__new")
-    rest = (target, keys, given, stamp, hash_column, date_only)
+    rest = (target, keys, given, stamp, hash_column, date_only, insert_only)
     if strategy == "bulk":
         return _merged(old.join(new, keys, "full_outer"), *rest)
     if strategy != "delta":
@@ -152,12 +156,23 @@ def upsert_partitions(
     touched = [r[0] for r in incoming.select(named(partition_column)).distinct().collect()]
     affected = target.where(named(partition_column).isin(touched))
     merged = materialise(upsert(affected, incoming, keys, **options), "partitions")
-    by_partition = merged.repartition(named(partition_column), F.pmod(F.xxhash64(*[named(k) for k in keys]), F.lit(16)))
-    by_partition.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition_column).parquet(path)
+    sized = merged.hint("rebalance", named(partition_column))
+    sized.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition_column).parquet(path)
     spark.catalog.refreshByPath(path)
     return spark.read.schema(target.schema).parquet(path)
 
 
+def save_bucketed(df: DataFrame, name: str, path: str, keys: Sequence[str], buckets: int) -> DataFrame:
+    """Store a target as a catalogue table bucketed and sorted by its key, and return it.
+
+    An upsert into it, or a delete from it, then shuffles only the incoming side. One task writes one
+    bucket, so choose the count for buckets of a few hundred megabytes.
+    """
+    placed = df.repartition(buckets, *[named(k) for k in keys])
+    placed.write.mode("overwrite").option("path", path).bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(name)
+    return df.sparkSession.table(name)
+
+
 def merge_into(table: str, incoming: DataFrame, keys: Sequence[str], hash_column: str | None = None) -> None:
     """Upsert into a catalogue table whose connector supports row-level operations."""
     source = incoming.alias("source")

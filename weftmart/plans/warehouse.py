@@ -10,17 +10,17 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from typing import Any
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 
 from weftmart.functions.canonical import row_hash
-from weftmart.operators.aggregate import last_row
 from weftmart.operators.cleanse import coerce, replace_missing
 from weftmart.operators.diff import as_target, target_schema
-from weftmart.operators.joins import deleted_rows, lookup, resolve_foreign_keys
-from weftmart.operators.keys import CHANGE_HASH, SOURCE_HASH, surrogate_keys, with_key_text
+from weftmart.operators.joins import deleted_rows, resolve_foreign_keys
+from weftmart.operators.keys import CHANGE_HASH, SOURCE_HASH, new_surrogate_keys, with_key_text
 from weftmart.operators.project import KEY_TEXT, UPDATED_DATE, map_columns, named
 from weftmart.operators.sinks import Stamp, audit_deletes, delete_rows, stamped, upsert
 from weftmart.sources.files import staging_source
+from weftmart.sources.windows import changed_after
 from weftmart.spec import FK, SK, WarehouseSpec
 
 
@@ -33,8 +33,8 @@ def _next_state(target: DataFrame | None, rows: DataFrame, keys: Sequence[str],
     return stamped(rows, stamp) if target is None else upsert(target, rows, keys, stamp, **options)
 
 
-def _cleansed(rows: DataFrame, spec: WarehouseSpec) -> DataFrame:
-    declared = {c: t for c, t in spec.types.items() if c in rows.columns and c != spec.surrogate}
+def _cleansed(rows: DataFrame, spec: WarehouseSpec, skip: Sequence[str] = ()) -> DataFrame:
+    declared = {c: t for c, t in spec.types.items() if c in rows.columns and c != spec.surrogate and c not in skip}
     return replace_missing(rows, declared, spec.keys)
 
 
@@ -64,11 +64,15 @@ def dimension_warehouse(
     """Staging to warehouse of a dimension: new keys get the next surrogate keys, changed rows merge."""
     columns = [c for c in spec.mapped if c in staging.columns] + [SOURCE_HASH]
     rows = _cleansed(staging_source(staging, columns, write_mode, start), spec)
-    if warehouse is None or write_mode == "overwrite":
-        keyed = surrogate_keys(rows, None, spec.keys, spec.surrogate)
+    if write_mode == "overwrite":
+        warehouse = None
+    fresh = new_surrogate_keys(rows, warehouse, spec.keys, spec.surrogate)
+    keyed = rows.join(fresh, spec.keys, "left_outer")
+    if warehouse is None:
         return as_target(stamped(keyed, stamp), target_schema(spec))
-    keyed = surrogate_keys(rows, warehouse, spec.keys, spec.surrogate)
-    return upsert(warehouse, keyed, spec.keys, stamp, hash_column=SOURCE_HASH, strategy=strategy)
+    return upsert(
+        warehouse, keyed, spec.keys, stamp, hash_column=SOURCE_HASH, strategy=strategy, insert_only=(spec.surrogate,)
+    )
 
 
 def transaction_staging(
@@ -108,22 +112,20 @@ def transaction_warehouse(
     """Staging to warehouse of a transaction table.
 
     The key table tells when a key last changed and its checksum; only keys changed after the watermark
-    pass. Foreign keys become surrogate keys of their dimensions.
+    pass. Foreign keys become surrogate keys of their dimensions. The key table is matched on the key
+    columns themselves: different keys may share a key text, and the upsert at the end needs rows
+    partitioned by the same columns.
     """
     foreign = {c.target for c in spec.foreign}
     columns = [c for c in spec.mapped if c in staging.columns and c not in foreign]
     carried = [a for c in spec.foreign for a, _ in c.join if a in staging.columns and a not in columns]
-    rows = with_key_text(staging.select(*columns, *dict.fromkeys(carried)), spec.keys)
-    changes = key_table.select(KEY_TEXT, *spec.keys, UPDATED_DATE, CHANGE_HASH)
-    if watermark is not None:
-        # only keys that changed since then; the join can be an inner one
-        changes = changes.where(named(UPDATED_DATE) > F.lit(watermark).cast("timestamp_ntz"))
-        rows = rows.join(changes.select(*spec.keys), list(spec.keys), "left_semi")
-    # different keys may share a key text, so the real key columns match too
-    on = {KEY_TEXT: KEY_TEXT, **{k: k for k in spec.keys}}
-    rows = lookup(rows, changes, on, {CHANGE_HASH: SOURCE_HASH})
+    # keys are cleansed before the joins, so that their partitioning lasts
+    rows = _cleansed(staging.select(*columns, *dict.fromkeys(carried)), spec)
+    changes = key_table.select(*spec.keys, UPDATED_DATE, named(CHANGE_HASH).alias(SOURCE_HASH))
+    recent = changed_after(changes, watermark).drop(UPDATED_DATE)
+    rows = rows.join(recent, spec.keys, "left_outer" if watermark is None else "inner")
     rows = resolve_foreign_keys(rows, spec.foreign, dimensions, salt)
-    rows = _cleansed(rows.drop(KEY_TEXT), spec)
+    rows = _cleansed(rows, spec, skip=columns)
     if warehouse is None:
         return as_target(stamped(rows, stamp), target_schema(spec))
     return upsert(warehouse, rows, spec.keys, stamp, hash_column=SOURCE_HASH, date_only=True)
@@ -160,8 +162,3 @@ def propagate_deletes(
         audit=audit.select(*[named(c) for c in kept_columns if c in audit.columns]),
         key_table=None if key_table is None else delete_rows(key_table, keys, spec.keys),
     )
-
-
-def newest_in_batch(rows: DataFrame, keys: Sequence[str], time_column: str = UPDATED_DATE, tie: Sequence[str] = ()) -> DataFrame:
-    """One row per key: the newest."""
-    return last_row(rows, keys, [time_column, *tie])

@@ -8,10 +8,12 @@ import json
 
 from pyspark.sql import functions as F
 
+from weftmart.functions.scalars import literal
 from weftmart.operators.aggregate import filter_group
-from weftmart.plans.extract import extract, next_watermark
+from weftmart.plans.extract import extract, next_watermark, store_watermark, stored_watermark
 from weftmart.queries.registry import Tables, query
 from weftmart.queries.snapshots import customer_after
+from weftmart.session import scratch_path
 from weftmart.sources.windows import Period, changed_after, high_watermark, load_window, source_keys
 from weftmart.spec import ColumnMap, FilterGroup, GroupColumn, LoadSettings, WarehouseSpec
 
@@ -98,7 +100,7 @@ def incremental_date(t: Tables):
 )
 def incremental_id(t: Tables):
     chosen = settings(incremental={"incremental_refresh_column_type": "id", "incremental_refresh_column_name": "event_id"})
-    loaded_before = t.events.where(F.col("ts") < F.lit(WATERMARK).cast("timestamp_ntz"))
+    loaded_before = t.events.where(F.col("ts") < literal(WATERMARK))
     return load_window(t.events, chosen, next_watermark(loaded_before, chosen)).select("event_id", "event_type")
 
 
@@ -113,6 +115,20 @@ def watermarks(t: Tables):
     return by_date.unionByName(by_id)
 
 
+@query(
+    "f9_stored_watermark",
+    """SELECT event_id, ts, event_type FROM events
+       WHERE ts >= (SELECT max(ts) FROM events WHERE event_type = 'signup' AND ts < TIMESTAMP '2024-01-20 00:00:00')""",
+)
+def from_stored_watermark(t: Tables):
+    """Two runs: the first stores where it ended, the next starts there."""
+    chosen = settings(incremental={"incremental_refresh_column_type": "date", "incremental_refresh_column_name": "ts"})
+    path = scratch_path(t.spark, "watermarks")
+    earlier = t.events.where((F.col("event_type") == "signup") & (F.col("ts") < literal(WATERMARK)))
+    store_watermark(earlier, chosen, "events", path)
+    return load_window(t.events, chosen, stored_watermark(t.spark, "events", path)).select("event_id", "ts", "event_type")
+
+
 _LADDER = list(itertools.product((False, True), repeat=3))
 
 

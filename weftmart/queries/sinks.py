@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from weftmart.functions.scalars import render_in_zone
 from weftmart.operators.keys import with_source_hash
 from weftmart.operators.sinks import (
-    audit_deletes, deactivate_and_insert, delete_rows, full_sync, load, replace_by_key, stamped, upsert, upsert_partitions,
+    audit_deletes, deactivate_and_insert, delete_rows, full_sync, load, replace_by_key, save_bucketed, stamped, upsert, upsert_partitions,
 )
 from weftmart.operators.joins import deleted_rows
 from weftmart.queries.registry import Tables, query
@@ -192,3 +192,12 @@ def streamed(t: Tables):
         files_per_batch=2,
         prepare=lambda rows: changed_after(rows, dt.datetime(2024, 1, 5)),
     ).select("user_id", "event_id", "Updated_Date", "event_type", "value")
+
+
+@query("w1_upsert_bucketed", _UPSERTED)
+def upserted_bucketed(t: Tables):
+    """The target is stored bucketed by its key, so only the incoming rows are shuffled."""
+    path = scratch_path(t.spark, "orders-bucketed")
+    name = "orders_" + path.rsplit("-", 1)[-1]
+    target = save_bucketed(orders_before(t), name, path, ["o_orderkey"], 8)
+    return upsert(target, orders_after(t), ["o_orderkey"])

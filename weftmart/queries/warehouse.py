@@ -16,7 +16,7 @@ from weftmart.queries.snapshots import (
     FIRST_LOAD, SECOND_LOAD, customer_after, customer_before, orders_after, orders_alive, orders_before, with_snapshots,
 )
 from weftmart.session import scratch_path, write_table
-from weftmart.spec import ColumnMap, MartSpec, WarehouseSpec, mart_from_json
+from weftmart.spec import ColumnMap, MartSpec, WarehouseSpec, mart_from_control, mart_from_json
 
 MART_JSON = """
 {
@@ -97,6 +97,54 @@ def mart_loaded(t: Tables):
     return _printable(load_mart(spec, sources, first.select(*spec.retain), f"{path}/v2", "upsert"))
 
 
+_CONTROL = {
+    "mart_driving_column": (
+        "Table_Name string, Table_Name_Alias string, Column_Name string, Column_Name_Alias string",
+        [("orders", "o", c, a) for c, a in (("o_custkey", "buyer"), ("o_totalprice", "price"), ("o_orderkey", "order_id"))],
+    ),
+    "mart_lookup_column": (
+        "Table_Name string, Table_Name_Alias string, Column_Name string, Column_Name_Alias string",
+        [("customer", "c", c, a) for c, a in (("c_custkey", "customer_id"), ("c_mktsegment", "segment"), ("c_nationkey", "home"))]
+        + [("nation", "n", "n_nationkey", "nation_id"), ("nation", "n", "n_name", "nation")],
+    ),
+    "mart_join": (
+        "Table_Name_Alias string, Column_Name_Alias string, Join_Table_Alias string, Join_Column_Alias string, Join_Level int",
+        [("c", "home", "n", "nation_id", 2), ("o", "buyer", "c", "customer_id", 1)],
+    ),
+    "mart_filter_group": (
+        "Table_Name_Alias string, Settings_Position string, Group_By_Id int, Filter_Id int, Flow string",
+        [("o", "Driving_Table", 0, 1, None), (None, "Derived_Columns", 7, 2, "G")],
+    ),
+    "mart_group_column": (
+        "Group_By_Id int, Column_Name string, Column_Name_Alias string, Aggregation string, Flag int",
+        [(7, "segment", "segment", "GroupBy", 0), (7, "nation", "nation", "GroupBy", 0), (7, "price", "price", "Sum", 1), (7, "size", "size", "Max", 1)],
+    ),
+    "mart_filter": ("Filter_Id int, Filter_Condition string", [(1, "o_orderstatus <> 'P'"), (2, "count(order_id) > 3")]),
+    "mart_derived": (
+        "Column_Name string, Column_Expression string, Level int, Expression_Type string, Column_Alias_Name string, Column_Arguments string, Data_Type string",
+        [("size", "length(segment)", 1, "JAVA", "segment_length", "segment:varchar(20)", "int")],
+    ),
+    "mart_mapping": (
+        "DL_Column_Names string, Constraints string, DL_Data_Types string",
+        [("segment", "PK", "varchar(20)"), ("nation", "PK", "varchar(25)"), ("price", None, "decimal(14,2)"), ("segment_length", None, "int"), ("customer_id", None, "bigint")],
+    ),
+}
+
+
+@query(
+    "y1_mart_from_control_tables",
+    """SELECT c_mktsegment AS segment, n_name AS nation, CAST(sum(CAST(o_totalprice AS DECIMAL(14,2))) AS DOUBLE) AS price,
+              CAST(length(c_mktsegment) AS INTEGER) AS segment_length
+       FROM orders LEFT JOIN customer ON o_custkey = c_custkey LEFT JOIN nation ON c_nationkey = n_nationkey
+       WHERE o_orderstatus <> 'P' GROUP BY 1, 2 HAVING count(o_orderkey) > 3""",
+)
+def mart_from_tables(t: Tables):
+    """The specification comes from control tables; the rows from the data."""
+    control = {name: t.spark.createDataFrame(rows, schema) for name, (schema, rows) in _CONTROL.items()}
+    spec = mart_from_control("segment_revenue", control)
+    return doubles(build_mart(spec, {name: getattr(t, name) for name in ("orders", "customer", "nation")}), "price")
+
+
 CUSTOMER = with_system_columns(
     WarehouseSpec(
         "Customer",

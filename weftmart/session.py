@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 # Runtime settings every plan relies on. Sizes (shuffle partitions, file split size) are left to the
 # cluster; AQE coalesces or splits shuffle partitions from the measured sizes.
@@ -57,10 +57,12 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 
 def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None, mode: str = "overwrite") -> DataFrame:
     """Write parquet and return the written rows as a new DataFrame with a short lineage."""
-    writer = df.write.mode(mode)
     if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
+        # one folder per value: gather its rows, and let AQE cut large folders into several files
+        sized = df.hint("rebalance", *[F.col(f"`{c}`") for c in partition_by])
+        sized.write.mode(mode).partitionBy(*partition_by).parquet(path)
+    else:
+        df.write.mode(mode).parquet(path)
     # partition columns come back last and untyped from folder names, so name the schema
     return df.sparkSession.read.schema(df.schema).parquet(path).select(*[f"`{c}`" for c in df.columns])
 

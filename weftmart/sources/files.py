@@ -6,6 +6,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from weftmart.functions.scalars import literal
 from weftmart.operators.project import UPDATED_DATE, select_columns
 
 CORRUPT = "_corrupt_record"
@@ -48,5 +49,5 @@ def sql_source(df: DataFrame, text: str, **row_sets: DataFrame) -> DataFrame:
 def staging_source(df: DataFrame, columns: list[str], write_mode: str, start=None) -> DataFrame:
     """Re-read of a staging table; only upserts are limited to rows changed since ``start``."""
     if write_mode != "overwrite" and start is not None:
-        df = df.where(F.col(UPDATED_DATE) >= F.lit(start).cast("timestamp_ntz"))
+        df = df.where(F.col(UPDATED_DATE) >= literal(start))
     return df.select(*[f"`{c}`" for c in columns])

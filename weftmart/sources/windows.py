@@ -8,7 +8,7 @@ from typing import Any
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from weftmart.functions.scalars import months_before
+from weftmart.functions.scalars import literal, months_before
 from weftmart.operators.project import UPDATED_DATE, named
 from weftmart.operators.sets import first_rows
 from weftmart.spec import LoadSettings
@@ -22,22 +22,22 @@ class Period:
 
 def trailing_months(column: str, months: int, reference: Any) -> Column:
     """Rows of the last months before the reference time."""
-    return named(column) >= months_before(F.lit(reference).cast("timestamp_ntz"), months)
+    return named(column) >= months_before(literal(reference), months)
 
 
 def historical(column: str, period: Period) -> Column:
     """Both ends belong to the period."""
-    return named(column).between(F.lit(period.start), F.lit(period.end))
+    return named(column).between(literal(period.start), literal(period.end))
 
 
 def since(column: str, watermark: Any) -> Column:
     """Rows at or after the watermark; it is inclusive, so the sink must be keyed."""
-    return named(column) >= F.lit(watermark)
+    return named(column) >= literal(watermark)
 
 
 def changed_after(df: DataFrame, watermark: Any, column: str = UPDATED_DATE) -> DataFrame:
     """In-flow form: strictly after; without a watermark all rows pass."""
-    return df if watermark is None else df.where(named(column) > F.lit(watermark))
+    return df if watermark is None else df.where(named(column) > literal(watermark))
 
 
 def high_watermark(df: DataFrame, column: str, kind: str) -> DataFrame:
