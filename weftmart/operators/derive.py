@@ -12,7 +12,7 @@ from weftmart.functions.types import spark_type
 from weftmart.operators.project import named
 from weftmart.spec import Derived
 
-# The methods a specification may call on fields.
+# The methods a specification may call on fields; users add their own.
 METHODS: dict[str, Callable[[DataFrame, Sequence[str]], Column]] = {
     "string_join": composite_key,
     "checksum": row_hash,
@@ -56,6 +56,11 @@ def _kind(d: Derived) -> str:
     return "SQL" if d.kind.upper() == "SQL" else "JAVA"
 
 
+def register_method(name: str, method: Callable[[DataFrame, Sequence[str]], Column]) -> None:
+    """Make a function of (rows, argument columns) callable; wrap Python code as a pandas UDF in it."""
+    METHODS[name] = method
+
+
 def call_method(df: DataFrame, method: str, arguments: Sequence[str], field: str) -> DataFrame:
     return df.withColumn(field, METHODS[method](df, arguments))
 

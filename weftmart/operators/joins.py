@@ -101,15 +101,31 @@ def resolve_foreign_keys(df: DataFrame, foreign: Sequence[ColumnMap], dimensions
     return df
 
 
-def deleted_rows(warehouse: DataFrame, source_keys: DataFrame, keys: Sequence[str], allow_empty: bool = False) -> DataFrame:
-    """Warehouse rows whose key the source no longer has, flagged for deletion.
+def deleted_keys(
+    warehouse: DataFrame, source_keys: DataFrame, keys: Sequence[str], allow_empty: bool = False, null_safe: bool = False
+) -> DataFrame:
+    """Warehouse keys the source no longer has. Only key columns are read and shuffled.
 
-    An empty extract would delete everything and is refused unless asked for.
+    An empty extract would delete everything and is refused unless asked for. Keys are cleansed before
+    they are stored, so plain equality compares them; ``null_safe`` is for targets where they are not.
     """
     if not allow_empty and source_keys.isEmpty():
         raise ValueError("the source extract has no rows; pass allow_empty=True to delete everything")
-    gone = warehouse.join(source_keys.select(*[named(k) for k in keys]), list(keys), "left_anti")
-    return gone.withColumn(DELETE_INDICATOR, F.lit(True))
+    stored = warehouse.select(*[named(k) for k in keys])
+    if not null_safe:
+        return stored.join(source_keys.select(*[named(k) for k in keys]), list(keys), "left_anti")
+    live = source_keys.select(*[named(k).alias(f"rhs_{k}") for k in keys])
+    condition = F.lit(True)
+    for i, k in enumerate(keys):
+        equal = named(k).eqNullSafe(named(f"rhs_{k}"))
+        condition = equal if i == 0 else condition & equal
+    return stored.join(live, condition, "left_anti")
+
+
+def deleted_rows(warehouse: DataFrame, source_keys: DataFrame, keys: Sequence[str], allow_empty: bool = False) -> DataFrame:
+    """Warehouse rows whose key the source no longer has, flagged for deletion."""
+    gone = deleted_keys(warehouse, source_keys, keys, allow_empty)
+    return warehouse.join(gone, list(keys), "left_semi").withColumn(DELETE_INDICATOR, F.lit(True))
 
 
 def _partner_keys(other: DataFrame, on: Mapping[str, str]) -> tuple[DataFrame, Column]:

@@ -15,10 +15,11 @@ from pyspark.sql import DataFrame
 from weftmart.functions.canonical import row_hash
 from weftmart.operators.cleanse import coerce, replace_missing
 from weftmart.operators.diff import as_target, target_schema
-from weftmart.operators.joins import deleted_rows, resolve_foreign_keys
+from weftmart.operators.joins import deleted_keys, resolve_foreign_keys
 from weftmart.operators.keys import CHANGE_HASH, SOURCE_HASH, new_surrogate_keys, with_key_text
 from weftmart.operators.project import KEY_TEXT, UPDATED_DATE, map_columns, named
 from weftmart.operators.sinks import Stamp, audit_deletes, delete_rows, stamped, upsert
+from weftmart.session import materialise
 from weftmart.sources.files import staging_source
 from weftmart.sources.windows import changed_after
 from weftmart.spec import FK, SK, WarehouseSpec
@@ -151,14 +152,17 @@ def propagate_deletes(
     key_table: DataFrame | None = None,
     allow_empty: bool = False,
 ) -> Deleted:
-    """Remove keys the source no longer has from warehouse, staging and (transactions) the key table."""
-    gone = deleted_rows(warehouse, source_keys, spec.keys, allow_empty)
-    keys = gone.select(*[named(k) for k in spec.keys])
+    """Remove keys the source no longer has from warehouse, staging and (transactions) the key table.
+
+    The deleted keys are found once, over key columns only, and written. The tables then meet that
+    written set, which Catalyst broadcasts when its files are small.
+    """
+    gone = materialise(deleted_keys(warehouse, source_keys, spec.keys, allow_empty), "deleted")
     kept_columns = [f.name for f in target_schema(spec, "deletes")]
-    audit = audit_deletes(gone, stamp, zone)
+    audit = audit_deletes(warehouse.join(gone, spec.keys, "left_semi"), stamp, zone)
     return Deleted(
         warehouse=delete_rows(warehouse, gone, spec.keys),
-        staging=delete_rows(staging, keys, spec.keys),
+        staging=delete_rows(staging, gone, spec.keys),
         audit=audit.select(*[named(c) for c in kept_columns if c in audit.columns]),
-        key_table=None if key_table is None else delete_rows(key_table, keys, spec.keys),
+        key_table=None if key_table is None else delete_rows(key_table, gone, spec.keys),
     )

@@ -138,12 +138,14 @@ def trimmed(t: Tables):
 
 @query(
     "c9_case_insensitive_keys",
-    "SELECT c_custkey, c_mktsegment, min_size FROM customer LEFT JOIN (SELECT 'BUILDING' AS seg, min(p_size) AS min_size FROM part) ON c_mktsegment = seg",
+    """SELECT p_partkey, p_brand, largest FROM part
+       LEFT JOIN (SELECT lower(p_brand) AS k, max(p_size) AS largest FROM part WHERE p_type = 'ECONOMY' GROUP BY 1) ON lower(p_brand) = k""",
 )
 def case_insensitive(t: Tables):
-    sizes = t.part.agg(F.min("p_size").alias("min_size")).withColumn("seg", F.lit("Building"))
-    rows = fold_case(t.customer.select("c_custkey", "c_mktsegment", F.col("c_mktsegment").alias("folded")), ["folded"], False)
-    return lookup(rows, fold_case(sizes, ["seg"], False), {"folded": "seg"}, {"min_size": "min_size"}).drop("folded")
+    """The looked-up table writes its key in another case."""
+    sizes = t.part.where("p_type = 'ECONOMY'").groupBy(F.upper("p_brand").alias("brand")).agg(F.max("p_size").alias("largest"))
+    rows = fold_case(t.part.select("p_partkey", "p_brand", F.col("p_brand").alias("folded")), ["folded"], False)
+    return lookup(rows, fold_case(sizes, ["brand"], False), {"folded": "brand"}, {"largest": "largest"}).drop("folded")
 
 
 @query("c10_date_format", "SELECT o_orderkey, CAST(o_orderdate AS DATE) AS plain, CAST(o_orderdate AS DATE) AS with_pattern FROM orders")

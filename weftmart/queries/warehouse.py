@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import datetime as dt
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, functions as F
 
 from weftmart.operators.conform import tag_incremental, with_system_columns
+from weftmart.plans.jobs import TableState, run_table
 from weftmart.plans.mart import build_mart, load_mart
 from weftmart.plans.warehouse import (
     dimension_staging, dimension_warehouse, propagate_deletes, transaction_keys, transaction_staging, transaction_warehouse,
 )
+from weftmart.queries.extraction import settings
 from weftmart.queries.registry import Tables, doubles, query
 from weftmart.queries.snapshots import (
     FIRST_LOAD, SECOND_LOAD, customer_after, customer_before, orders_after, orders_alive, orders_before, with_snapshots,
@@ -360,6 +363,52 @@ def order_deletes(t: Tables):
     return _labelled(parts, ["Order_Id", "DataSource_Id", "Company_Id"])
 
 
+@query(
+    "y3_dimension_run",
+    with_snapshots(
+        """SELECT 'warehouse' AS table_name, Customer_Id, Name, Balance, Customer_Key, Updated_Date FROM staged JOIN numbered ON Customer_Id = c_custkey
+           WHERE Customer_Id IN (SELECT c_custkey FROM customer_after)
+           UNION ALL SELECT 'deletes', Customer_Id, Name, Balance, Customer_Key, TIMESTAMP '2024-02-01 05:30:00' FROM staged JOIN numbered ON Customer_Id = c_custkey
+           WHERE Customer_Id NOT IN (SELECT c_custkey FROM customer_after)""",
+        _STAGED.strip(),
+    ),
+)
+def customer_runs(t: Tables):
+    """Two runs of the dimension under its settings: all tables, then changes and deletes."""
+    path, chosen = scratch_path(t.spark, "runs"), settings(write_mode="upsert", delete_flag=True)
+    state = run_table(customer_before(t), CUSTOMER, chosen, TableState(), FIRST_LOAD, f"{path}/1", zone="Asia/Kolkata")
+    state = run_table(customer_after(t), CUSTOMER, chosen, state, SECOND_LOAD, f"{path}/2", zone="Asia/Kolkata")
+    parts = {"warehouse": state.warehouse, "deletes": state.deletes}
+    return doubles(_labelled(parts, ["Customer_Id", "Name", "Balance", "Customer_Key", "Updated_Date"]), "Balance")
+
+
+@query(
+    "y6_transaction_run",
+    with_snapshots(
+        """SELECT coalesce(b.o_orderkey, a.o_orderkey) AS Order_Id, coalesce(b.o_orderstatus, a.o_orderstatus) AS Status,
+                  CAST(CAST(coalesce(b.o_totalprice, a.o_totalprice) AS DECIMAL(14,2)) AS DOUBLE) AS Price,
+                  coalesce(c_custkey + 1, 0) AS Customer_Key, k.Updated_Date
+           FROM orders_before a FULL JOIN orders_after b ON a.o_orderkey = b.o_orderkey
+           JOIN keyed k ON k.Order_Id = coalesce(b.o_orderkey, a.o_orderkey)
+           LEFT JOIN (SELECT * FROM customer WHERE c_acctbal >= 0) ON c_custkey = coalesce(b.o_custkey, a.o_custkey)""",
+        _KEYED.strip(),
+    ),
+)
+def order_runs(t: Tables):
+    """Two runs of the transaction table; the second starts at an incremental date."""
+    path = scratch_path(t.spark, "runs")
+    window = {"incremental_refresh_column_type": "date", "incremental_refresh_column_name": "o_orderdate"}
+    chosen = settings(write_mode="upsert", incremental=window)
+    rich = t.customer.where("c_acctbal >= 0")
+    customers = {"Customer": rich.select(F.col("c_custkey").alias("Customer_Id"), (F.col("c_custkey") + 1).alias("Customer_Key"))}
+    state = run_table(orders_before(t), ORDERS, chosen, TableState(), FIRST_LOAD, f"{path}/1", customers)
+    # the source was repriced back to half a year before the watermark
+    state = replace(state, watermark=dt.datetime(1999, 7, 1))
+    repriced = orders_after(t).unionByName(orders_before(t).where("o_orderdate < timestamp_ntz'1999-07-01 00:00:00'"))
+    state = run_table(repriced, ORDERS, chosen, state, SECOND_LOAD, f"{path}/2", customers)
+    return doubles(state.warehouse.select("Order_Id", "Status", "Price", "Customer_Key", "Updated_Date"), "Price")
+
+
 def _labelled(parts: dict[str, DataFrame], columns: list[str]) -> DataFrame:
     result = None
     for name, rows in parts.items():
