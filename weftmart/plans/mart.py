@@ -24,9 +24,11 @@ def build_mart(spec: MartSpec, sources: Mapping[str, DataFrame]) -> DataFrame:
     spec.validate()
     tables = {t.alias: read_table(sources[t.name], t) for t in spec.tables}
     rows = join_chain(tables, spec.driving.alias, spec.joins)
-    join_columns = {right for join in spec.joins for _, right in join.pairs}
-    rows = recoerce(rows, spec.types, skip=tuple(join_columns), strict=spec.strict)
-    rows = replace_missing(rows, spec.types, spec.keys, spec.cleansing, spec.cleansing)
+    # columns that only serve a join keep their values, an unmatched row its null; derived ones come later
+    untouched = {right for join in spec.joins for _, right in join.pairs} | {d.alias for d in spec.derived}
+    declared = {c: t for c, t in spec.types.items() if c not in untouched}
+    rows = recoerce(rows, declared, strict=spec.strict)
+    rows = replace_missing(rows, declared, spec.keys, spec.cleansing, spec.cleansing)
     rows = filter_group(rows, spec.joined_step)
     rows = derive(rows, spec.derived)
     rows = filter_group(rows, spec.derived_step)
