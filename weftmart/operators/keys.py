@@ -74,12 +74,20 @@ def running_number(df: DataFrame, keys: Sequence[str], order: Sequence[str], ali
     return numbered.select(*[named(c) for c in df.columns], number.cast("bigint").alias(alias))
 
 
-def new_surrogate_keys(incoming: DataFrame, existing: DataFrame | None, keys: Sequence[str], name: str) -> DataFrame:
-    """Keys the target does not have yet, numbered in key order from its greatest surrogate key on."""
+def new_surrogate_keys(
+    incoming: DataFrame, existing: DataFrame | None, keys: Sequence[str], name: str, retired: DataFrame | None = None
+) -> DataFrame:
+    """Keys the target does not have yet, numbered in key order from its greatest surrogate key on.
+
+    Surrogate keys of ``retired`` (deleted) rows are not given out again.
+    """
     fresh = incoming.select(*[named(k) for k in keys]).distinct()
     if existing is None:
         return global_number(fresh, keys, name)
-    greatest = existing.agg(F.coalesce(F.max(named(name)), F.lit(0))).scalar()
+    used = existing.select(named(name))
+    if retired is not None:
+        used = used.unionByName(retired.select(named(name)))
+    greatest = used.agg(F.coalesce(F.max(named(name)), F.lit(0))).scalar()
     fresh = fresh.join(existing.select(*[named(k) for k in keys]), list(keys), "left_anti")
     return global_number(fresh, keys, name, start=greatest)
 

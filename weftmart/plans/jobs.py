@@ -13,13 +13,14 @@ from typing import Any
 from pyspark.sql import DataFrame
 
 from weftmart.operators.cleanse import coerce, replace_missing
-from weftmart.operators.sinks import Stamp
+from weftmart.operators.joins import deleted_keys
+from weftmart.operators.sinks import Stamp, delete_rows
 from weftmart.plans.extract import next_watermark
 from weftmart.plans.warehouse import (
-    dimension_staging, dimension_warehouse, propagate_deletes, source_rows, transaction_keys, transaction_staging, transaction_warehouse,
+    audit_rows, dimension_staging, dimension_warehouse, source_rows, transaction_keys, transaction_staging, transaction_warehouse,
 )
-from weftmart.session import write_table
-from weftmart.sources.windows import load_window, source_keys
+from weftmart.session import materialise, write_table
+from weftmart.sources.windows import load_window
 from weftmart.spec import DIMENSION, LoadSettings, WarehouseSpec
 
 
@@ -45,35 +46,39 @@ def run_table(
     reference: Any = None,
     zone: str = "UTC",
     formats: Mapping[str, str] | None = None,
+    strategy: str = "bulk",
 ) -> TableState:
     """Load one target from its source and return its next state.
 
     Write mode ``overwrite`` starts the tables anew; ``upsert`` merges. With the delete flag rows the
-    source no longer has are removed everywhere and added to the audit table.
+    source no longer has are removed everywhere and added to the audit table. Rows of this run are in the
+    source, so the deleted keys are those of the old warehouse, and each table is written once.
     """
-    old = TableState() if settings.write_mode == "overwrite" else state
+    old = TableState(deletes=state.deletes) if settings.write_mode == "overwrite" else state
     rows = load_window(source, settings, old.watermark, reference)
     first = old.warehouse is None
     start = None if first else stamp[0]
+    gone, deletes = None, old.deletes
+    if settings.delete_flag and not first:
+        gone = materialise(deleted_keys(old.warehouse, _key_rows(source, spec, formats), spec.keys), "deleted")
+        audit = write_table(audit_rows(old.warehouse, gone, spec, stamp, zone), f"{path}/deletes")
+        deletes = audit if deletes is None else deletes.unionByName(audit)
+
+    def store(table: DataFrame, name: str) -> DataFrame:
+        return write_table(table if gone is None else delete_rows(table, gone, spec.keys), f"{path}/{name}")
+
     if spec.kind == DIMENSION:
-        staging = write_table(dimension_staging(rows, spec, old.staging, stamp, formats), f"{path}/staging")
+        staging = store(dimension_staging(rows, spec, old.staging, stamp, formats), "staging")
         key_table = None
-        loaded = dimension_warehouse(staging, spec, old.warehouse, stamp, "upsert", start)
+        loaded = dimension_warehouse(staging, spec, old.warehouse, stamp, "upsert", start, strategy, old.deletes)
     else:
-        staging = write_table(transaction_staging(rows, spec, old.staging, stamp, formats), f"{path}/staging")
-        key_table = write_table(transaction_keys(staging, spec, old.key_table, stamp, "upsert", start), f"{path}/keys")
+        staging = store(transaction_staging(rows, spec, old.staging, stamp, formats), "staging")
+        key_table = store(transaction_keys(staging, spec, old.key_table, stamp, "upsert", start), "keys")
         since = None if first else _just_before(stamp)
-        loaded = transaction_warehouse(staging, spec, key_table, dimensions or {}, old.warehouse, stamp, since)
-    warehouse = write_table(loaded, f"{path}/warehouse")
-    deletes = old.deletes
-    if settings.delete_flag:
-        live = source_keys(_key_rows(source, spec, formats), spec.keys)
-        gone = propagate_deletes(live, spec, warehouse, staging, stamp, zone, key_table)
-        audit = write_table(gone.audit, f"{path}/deletes")
-        deletes = audit if deletes is None else deletes.unionByName(audit)
-        warehouse = write_table(gone.warehouse, f"{path}/warehouse-kept")
-        staging = write_table(gone.staging, f"{path}/staging-kept")
-        key_table = None if key_table is None else write_table(gone.key_table, f"{path}/keys-kept")
+        loaded = transaction_warehouse(
+            staging, spec, key_table, dimensions or {}, old.warehouse, stamp, since, start=start, strategy=strategy
+        )
+    warehouse = store(loaded, "warehouse")
     return TableState(staging, warehouse, key_table, deletes, next_watermark(source, settings) or old.watermark)
 
 

@@ -61,13 +61,17 @@ def dimension_warehouse(
     write_mode: str = "upsert",
     start: Any = None,
     strategy: str = "bulk",
+    retired: DataFrame | None = None,
 ) -> DataFrame:
-    """Staging to warehouse of a dimension: new keys get the next surrogate keys, changed rows merge."""
+    """Staging to warehouse of a dimension: new keys get the next surrogate keys, changed rows merge.
+
+    ``retired`` holds deleted rows whose surrogate keys stay taken.
+    """
     columns = [c for c in spec.mapped if c in staging.columns] + [SOURCE_HASH]
     rows = _cleansed(staging_source(staging, columns, write_mode, start), spec)
     if write_mode == "overwrite":
         warehouse = None
-    fresh = new_surrogate_keys(rows, warehouse, spec.keys, spec.surrogate)
+    fresh = new_surrogate_keys(rows, warehouse, spec.keys, spec.surrogate, retired)
     keyed = rows.join(fresh, spec.keys, "left_outer")
     if warehouse is None:
         return as_target(stamped(keyed, stamp), target_schema(spec))
@@ -109,10 +113,12 @@ def transaction_warehouse(
     stamp: Stamp,
     watermark: Any = None,
     salt: int = 1,
+    start: Any = None,
+    strategy: str = "bulk",
 ) -> DataFrame:
     """Staging to warehouse of a transaction table.
 
-    The key table tells when a key last changed and its checksum; only keys changed after the watermark
+    Only rows staged since ``start`` are read, if given. The key table tells when a key last changed and its checksum; only keys changed after the watermark
     pass. Foreign keys become surrogate keys of their dimensions. The key table is matched on the key
     columns themselves: different keys may share a key text, and the upsert at the end needs rows
     partitioned by the same columns.
@@ -121,7 +127,8 @@ def transaction_warehouse(
     columns = [c for c in spec.mapped if c in staging.columns and c not in foreign]
     carried = [a for c in spec.foreign for a, _ in c.join if a in staging.columns and a not in columns]
     # keys are cleansed before the joins, so that their partitioning lasts
-    rows = _cleansed(staging.select(*columns, *dict.fromkeys(carried)), spec)
+    staged = staging_source(staging, [*columns, *dict.fromkeys(carried)], "upsert", start)
+    rows = _cleansed(staged, spec)
     changes = key_table.select(*spec.keys, UPDATED_DATE, named(CHANGE_HASH).alias(SOURCE_HASH))
     recent = changed_after(changes, watermark).drop(UPDATED_DATE)
     rows = rows.join(recent, spec.keys, "left_outer" if watermark is None else "inner")
@@ -129,7 +136,13 @@ def transaction_warehouse(
     rows = _cleansed(rows, spec, skip=columns)
     if warehouse is None:
         return as_target(stamped(rows, stamp), target_schema(spec))
-    return upsert(warehouse, rows, spec.keys, stamp, hash_column=SOURCE_HASH, date_only=True)
+    return upsert(warehouse, rows, spec.keys, stamp, hash_column=SOURCE_HASH, date_only=True, strategy=strategy)
+
+
+def audit_rows(warehouse: DataFrame, gone: DataFrame, spec: WarehouseSpec, stamp: Stamp, zone: str = "UTC") -> DataFrame:
+    """Warehouse rows of the deleted keys in the columns of the audit table."""
+    rows = audit_deletes(warehouse.join(gone, spec.keys, "left_semi"), stamp, zone)
+    return rows.select(*[named(f.name) for f in target_schema(spec, "deletes") if f.name in rows.columns])
 
 
 @dataclass(frozen=True)
@@ -158,11 +171,9 @@ def propagate_deletes(
     written set, which Catalyst broadcasts when its files are small.
     """
     gone = materialise(deleted_keys(warehouse, source_keys, spec.keys, allow_empty), "deleted")
-    kept_columns = [f.name for f in target_schema(spec, "deletes")]
-    audit = audit_deletes(warehouse.join(gone, spec.keys, "left_semi"), stamp, zone)
     return Deleted(
         warehouse=delete_rows(warehouse, gone, spec.keys),
         staging=delete_rows(staging, gone, spec.keys),
-        audit=audit.select(*[named(c) for c in kept_columns if c in audit.columns]),
+        audit=audit_rows(warehouse, gone, spec, stamp, zone),
         key_table=None if key_table is None else delete_rows(key_table, gone, spec.keys),
     )
