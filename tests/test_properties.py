@@ -269,3 +269,38 @@ def test_target_schema():
     assert schema["Customer_Key"].dataType.typeName() == "long"
     assert "Source_Hash_Value" in schema.names
     assert "Source_Hash_Value" not in target_schema(CUSTOMER, "deletes").names
+
+
+def test_siblings_of_a_level_are_not_visible(spark):
+    from weftmart.operators.derive import derive
+    from weftmart.spec import Derived
+
+    with pytest.raises(ValueError, match="own level"):
+        derive(frame(spark, {1: 1}), [Derived("a", "k + 1"), Derived("b", "a + 1")])
+    shadow = derive(frame(spark, {1: 5}), [Derived("k", "k + 1"), Derived("w", "k + v")])
+    assert tuple(shadow.first()) == (2, 5, 6)
+
+
+def test_list_separators_are_text(spark):
+    rows = frame(spark, [(1, 2), (1, 1)])
+    for separator in ("'", "\\", "', 1) --"):
+        assert string_list(rows, ["k"], "v", "t", separator).first()["t"] == f"1{separator}2"
+
+
+def test_create_if_missing(spark):
+    from weftmart.operators.diff import create_if_missing
+
+    name = f"target_{uuid.uuid4().hex}"
+    assert create_if_missing(spark, name, target_schema(CUSTOMER))
+    assert not create_if_missing(spark, name, target_schema(CUSTOMER))
+    assert spark.table(name).columns == target_schema(CUSTOMER).names
+    spark.sql(f"DROP TABLE {name}")
+
+
+def test_list_of_a_hot_key(spark, many_partitions):
+    rows = hot_rows(spark, 3000)
+    got = {r["k"]: r["t"] for r in string_list(rows, ["k"], "v", "t", "|", distinct=False, order_by=["v"]).collect()}
+    groups = {}
+    for k, v in sorted(((r["k"], r["v"]) for r in rows.collect()), key=lambda r: r[1]):
+        groups.setdefault(k, []).append(str(v))
+    assert got == {k: "|".join(values) for k, values in groups.items()}

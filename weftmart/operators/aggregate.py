@@ -64,18 +64,34 @@ def filter_group(df: DataFrame, step: FilterGroup | None) -> DataFrame:
 
 
 def string_list(
-    df: DataFrame, keys: Sequence[str], column: str, alias: str, separator: str = ",", distinct: bool = True
+    df: DataFrame,
+    keys: Sequence[str],
+    column: str,
+    alias: str,
+    separator: str = ",",
+    distinct: bool = True,
+    order_by: Sequence[str] = (),
 ) -> DataFrame:
-    """Ordered list of a column's values per key, as one text.
+    """Ordered list of a column's values per key, as one text; by the values themselves or by ``order_by``.
 
-    Repeats are removed by (key, value) before anything is gathered, so a hot key is reduced by many
-    tasks first and a list grows with the number of different values only. The order is the text's own.
+    Repeats are removed by (key, value) first. The rows are then range-partitioned by key and order, so
+    a hot key spans tasks: each makes the text of its piece, and the last step puts at most one piece
+    per partition together. Only the finished text of a key has to fit one task, as it is one cell.
     """
-    kept = df.select(*[named(k) for k in keys], named(column).cast("string").alias("__item"))
+    names = [f"__order_{i}" for i in range(len(order_by))]
+    order = [named(c).alias(n) for c, n in zip(order_by, names)]
+    kept = df.select(*[named(k) for k in keys], named(column).cast("string").alias("__item"), *order)
     if distinct:
         kept = kept.distinct()
-    listed = F.expr(f"listagg(__item, '{separator}') WITHIN GROUP (ORDER BY __item)")
-    return kept.groupBy(*[named(k) for k in keys]).agg(listed.alias(alias))
+    names = names or ["__item"]
+    placed = kept.repartitionByRange(*[named(k) for k in keys], *names).withColumn("__part", F.spark_partition_id())
+    quoted = separator.replace("\\", "\\\\").replace("'", "\\'")
+
+    def joined(item: str, by: Sequence[str]) -> Column:
+        return F.expr(f"listagg({item}, '{quoted}') WITHIN GROUP (ORDER BY {', '.join(by)})")
+
+    pieces = placed.groupBy("__part", *[named(k) for k in keys]).agg(joined("__item", names).alias("__piece"))
+    return pieces.groupBy(*[named(k) for k in keys]).agg(joined("__piece", ["__part"]).alias(alias))
 
 
 def last_row(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:

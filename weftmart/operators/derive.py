@@ -21,6 +21,10 @@ METHODS: dict[str, Callable[[DataFrame, Sequence[str]], Column]] = {
 
 def sql_columns(df: DataFrame, derived: Sequence[Derived]) -> DataFrame:
     """Columns of one level; each sees the input only, not its siblings."""
+    for d in derived:
+        for sibling in derived:
+            if sibling.name not in df.columns and re.search(rf"(?<!\w){re.escape(sibling.name)}(?!\w)", d.expression):
+                raise ValueError(f"derived column {d.name} uses {sibling.name} of its own level")
     return df.withColumns({d.name: F.expr(d.expression) for d in derived})
 
 

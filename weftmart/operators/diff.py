@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from weftmart.functions.types import default_value, spark_type
 from weftmart.operators.aggregate import latest_time
-from weftmart.operators.keys import SOURCE_HASH
+from weftmart.operators.cleanse import replace_missing
+from weftmart.operators.keys import SOURCE_HASH, with_key_text
 from weftmart.operators.project import named
 from weftmart.operators.sinks import AUDIT
 from weftmart.spec import PK, SK, WarehouseSpec
@@ -75,6 +76,12 @@ def key_violations(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return counted.withColumn("issue", issue).where("issue is not null")
 
 
+def rekey(df: DataFrame, keys: Sequence[str], types: Mapping[str, str]) -> tuple[DataFrame, DataFrame]:
+    """Rows under a new key set: keys cleansed, key text rebuilt; and the keys that do not qualify."""
+    rows = replace_missing(df, {k: types[k] for k in keys}, keys)
+    return with_key_text(rows, keys), key_violations(df, keys)
+
+
 def target_schema(spec: WarehouseSpec, variant: str = "warehouse") -> T.StructType:
     """Columns of a target: mapped ones, then checksum, mismatch and audit columns.
 

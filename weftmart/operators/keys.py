@@ -75,13 +75,21 @@ def running_number(df: DataFrame, keys: Sequence[str], order: Sequence[str], ali
 
 
 def new_surrogate_keys(
-    incoming: DataFrame, existing: DataFrame | None, keys: Sequence[str], name: str, retired: DataFrame | None = None
+    incoming: DataFrame,
+    existing: DataFrame | None,
+    keys: Sequence[str],
+    name: str,
+    retired: DataFrame | None = None,
+    unique: bool = False,
 ) -> DataFrame:
     """Keys the target does not have yet, numbered in key order from its greatest surrogate key on.
 
-    Surrogate keys of ``retired`` (deleted) rows are not given out again.
+    Surrogate keys of ``retired`` (deleted) rows are not given out again. ``unique`` tells that incoming
+    keys do not repeat, which saves a shuffle.
     """
-    fresh = incoming.select(*[named(k) for k in keys]).distinct()
+    fresh = incoming.select(*[named(k) for k in keys])
+    if not unique:
+        fresh = fresh.distinct()
     if existing is None:
         return global_number(fresh, keys, name)
     used = existing.select(named(name))

@@ -20,7 +20,7 @@ from weftmart.plans.warehouse import (
     audit_rows, dimension_staging, dimension_warehouse, source_rows, transaction_keys, transaction_staging, transaction_warehouse,
 )
 from weftmart.session import materialise, write_table
-from weftmart.sources.windows import load_window
+from weftmart.sources.windows import Period, load_window
 from weftmart.spec import DIMENSION, LoadSettings, WarehouseSpec
 
 
@@ -44,6 +44,7 @@ def run_table(
     path: str,
     dimensions: Mapping[str, DataFrame] | None = None,
     reference: Any = None,
+    period: Period | None = None,
     zone: str = "UTC",
     formats: Mapping[str, str] | None = None,
     strategy: str = "bulk",
@@ -55,7 +56,7 @@ def run_table(
     source, so the deleted keys are those of the old warehouse, and each table is written once.
     """
     old = TableState(deletes=state.deletes) if settings.write_mode == "overwrite" else state
-    rows = load_window(source, settings, old.watermark, reference)
+    rows = load_window(source, settings, old.watermark, reference, period)
     first = old.warehouse is None
     start = None if first else stamp[0]
     gone, deletes = None, old.deletes

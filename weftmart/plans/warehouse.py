@@ -71,7 +71,7 @@ def dimension_warehouse(
     rows = _cleansed(staging_source(staging, columns, write_mode, start), spec)
     if write_mode == "overwrite":
         warehouse = None
-    fresh = new_surrogate_keys(rows, warehouse, spec.keys, spec.surrogate, retired)
+    fresh = new_surrogate_keys(rows, warehouse, spec.keys, spec.surrogate, retired, unique=True)
     keyed = rows.join(fresh, spec.keys, "left_outer")
     if warehouse is None:
         return as_target(stamped(keyed, stamp), target_schema(spec))

@@ -139,6 +139,14 @@ def brand_lists(t: Tables):
     return string_list(lines, ["n_regionkey"], "p_brand", "brands")
 
 
+@query(
+    "a10_string_list_ordered",
+    "SELECT conv_id, string_agg(role, ' > ' ORDER BY turn) AS roles FROM conversations GROUP BY 1",
+)
+def role_sequences(t: Tables):
+    return string_list(t.conversations, ["conv_id"], "role", "roles", " > ", distinct=False, order_by=["turn"])
+
+
 @query(
     "a11_last_row",
     """SELECT user_id, event_id, ts, event_type, value FROM (

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from weftmart.operators.conform import with_system_columns
-from weftmart.operators.diff import apply_diff, as_target, evolve, keyed_diff, needs_refresh, target_schema
+from weftmart.operators.diff import apply_diff, as_target, evolve, keyed_diff, needs_refresh, rekey, target_schema
 from weftmart.operators.sinks import replace_by_key
 from weftmart.plans.warehouse import source_rows
 from weftmart.queries.registry import Tables, doubles, query
@@ -47,6 +47,21 @@ def evolved(t: Tables):
     return evolve(old, columns).withColumn("is_large", F.col("is_large").cast("int"))
 
 
+@query(
+    "m3_key_change",
+    """SELECT 'row' AS kind, CAST(o_custkey AS VARCHAR) || '_' || o_orderpriority AS PKValue, o_orderkey AS detail FROM orders
+       UNION ALL SELECT 'duplicate', CAST(o_custkey AS VARCHAR) || '_' || o_orderpriority, count(*) FROM orders
+         GROUP BY o_custkey, o_orderpriority HAVING count(*) > 1""",
+)
+def key_changed(t: Tables):
+    """Orders under another key: the rebuilt key text of every row, and the keys that repeat."""
+    types = {"o_custkey": "bigint", "o_orderpriority": "varchar(20)"}
+    rows, bad = rekey(t.orders, list(types), types)
+    rows = rows.select(F.lit("row").alias("kind"), "PKValue", F.col("o_orderkey").alias("detail"))
+    bad = bad.select(F.col("issue").alias("kind"), F.concat_ws("_", "o_custkey", "o_orderpriority").alias("PKValue"), F.col("row_count").alias("detail"))
+    return rows.unionByName(bad)
+
+
 @query(
     "m4_create_target",
     """SELECT p_partkey AS Part_Id, p_name AS Name, CAST(p_retailprice AS DOUBLE) AS Price, 'erp' AS DataSource_Id, 'acme' AS Company_Id,
