@@ -7,9 +7,9 @@ so a table is never overwritten while it is read.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from weftmart.functions.scalars import literal, render_in_zone
 from weftmart.operators.project import DELETE_INDICATOR, named
@@ -144,22 +144,30 @@ def load(
 
 
 def upsert_partitions(
-    spark: SparkSession, path: str, incoming: DataFrame, keys: Sequence[str], partition_column: str, **options
+    spark: SparkSession,
+    path: str,
+    incoming: DataFrame,
+    keys: Sequence[str],
+    partition_column: str,
+    merge: Callable[[DataFrame, DataFrame], DataFrame] | None = None,
+    **options,
 ) -> DataFrame:
     """Upsert into a partitioned table, reading and rewriting only the partitions incoming rows touch.
 
-    A key must never change its partition. The merged partitions are written aside first, so a failed
-    run leaves the table as it was, and then replace their old versions.
+    A key must never change its partition. The merged partitions are written aside first and then replace
+    their old versions, as Spark's dynamic partition overwrite does it. ``merge`` replaces the upsert by
+    another function of (stored rows, incoming rows).
     """
-    target = spark.read.parquet(path)
+    schema = T.StructType([*(f for f in incoming.schema if f.name != partition_column), incoming.schema[partition_column]])
+    target = spark.read.schema(schema).parquet(path)
     # one value per touched partition folder
     touched = [r[0] for r in incoming.select(named(partition_column)).distinct().collect()]
     affected = target.where(named(partition_column).isin(touched))
-    merged = materialise(upsert(affected, incoming, keys, **options), "partitions")
-    sized = merged.hint("rebalance", named(partition_column))
+    state = merge(affected, incoming) if merge else upsert(affected, incoming, keys, **options)
+    sized = materialise(state, "partitions").hint("rebalance", named(partition_column))
     sized.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition_column).parquet(path)
     spark.catalog.refreshByPath(path)
-    return spark.read.schema(target.schema).parquet(path)
+    return spark.read.schema(schema).parquet(path)
 
 
 def save_bucketed(df: DataFrame, name: str, path: str, keys: Sequence[str], buckets: int) -> DataFrame:

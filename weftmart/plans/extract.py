@@ -18,13 +18,13 @@ def extract(
     settings: LoadSettings,
     company: str,
     watermark: Any = None,
-    reference: Any = None,
+    as_of: Any = None,
     period: Period | None = None,
     order: Sequence[str] = (),
     descending: Sequence[str] = (),
 ) -> DataFrame:
     """Tenant column and mapped columns of the rows in the load window. The window uses source names."""
-    rows = load_window(source, settings, watermark, reference, period, order, descending)
+    rows = load_window(source, settings, watermark, as_of, period, order, descending)
     mapped = [c for c in spec.columns if not c.is_constant and c.tag != "SK"]
     return with_tenant(map_columns(rows, mapped), company)
 

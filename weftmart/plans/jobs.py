@@ -43,7 +43,7 @@ def run_table(
     stamp: Stamp,
     path: str,
     dimensions: Mapping[str, DataFrame] | None = None,
-    reference: Any = None,
+    as_of: Any = None,
     period: Period | None = None,
     zone: str = "UTC",
     formats: Mapping[str, str] | None = None,
@@ -56,7 +56,7 @@ def run_table(
     source, so the deleted keys are those of the old warehouse, and each table is written once.
     """
     old = TableState(deletes=state.deletes) if settings.write_mode == "overwrite" else state
-    rows = load_window(source, settings, old.watermark, reference, period)
+    rows = load_window(source, settings, old.watermark, as_of, period)
     first = old.warehouse is None
     start = None if first else stamp[0]
     gone, deletes = None, old.deletes

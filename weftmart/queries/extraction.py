@@ -60,7 +60,7 @@ def having(t: Tables):
 @query("f3_trailing_months", "SELECT o_orderkey, o_orderdate FROM orders WHERE o_orderdate >= TIMESTAMP '1998-07-15 12:00:00' - INTERVAL 6 MONTH")
 def trailing(t: Tables):
     chosen = settings(conditional={"conditional_date_param": "o_orderdate", "trailing_months": 6})
-    return load_window(t.orders, chosen, reference=REFERENCE).select("o_orderkey", "o_orderdate")
+    return load_window(t.orders, chosen, as_of=REFERENCE).select("o_orderkey", "o_orderdate")
 
 
 @query(
@@ -73,7 +73,7 @@ def custom(t: Tables):
         custom_filter="o_orderstatus = 'F' or o_totalprice > 400000",
         conditional={"conditional_date_param": "o_orderdate", "trailing_months": 12},
     )
-    return load_window(t.orders, chosen, reference=REFERENCE).select("o_orderkey", "o_orderdate", "o_orderstatus")
+    return load_window(t.orders, chosen, as_of=REFERENCE).select("o_orderkey", "o_orderdate", "o_orderstatus")
 
 
 @query(
@@ -196,4 +196,4 @@ def extracted(t: Tables):
         custom_filter="o_orderpriority <> '5-LOW'",
         conditional={"conditional_date_param": "o_orderdate", "trailing_months": 18},
     )
-    return extract(t.orders, ORDER_SPEC, chosen, "acme", reference=REFERENCE)
+    return extract(t.orders, ORDER_SPEC, chosen, "acme", as_of=REFERENCE)

@@ -17,7 +17,7 @@ from weftmart.queries.snapshots import (
     FIRST_LOAD, SECOND_LOAD, customer_after, customer_before, orders_after, orders_before, with_snapshots,
 )
 from weftmart.session import scratch_path, write_table
-from weftmart.streaming.incremental import merge_stream
+from weftmart.streaming.incremental import merge_stream, merge_stream_partitions
 
 _UPSERTED = with_snapshots(
     """SELECT * FROM orders_after UNION ALL
@@ -51,7 +51,7 @@ def upserted_by_partition(t: Tables):
     path = scratch_path(t.spark, "orders-by-year")
     write_table(orders_before(t).withColumn("order_year", year), path, ["order_year"])
     incoming = orders_after(t).withColumn("order_year", year)
-    return upsert_partitions(t.spark, path, incoming, ["o_orderkey"], "order_year").withColumn("order_year", F.col("order_year").cast("string"))
+    return upsert_partitions(t.spark, path, incoming, ["o_orderkey"], "order_year")
 
 
 @query(
@@ -194,6 +194,24 @@ def streamed(t: Tables):
     ).select("user_id", "event_id", "Updated_Date", "event_type", "value")
 
 
+@query(
+    "x1_stream_merge_partitions",
+    """SELECT event_id, user_id, event_type, CASE WHEN event_type = 'purchase' THEN value + 1 ELSE value END AS value,
+              CASE WHEN event_type = 'purchase' THEN ts + INTERVAL 1 DAY ELSE ts END AS Updated_Date, CAST(ts AS DATE) AS event_day FROM events""",
+)
+def streamed_by_day(t: Tables):
+    """Events and their later corrections, merged day by day."""
+    path = scratch_path(t.spark, "stream-by-day")
+    columns = ["event_id", "user_id", "event_type", "value", F.col("ts").alias("Updated_Date"), F.col("ts").cast("date").alias("event_day")]
+    events = t.events.select(*columns)
+    later = F.col("Updated_Date") + F.make_dt_interval(F.lit(1))
+    corrections = events.where("event_type = 'purchase'").withColumns({"value": F.col("value") + 1, "Updated_Date": later})
+    corrections.unionByName(events).repartition(4, "event_type").write.parquet(f"{path}/landed")
+    return merge_stream_partitions(
+        t.spark, f"{path}/landed", events.schema, ["event_id"], ["Updated_Date"], "event_day", f"{path}/state", f"{path}/checkpoint", 1
+    ).select("event_id", "user_id", "event_type", "value", "Updated_Date", "event_day")
+
+
 @query("w1_upsert_bucketed", _UPSERTED)
 def upserted_bucketed(t: Tables):
     """The target is stored bucketed by its key, so only the incoming rows are shuffled."""

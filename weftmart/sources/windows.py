@@ -20,9 +20,9 @@ class Period:
     end: Any
 
 
-def trailing_months(column: str, months: int, reference: Any) -> Column:
-    """Rows of the last months before the reference time."""
-    return named(column) >= months_before(literal(reference), months)
+def trailing_months(column: str, months: int, as_of: Any) -> Column:
+    """Rows of the last months before a time."""
+    return named(column) >= months_before(literal(as_of), months)
 
 
 def historical(column: str, period: Period) -> Column:
@@ -47,7 +47,7 @@ def high_watermark(df: DataFrame, column: str, kind: str) -> DataFrame:
 
 
 def window_condition(
-    settings: LoadSettings, watermark: Any = None, reference: Any = None, period: Period | None = None
+    settings: LoadSettings, watermark: Any = None, as_of: Any = None, period: Period | None = None
 ) -> Column | None:
     """The rows of this run.
 
@@ -60,7 +60,7 @@ def window_condition(
     elif settings.incremental_column:
         condition = since(settings.incremental_column, watermark) if watermark is not None else None
     elif settings.date_column and settings.trailing_months is not None:
-        condition = trailing_months(settings.date_column, settings.trailing_months, reference)
+        condition = trailing_months(settings.date_column, settings.trailing_months, as_of)
     if settings.custom_filter:
         custom = F.expr(settings.custom_filter)
         condition = custom if condition is None else condition & custom
@@ -71,12 +71,12 @@ def load_window(
     df: DataFrame,
     settings: LoadSettings,
     watermark: Any = None,
-    reference: Any = None,
+    as_of: Any = None,
     period: Period | None = None,
     order: Sequence[str] = (),
     descending: Sequence[str] = (),
 ) -> DataFrame:
-    condition = window_condition(settings, watermark, reference, period)
+    condition = window_condition(settings, watermark, as_of, period)
     if condition is not None:
         df = df.where(condition)
     if settings.limit is not None:

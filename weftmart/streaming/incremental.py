@@ -7,11 +7,19 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from weftmart.operators.aggregate import last_row
+from weftmart.operators.sinks import upsert_partitions
 from weftmart.session import write_table
 
+Prepare = Callable[[DataFrame], DataFrame]
 
-def _version(path: str, number: int) -> str:
-    return f"{path}/version={number:010d}"
+
+def _take_in(
+    spark: SparkSession, landed: str, schema: T.StructType, checkpoint: str, files_per_batch: int, merge: Callable[[DataFrame, int], None]
+) -> None:
+    """Run ``merge`` on all files not yet seen, a set of files at a time, and stop."""
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(landed)
+    writer = stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
+    writer.trigger(availableNow=True).start().awaitTermination()
 
 
 def merge_stream(
@@ -23,25 +31,58 @@ def merge_stream(
     state_path: str,
     checkpoint: str,
     files_per_batch: int = 1000,
-    prepare: Callable[[DataFrame], DataFrame] = lambda df: df,
+    prepare: Prepare = lambda df: df,
 ) -> DataFrame:
-    """Take in all files not yet seen and return the merged table.
+    """Take in new files and return the merged table.
 
-    Batch n reads version n-1 and writes version n, so a repeated batch writes the same table again.
-    Within a batch the newest row of a key wins; a late row only replaces an older one.
+    Batch n reads version n-1 and writes version n, so a repeated batch writes the same table again. A
+    finished version is noted in a small table of its own. Within a batch the newest row of a key wins; a
+    late row only replaces an older one.
     """
 
+    def version(number: int) -> str:
+        return f"{state_path}/version={number}"
+
+    def merge(batch: DataFrame, number: int) -> None:
+        state = last_row(prepare(batch), keys, order)
+        if number > 0:
+            stored = spark.read.schema(state.schema).parquet(version(number - 1))
+            state = last_row(stored.unionByName(state), keys, order)
+        write_table(state, version(number))
+        spark.range(1).select(F.lit(number).alias("number")).write.mode("append").parquet(f"{state_path}/finished")
+
+    _take_in(spark, landed, schema, checkpoint, files_per_batch, merge)
+    newest = spark.read.schema("number int").parquet(f"{state_path}/finished").agg(F.max("number")).first()[0]
+    return spark.read.parquet(version(newest))
+
+
+def merge_stream_partitions(
+    spark: SparkSession,
+    landed: str,
+    schema: T.StructType,
+    keys: Sequence[str],
+    order: Sequence[str],
+    partition_column: str,
+    state_path: str,
+    checkpoint: str,
+    files_per_batch: int = 1000,
+    prepare: Prepare = lambda df: df,
+) -> DataFrame:
+    """The same into a partitioned table, of which a batch rewrites only the partitions it touches.
+
+    A key must never change its partition. Merging a batch twice gives the same rows, so a repeated batch
+    does no harm.
+    """
+
+    def newest(stored: DataFrame, incoming: DataFrame) -> DataFrame:
+        return last_row(stored.unionByName(incoming), keys, order)
+
     def merge(batch: DataFrame, number: int) -> None:
         incoming = last_row(prepare(batch), keys, order)
         if number == 0:
-            write_table(incoming, _version(state_path, 0))
-            return
-        target = spark.read.schema(incoming.schema).parquet(_version(state_path, number - 1))
-        write_table(last_row(target.unionByName(incoming), keys, order), _version(state_path, number))
+            write_table(incoming, state_path, [partition_column])
+        else:
+            upsert_partitions(spark, state_path, incoming, keys, partition_column, newest)
 
-    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(landed)
-    query = stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-    query.awaitTermination()
-    # a version that was not committed has no visible files
-    newest = spark.read.parquet(state_path).agg(F.max("version")).first()[0]
-    return spark.read.parquet(_version(state_path, newest))
+    _take_in(spark, landed, schema, checkpoint, files_per_batch, merge)
+    return spark.read.parquet(state_path)
