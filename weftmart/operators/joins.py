@@ -1,41 +1,76 @@
 """Left-outer chains, lookups and exclusions.
 
 No join here is forced to broadcast: Catalyst broadcasts a side whose size it knows to be under the
-session's threshold and AQE splits skewed shuffle partitions. ``salt`` additionally spreads a key that
-is known to be hot over several tasks, without depending on measured sizes.
+session's threshold and AQE splits skewed shuffle partitions. AQE does so only where both sides of a join
+are shuffled for it; a side that was just grouped by the join columns is used as it lies. ``join_grouped``
+is for that case. ``salt`` additionally spreads a key that is known to be hot over several tasks, without
+depending on measured sizes.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Collection, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from weftmart.operators.aggregate import filter_group
 from weftmart.operators.project import DELETE_INDICATOR, named, select_columns
 from weftmart.spec import ColumnMap, JoinSpec, TableSpec
 
-_SALT = "__salt"
+_SALT, _CHECK = "__salt", "__check"
 
 
-def left_join(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]], salt: int = 1) -> DataFrame:
+def left_join(
+    left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]], salt: int = 1, grouped: bool = False
+) -> DataFrame:
     """Left-outer equi-join; right key columns stay in the result under their own names.
 
     With ``salt`` each right row is repeated that many times and each left row meets one copy. The copy
-    depends on the row's content only, so a recomputed task places its rows as before.
+    depends on the row's content only, so a recomputed task places its rows as before. ``grouped`` tells
+    that the right side is the result of grouping by its key.
     """
     shared = set(left.columns) & set(right.columns)
     if shared:
         raise ValueError(f"joined sides share columns {sorted(shared)}")
     if salt <= 1:
-        return left.join(right, _matching(pairs), "left_outer")
+        return join_grouped(left, right, pairs, "left_outer") if grouped else left.join(right, _matching(pairs), "left_outer")
     plain = [named(c) for c in left.columns]
     salted_left = left.withColumn(_SALT, F.pmod(F.xxhash64(*plain), F.lit(salt)))
-    salted_right = right.withColumn(_SALT + "_r", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salt - 1).cast("bigint"))))
+    copies = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salt - 1).cast("bigint")))
+    salted_right = right.withColumn(_SALT + "_r", copies)
     condition = _matching(pairs) & (F.col(_SALT) == F.col(_SALT + "_r"))
     return salted_left.join(salted_right, condition, "left_outer").drop(_SALT, _SALT + "_r")
 
 
+def join_grouped(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]], how: str) -> DataFrame:
+    """Join with a right side that was grouped by its key, so that a hot key of the left side can be split.
+
+    A checksum of the key is a second join column. It makes Spark shuffle the grouped side, one row per
+    key, once more for the join, which is what lets AQE split the left side.
+    """
+    checks = _comparable(left, right, pairs)
+    if checks is None:
+        return left.join(right, _matching(pairs), how)
+    checked = right.withColumn(_CHECK, F.xxhash64(*checks[1]))
+    return left.join(checked, _matching(pairs) & (F.xxhash64(*checks[0]) == F.col(_CHECK)), how).drop(_CHECK)
+
+
+def _comparable(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]]) -> tuple[list[Column], list[Column]] | None:
+    """Key columns whose checksums are equal whenever the keys are; ``None`` if their types do not allow it."""
+    ours, theirs = [], []
+    for a, b in pairs:
+        a_type, b_type = left.schema[a].dataType, right.schema[b].dataType
+        if a_type == b_type:
+            ours.append(named(a))
+            theirs.append(named(b))
+        elif isinstance(a_type, T.NumericType) and isinstance(b_type, T.NumericType):
+            ours.append(named(a).cast("double"))
+            theirs.append(named(b).cast("double"))
+        else:
+            return None
+    return ours, theirs
+
+
 def _matching(pairs: Sequence[tuple[str, str]]) -> Column:
     condition = F.lit(True)
     for i, (a, b) in enumerate(pairs):
@@ -55,11 +90,16 @@ def read_table(source: DataFrame, table: TableSpec) -> DataFrame:
     return select_columns(grouped, {c: a for c, a in table.columns.items() if c in grouped.columns})
 
 
-def join_chain(tables: Mapping[str, DataFrame], driving: str, joins: Sequence[JoinSpec]) -> DataFrame:
-    """Fold the joins in level order; each step's left input is the previous step's output."""
+def join_chain(
+    tables: Mapping[str, DataFrame], driving: str, joins: Sequence[JoinSpec], grouped: Collection[str] = ()
+) -> DataFrame:
+    """Fold the joins in level order; each step's left input is the previous step's output.
+
+    ``grouped`` names the tables that are results of grouping.
+    """
     joined = tables[driving]
     for join in sorted(joins, key=lambda j: j.level):
-        joined = left_join(joined, tables[join.right], join.pairs, join.salt)
+        joined = left_join(joined, tables[join.right], join.pairs, join.salt, join.right in grouped)
     return joined
 
 
@@ -90,7 +130,7 @@ def lookup(
             *[named(k).alias(f"__lkp_{k}") for k in keys], *[named(c).alias(a) for c, a in fetch.items()]
         )
     pairs = [(a, f"__lkp_{b}") for a, b in on.items()]
-    return left_join(df, right, pairs, salt).drop(*[f"__lkp_{k}" for k in keys])
+    return left_join(df, right, pairs, salt, grouped=bool(order_by)).drop(*[f"__lkp_{k}" for k in keys])
 
 
 def resolve_foreign_keys(df: DataFrame, foreign: Sequence[ColumnMap], dimensions: Mapping[str, DataFrame], salt: int = 1) -> DataFrame:
@@ -128,24 +168,22 @@ def deleted_rows(warehouse: DataFrame, source_keys: DataFrame, keys: Sequence[st
     return warehouse.join(gone, list(keys), "left_semi").withColumn(DELETE_INDICATOR, F.lit(True))
 
 
-def _partner_keys(other: DataFrame, on: Mapping[str, str]) -> tuple[DataFrame, Column]:
-    """Key columns of the other side, each key once, and the join condition.
-
-    Repeats are removed in each task before the shuffle, so a key that holds a large part of the other
-    side reaches its join task as one row. The join reuses the partitioning of that step.
-    """
-    keys = other.select(*[named(b).alias(f"__x_{i}") for i, b in enumerate(on.values())]).distinct()
-    return keys, _matching([(a, f"__x_{i}") for i, a in enumerate(on)])
+def _with_partner(df: DataFrame, other: DataFrame, on: Mapping[str, str], unique: bool, how: str) -> DataFrame:
+    """Semi or anti join. Unless the other side's keys are unique, repeats are removed in each task before
+    the shuffle, so a key that holds a large part of the other side reaches its join task as one row."""
+    keys = other.select(*[named(b).alias(f"__x_{i}") for i, b in enumerate(on.values())])
+    pairs = [(a, f"__x_{i}") for i, a in enumerate(on)]
+    return df.join(keys, _matching(pairs), how) if unique else join_grouped(df, keys.distinct(), pairs, how)
 
 
-def exclude(df: DataFrame, other: DataFrame, on: Mapping[str, str]) -> DataFrame:
+def exclude(df: DataFrame, other: DataFrame, on: Mapping[str, str], unique: bool = False) -> DataFrame:
     """Rows without a partner; a null key has none and stays."""
-    return df.join(*_partner_keys(other, on), "left_anti")
+    return _with_partner(df, other, on, unique, "left_anti")
 
 
-def keep_matching(df: DataFrame, other: DataFrame, on: Mapping[str, str]) -> DataFrame:
+def keep_matching(df: DataFrame, other: DataFrame, on: Mapping[str, str], unique: bool = False) -> DataFrame:
     """Rows with a partner, each once."""
-    return df.join(*_partner_keys(other, on), "left_semi")
+    return _with_partner(df, other, on, unique, "left_semi")
 
 
 def not_in(df: DataFrame, column: str, other: DataFrame, other_column: str) -> DataFrame:
@@ -158,14 +196,15 @@ def not_in(df: DataFrame, column: str, other: DataFrame, other_column: str) -> D
     values = other.select(named(other_column).alias("__v"))
     nulls = values.agg(F.count_if(F.col("__v").isNull())).scalar()
     rows = values.agg(F.count("*")).scalar()
-    kept = df.join(values.where("__v is not null").distinct(), named(column) == F.col("__v"), "left_anti")
+    kept = exclude(df, values.where("__v is not null"), {column: "__v"})
     return kept.where((rows == 0) | ((nulls == 0) & named(column).isNotNull()))
 
 
 def flag_matches(df: DataFrame, existing: DataFrame, keys: Sequence[str], flag: str = "matched") -> DataFrame:
     """One pass that tells rows with an existing key from new ones."""
-    known = existing.select(*[named(k) for k in keys]).distinct().withColumn(flag, F.lit(True))
-    return df.join(known, list(keys), "left_outer").withColumn(flag, F.coalesce(F.col(flag), F.lit(False)))
+    known = existing.select(*[named(k).alias(f"__x_{i}") for i, k in enumerate(keys)]).distinct().withColumn(flag, F.lit(True))
+    joined = join_grouped(df, known, [(k, f"__x_{i}") for i, k in enumerate(keys)], "left_outer")
+    return joined.select(*[named(c) for c in df.columns], F.coalesce(F.col(flag), F.lit(False)).alias(flag))
 
 
 def match_split(df: DataFrame, existing: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:

@@ -12,6 +12,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from weftmart.functions.scalars import literal, render_in_zone
+from weftmart.operators.joins import exclude, flag_matches
 from weftmart.operators.project import DELETE_INDICATOR, named
 from weftmart.session import materialise, write_table
 
@@ -207,14 +208,12 @@ def audit_deletes(deletes: DataFrame, stamp: Stamp, zone: str = "UTC") -> DataFr
 
 def replace_by_key(target: DataFrame, incoming: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Delete every row of the incoming keys, then insert the incoming rows: a repeatable reload."""
-    reloaded = incoming.select(*[named(k) for k in keys]).distinct()
-    return target.join(reloaded, list(keys), "left_anti").unionByName(incoming)
+    return exclude(target, incoming, {k: k for k in keys}).unionByName(incoming)
 
 
 def deactivate_and_insert(target: DataFrame, incoming: DataFrame, keys: Sequence[str], flag: str = "Active_flag") -> DataFrame:
     """Keep old versions as inactive rows and add the incoming ones as active."""
-    renewed = incoming.select(*[named(k) for k in keys]).distinct().withColumn("__renewed", F.lit(True))
-    history = target.join(renewed, list(keys), "left_outer")
-    history = history.withColumn(flag, F.when(F.col("__renewed"), F.lit(0)).otherwise(named(flag)).cast(target.schema[flag].dataType))
-    active = incoming.withColumn(flag, F.lit(1).cast(target.schema[flag].dataType))
-    return history.drop("__renewed").unionByName(active)
+    kind = target.schema[flag].dataType
+    history = flag_matches(target, incoming, keys, "__renewed")
+    state = F.when(F.col("__renewed"), F.lit(0)).otherwise(named(flag)).cast(kind)
+    return history.withColumn(flag, state).drop("__renewed").unionByName(incoming.withColumn(flag, F.lit(1).cast(kind)))

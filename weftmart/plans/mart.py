@@ -23,7 +23,8 @@ def build_mart(spec: MartSpec, sources: Mapping[str, DataFrame]) -> DataFrame:
     """
     spec.validate()
     tables = {t.alias: read_table(sources[t.name], t) for t in spec.tables}
-    rows = join_chain(tables, spec.driving.alias, spec.joins)
+    grouped = {t.alias for t in spec.tables if t.step is not None and t.step.columns}
+    rows = join_chain(tables, spec.driving.alias, spec.joins, grouped)
     # columns that only serve a join keep their values, an unmatched row its null; derived ones come later
     untouched = {right for join in spec.joins for _, right in join.pairs} | {d.alias for d in spec.derived}
     declared = {c: t for c, t in spec.types.items() if c not in untouched}
