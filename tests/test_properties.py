@@ -304,3 +304,15 @@ def test_list_of_a_hot_key(spark, many_partitions):
     for k, v in sorted(((r["k"], r["v"]) for r in rows.collect()), key=lambda r: r[1]):
         groups.setdefault(k, []).append(str(v))
     assert got == {k: "|".join(values) for k, values in groups.items()}
+
+
+def test_large_limits_are_taken_by_number(spark, many_partitions, monkeypatch):
+    from weftmart.operators import sets
+
+    rows = hot_rows(spark).select("v")
+    small = [sets.first_rows(rows, 50, ["v"], d).collect() for d in ([], ["v"])]
+    monkeypatch.setattr(sets, "ONE_TASK_LIMIT", 10)
+    large = [sets.first_rows(rows, 50, ["v"], d) for d in ([], ["v"])]
+    assert [collected(df) for df in large] == [Counter(map(tuple, wanted)) for wanted in small]
+    assert sets.first_rows(rows, 50).count() == 50
+    assert sets.first_rows(rows, 10**6).count() == 6000

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from weftmart.functions.canonical import composite_key, row_hash
 from weftmart.operators.project import KEY_TEXT, named
@@ -17,13 +17,14 @@ _PART, _POS = "__part", "__pos"
 _POSITION_BITS = 33
 
 
-def ranged(df: DataFrame, order: Sequence[str], label: str) -> DataFrame:
+def ranged(df: DataFrame, order: Sequence[str | Column], label: str) -> DataFrame:
     """Rows range-partitioned and sorted by ``order``, with their partition and position in it.
 
     The result is written once, so later passes see the same partitions even if a task is recomputed.
+    Without an order the rows stay where they are.
     """
-    columns = [named(c) for c in order]
-    placed = df.repartitionByRange(*columns).sortWithinPartitions(*columns)
+    columns = [named(c) if isinstance(c, str) else c for c in order]
+    placed = df.repartitionByRange(*columns).sortWithinPartitions(*columns) if columns else df
     # the id holds the partition number above 33 bits of running position
     placed = placed.withColumn("__id", F.monotonically_increasing_id())
     stored = materialise(placed, label)
@@ -32,7 +33,7 @@ def ranged(df: DataFrame, order: Sequence[str], label: str) -> DataFrame:
     ).drop("__id")
 
 
-def global_number(df: DataFrame, order: Sequence[str], alias: str, start=None) -> DataFrame:
+def global_number(df: DataFrame, order: Sequence[str | Column], alias: str, start: Column | None = None) -> DataFrame:
     """Dense numbers 1..n in the order of unique columns, without sorting in one task.
 
     Only per-partition counts are brought together: one row per partition, which is also what bounds the

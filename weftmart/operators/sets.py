@@ -7,8 +7,12 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
+from weftmart.operators.keys import global_number
 from weftmart.operators.project import named
 
+# Rows that may meet in one task.
+ONE_TASK_LIMIT = 100_000
+
 
 def union_padded(parts: Sequence[tuple[DataFrame, Mapping[str, object]]]) -> DataFrame:
     """UNION ALL of row sets after padding each with its constant columns."""
@@ -32,6 +36,11 @@ def ordered(df: DataFrame, keys: Sequence[str], fallback: str = "Company_Id") ->
 
 
 def first_rows(df: DataFrame, count: int, order: Sequence[str] = (), descending: Sequence[str] = ()) -> DataFrame:
-    """Row limit; only ordered limits name the rows they keep."""
+    """Row limit; only ordered limits name the rows they keep.
+
+    Spark brings the rows of a limit together in one task. A large limit is taken by row number instead.
+    """
     columns = [named(c).desc() if c in descending else named(c).asc() for c in order]
+    if count > ONE_TASK_LIMIT:
+        return global_number(df, columns, "__number").where(F.col("__number") <= count).drop("__number")
     return df.orderBy(*columns).limit(count) if columns else df.limit(count)

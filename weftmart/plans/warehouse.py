@@ -16,7 +16,7 @@ from weftmart.functions.canonical import row_hash
 from weftmart.operators.cleanse import coerce, replace_missing
 from weftmart.operators.diff import as_target, target_schema
 from weftmart.operators.joins import deleted_keys, resolve_foreign_keys
-from weftmart.operators.keys import CHANGE_HASH, SOURCE_HASH, new_surrogate_keys, with_key_text
+from weftmart.operators.keys import CHANGE_HASH, SOURCE_HASH, new_surrogate_keys, with_change_hash, with_key_text
 from weftmart.operators.project import KEY_TEXT, UPDATED_DATE, map_columns, named
 from weftmart.operators.sinks import Stamp, audit_deletes, delete_rows, stamped, upsert
 from weftmart.session import materialise
@@ -96,11 +96,15 @@ def transaction_keys(
     stamp: Stamp,
     write_mode: str = "upsert",
     start: Any = None,
+    declared: Mapping[str, Any] | None = None,
 ) -> DataFrame:
-    """Staging to the key table: key text and the checksum over the incremental columns."""
+    """Staging to the key table: key text and the checksum over the incremental columns.
+
+    ``declared`` gives decimal types and date patterns that the texts are made with.
+    """
     read = [*spec.keys, *spec.change_columns]
-    rows = with_key_text(staging_source(staging, read, write_mode, start), spec.keys)
-    rows = rows.withColumn(CHANGE_HASH, row_hash(rows, spec.change_columns)).select(*spec.keys, KEY_TEXT, CHANGE_HASH)
+    rows = with_key_text(staging_source(staging, read, write_mode, start), spec.keys, declared)
+    rows = with_change_hash(rows, spec.change_columns, declared).select(*spec.keys, KEY_TEXT, CHANGE_HASH)
     return _next_state(key_table, rows, [KEY_TEXT], stamp, hash_column=CHANGE_HASH, date_only=True)
 
 

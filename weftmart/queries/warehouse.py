@@ -100,15 +100,25 @@ def mart_loaded(t: Tables):
     return _printable(load_mart(spec, sources, first.select(*spec.retain), f"{path}/v2", "upsert"))
 
 
+_COLUMN_SCHEMA = "Table_Name string, Table_Name_Alias string, Column_Name string, Column_Name_Alias string, Data_Type string"
 _CONTROL = {
     "mart_driving_column": (
-        "Table_Name string, Table_Name_Alias string, Column_Name string, Column_Name_Alias string",
-        [("orders", "o", c, a) for c, a in (("o_custkey", "buyer"), ("o_totalprice", "price"), ("o_orderkey", "order_id"))],
+        _COLUMN_SCHEMA,
+        [
+            ("orders", "o", "o_custkey", "buyer", "bigint"),
+            ("orders", "o", "o_totalprice", "price", "decimal(14,2)"),
+            ("orders", "o", "o_orderkey", "order_id", "bigint"),
+        ],
     ),
     "mart_lookup_column": (
-        "Table_Name string, Table_Name_Alias string, Column_Name string, Column_Name_Alias string",
-        [("customer", "c", c, a) for c, a in (("c_custkey", "customer_id"), ("c_mktsegment", "segment"), ("c_nationkey", "home"))]
-        + [("nation", "n", "n_nationkey", "nation_id"), ("nation", "n", "n_name", "nation")],
+        _COLUMN_SCHEMA,
+        [
+            ("customer", "c", "c_custkey", "customer_id", "bigint"),
+            ("customer", "c", "c_mktsegment", "segment ", "varchar(20)"),
+            ("customer", "c", "c_nationkey", "home", "int"),
+            ("nation", "n", "n_nationkey", "nation_id", "int"),
+            ("nation", "n", "n_name", "nation", "varchar(25)"),
+        ],
     ),
     "mart_join": (
         "Table_Name_Alias string, Column_Name_Alias string, Join_Table_Alias string, Join_Column_Alias string, Join_Level int",
@@ -125,7 +135,7 @@ _CONTROL = {
     "mart_filter": ("Filter_Id int, Filter_Condition string", [(1, "o_orderstatus <> 'P'"), (2, "count(order_id) > 3")]),
     "mart_derived": (
         "Column_Name string, Column_Expression string, Level int, Expression_Type string, Column_Alias_Name string, Column_Arguments string, Data_Type string",
-        [("size", "length(segment)", 1, "JAVA", "segment_length", "segment:varchar(20)", "int")],
+        [("size", "length(segment)", 1, "JAVA", "segment_length", "segment", "int")],
     ),
     "mart_mapping": (
         "DL_Column_Names string, Constraints string, DL_Data_Types string",

@@ -28,6 +28,8 @@ def configure(spark: SparkSession) -> SparkSession:
 
 def build_session(app: str = "weftmart", master: str | None = None, **settings: str) -> SparkSession:
     builder = SparkSession.builder.appName(app).config("spark.ui.enabled", "false")
+    # a session that runs many loads keeps their generated classes
+    builder = builder.config("spark.sql.codegen.cache.maxEntries", "1000")
     if master:
         builder = builder.master(master)
     for key, value in settings.items():

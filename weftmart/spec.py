@@ -240,8 +240,10 @@ def warehouse_from_json(text: str) -> WarehouseSpec:
 
 
 def _rows(df: DataFrame | None) -> list[dict[str, Any]]:
-    # control tables hold one row per mapped column
-    return [] if df is None else [r.asDict() for r in df.collect()]
+    # control tables hold one row per mapped column; their texts may come padded
+    if df is None:
+        return []
+    return [{k: v.strip() if isinstance(v, str) else v for k, v in r.asDict().items()} for r in df.collect()]
 
 
 def mart_from_control(name: str, control: Mapping[str, DataFrame], keys_only: tuple[str, ...] = ("PK", "SK")) -> MartSpec:
@@ -285,6 +287,9 @@ def mart_from_control(name: str, control: Mapping[str, DataFrame], keys_only: tu
         key = (int(row["Join_Level"]), row["Table_Name_Alias"], row["Join_Table_Alias"])
         joins.setdefault(key, []).append((row["Column_Name_Alias"], row["Join_Column_Alias"]))
 
+    derived = _rows(control.get("mart_derived"))
+    declared = {r["Column_Name_Alias"]: r["Data_Type"] for r in [*driving, *lookup]}
+    declared |= {r["Column_Name"]: r["Data_Type"] for r in derived}
     mapping = _rows(control.get("mart_mapping"))
     join_only = {pair[1] for pairs in joins.values() for pair in pairs}
     return MartSpec(
@@ -303,10 +308,10 @@ def mart_from_control(name: str, control: Mapping[str, DataFrame], keys_only: tu
                 int(d["Level"]),
                 d["Expression_Type"],
                 d["Column_Alias_Name"] or "",
-                dict(a.split(":") for a in (d["Column_Arguments"] or "").split(",") if a),
+                {a: declared[a] for a in _names(d["Column_Arguments"])},
                 d["Data_Type"],
             )
-            for d in _rows(control.get("mart_derived"))
+            for d in derived
         ),
         derived_step=step(by_position.get("Derived_Columns")),
         retain=tuple(m["DL_Column_Names"] for m in mapping if m["DL_Column_Names"] not in join_only),
