@@ -316,3 +316,14 @@ def test_large_limits_are_taken_by_number(spark, many_partitions, monkeypatch):
     assert [collected(df) for df in large] == [Counter(map(tuple, wanted)) for wanted in small]
     assert sets.first_rows(rows, 50).count() == 50
     assert sets.first_rows(rows, 10**6).count() == 6000
+
+
+def test_texts_in_expressions_are_no_names(spark):
+    from weftmart.operators.derive import derive
+    from weftmart.spec import Derived
+
+    rows = frame(spark, {3: 4}).withColumn("kk", F.lit(7))
+    typed = Derived("t", "concat('k v\\'k', k, `v`, kk, 'kk')", kind="JAVA", arguments={"k": "varchar(5)", "v": "int", "kk": "int"}, type="varchar(20)")
+    plain = [Derived("label", "case when k > 1 then 'other' else 'x' end"), Derived("other", "v + 1")]
+    got = derive(rows, [typed, *plain]).first()
+    assert (got["t"], got["label"], got["other"], got["k"]) == ("k v'k347kk", "other", 5, 3)

@@ -54,13 +54,16 @@ def filter_group(df: DataFrame, step: FilterGroup | None) -> DataFrame:
     if len(keys) == len(step.columns) and not (step.condition and step.flow == "G"):
         return df.select(*[named(c.column).alias(c.name) for c in keys]).distinct()
     outputs = [f"{_quoted(c.column) if c.is_key else aggregate_text(c)} AS {_quoted(c.name)}" for c in step.columns]
-    text = f"SELECT {', '.join(outputs)} FROM {{rows}}"
+    head, tail = f"SELECT {', '.join(outputs)} FROM ", ""
     if keys:
-        text += f" GROUP BY {', '.join(_quoted(c.column) for c in keys)}"
+        tail += f" GROUP BY {', '.join(_quoted(c.column) for c in keys)}"
     if step.condition and step.flow == "G":
-        # braces of user text are no placeholders
-        text += f" HAVING {step.condition.replace('{', '{{').replace('}', '}}')}"
-    return df.sparkSession.sql(text, rows=df)
+        tail += f" HAVING {step.condition}"
+    return df.sparkSession.sql(_no_placeholders(head) + "{rows}" + _no_placeholders(tail), rows=df)
+
+
+def _no_placeholders(text: str) -> str:
+    return text.replace("{", "{{").replace("}", "}}")
 
 
 def string_list(

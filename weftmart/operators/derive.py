@@ -19,12 +19,26 @@ METHODS: dict[str, Callable[[DataFrame, Sequence[str]], Column]] = {
 }
 
 
+# a quoted text, or a bare or back-quoted name
+_LITERAL = r"'(?:[^'\\]|\\.)*'"
+
+
+def _bind(text: str, names: Mapping[str, str]) -> str:
+    """Replace column names in an expression, but not inside its texts."""
+    # longest name first, so that a name inside a longer one is not taken for it
+    options = "|".join(re.escape(n) for n in sorted(names, key=len, reverse=True))
+    pattern = re.compile(rf"{_LITERAL}|(?<![\w.`])`?({options})`?(?![\w`])")
+    return pattern.sub(lambda m: names[m[1]] if m[1] else m[0], text)
+
+
 def sql_columns(df: DataFrame, derived: Sequence[Derived]) -> DataFrame:
     """Columns of one level; each sees the input only, not its siblings."""
+    new = [d.name for d in derived if d.name not in df.columns]
     for d in derived:
-        for sibling in derived:
-            if sibling.name not in df.columns and re.search(rf"(?<!\w){re.escape(sibling.name)}(?!\w)", d.expression):
-                raise ValueError(f"derived column {d.name} uses {sibling.name} of its own level")
+        words = re.findall(r"\w+", re.sub(_LITERAL, "", d.expression))
+        used = [n for n in new if n in words]
+        if used:
+            raise ValueError(f"derived column {d.name} uses {used} of its own level")
     return df.withColumns({d.name: F.expr(d.expression) for d in derived})
 
 
@@ -35,13 +49,9 @@ def typed_columns(df: DataFrame, derived: Sequence[Derived]) -> DataFrame:
     """
     outputs, helpers = {}, {}
     for i, d in enumerate(derived):
-        text = d.expression
-        # longest name first, so that a name inside a longer one is not taken for it
-        for argument in sorted(d.arguments, key=len, reverse=True):
-            helper = f"__arg_{i}_{len(helpers)}"
-            helpers[helper] = named(argument).cast(spark_type(d.arguments[argument]))
-            text = re.sub(rf"(?<![\w.])`?{re.escape(argument)}`?(?!\w)", helper, text)
-        value = F.expr(text)
+        names = {argument: f"__arg_{i}_{j}" for j, argument in enumerate(d.arguments)}
+        helpers |= {names[a]: named(a).cast(spark_type(t)) for a, t in d.arguments.items()}
+        value = F.expr(_bind(d.expression, names) if names else d.expression)
         outputs[d.name] = value.cast(spark_type(d.type)) if d.type else value
     return df.withColumns(helpers).withColumns(outputs).drop(*helpers) if helpers else df.withColumns(outputs)
 
