@@ -2,8 +2,12 @@
 
 import datetime as dt
 import json
+from dataclasses import replace
 
-from weftmart.operators.conform import with_system_columns
+import pytest
+
+from weftmart.operators.conform import tag_incremental, with_system_columns
+from weftmart.plans.evolve import evolve_target, mapping_changes, promote_mapping
 from weftmart.plans.jobs import TableState, run_table
 from weftmart.session import scratch_path
 from weftmart.spec import ColumnMap, LoadSettings, WarehouseSpec
@@ -61,3 +65,50 @@ def test_overwrite_starts_anew(spark):
     state = run(spark, [(1, "01/02/2020", "a"), (5, "01/02/2020", "b")], TableState(), DAYS[0])
     state = run(spark, [(5, "01/02/2020", "b")], state, DAYS[1], write_mode="overwrite")
     assert seen(state.warehouse) == {(5, "b", 1, 2)}
+
+
+def test_mapping_changes_and_promotion(spark):
+    schema = "IL_Table_Name string, IL_Column_Name string, IL_Data_Type string"
+    live = spark.createDataFrame([("A", "x", "int"), ("A", "y", "int"), ("B", "z", "int")], schema)
+    saved = spark.createDataFrame([("A", "x", "bigint"), ("A", "w", "int")], schema)
+    changes = {(r["IL_Column_Name"], r["change"]) for r in mapping_changes(saved, live.where("IL_Table_Name = 'A'")).collect()}
+    assert changes == {("x", "U"), ("w", "I"), ("y", "D")}
+    promoted = {(r["IL_Table_Name"], r["IL_Column_Name"], r["IL_Data_Type"]) for r in promote_mapping(saved, live).collect()}
+    assert promoted == {("A", "x", "bigint"), ("A", "w", "int"), ("B", "z", "int")}
+
+
+def test_new_keys_must_be_unique(spark):
+    state = run(spark, [(1, "01/02/2020", "a"), (2, "01/02/2020", "a")], TableState(), DAYS[0])
+    by_name = replace(ITEM, columns=tuple(replace(c, tag={"Id": "", "Name": "PK"}.get(c.target, c.tag)) for c in ITEM.columns))
+    with pytest.raises(ValueError, match="not unique"):
+        evolve_target(ITEM, by_name, state, scratch_path(spark, "evolve"))
+    state = run(spark, [(1, "01/02/2020", "a"), (2, "01/02/2020", None)], TableState(), DAYS[0])
+    evolved = evolve_target(ITEM, by_name, state, scratch_path(spark, "evolve"))
+    assert {(r["Id"], r["Name"]) for r in evolved.warehouse.collect()} == {(1, "a"), (2, "")}
+
+
+def test_key_table_follows_a_key_change(spark):
+    columns = (ColumnMap("Id", "int", "id", "PK"), ColumnMap("Since", "varchar(20)", "since"), ColumnMap("Name", "varchar(9)", "name"))
+    old = tag_incremental(WarehouseSpec("Sale", "T", columns))
+    new = replace(old, columns=tuple(replace(c, tag="PK") if c.target == "Name" else c for c in old.columns))
+    settings = LoadSettings(write_mode="upsert")
+    rows = source(spark, [(1, "s", "a"), (2, "s", "b")])
+    state = run_table(rows, old, settings, TableState(), DAYS[0], scratch_path(spark, "run"))
+    evolved = evolve_target(old, new, state, scratch_path(spark, "evolve"))
+    assert {r["PKValue"] for r in state.key_table.collect()} == {"1", "2"}
+    assert {r["PKValue"] for r in evolved.key_table.collect()} == {"1_a", "2_b"}
+    again = run_table(rows, new, settings, evolved, DAYS[1], scratch_path(spark, "run"))
+    assert again.warehouse.count() == again.key_table.count() == 2
+
+
+def test_transaction_runs_with_deletes(spark):
+    columns = (ColumnMap("Id", "int", "id", "PK"), ColumnMap("Since", "varchar(20)", "since"), ColumnMap("Name", "varchar(9)", "name"))
+    spec = tag_incremental(WarehouseSpec("Sale", "T", columns))
+    settings = LoadSettings(write_mode="upsert", delete_flag=True)
+    state = TableState()
+    for day, rows in zip(DAYS, ([(1, "s", "a"), (2, "s", "b")], [(2, "s", "c"), (3, "s", "d")], [(3, "s", "d")])):
+        state = run_table(source(spark, rows), spec, settings, state, day, scratch_path(spark, "run"))
+        for table in (state.warehouse, state.staging, state.key_table):
+            assert {r["Id"] for r in table.collect()} == {r[0] for r in rows}
+    assert {(r["Id"], r["Name"]) for r in state.deletes.collect()} == {(1, "a"), (2, "c")}
+    assert [r["Updated_Date"].day for r in state.warehouse.collect()] == [2]

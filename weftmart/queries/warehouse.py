@@ -8,6 +8,7 @@ from dataclasses import dataclass, replace
 from pyspark.sql import DataFrame, functions as F
 
 from weftmart.operators.conform import tag_incremental, with_system_columns
+from weftmart.plans.evolve import evolve_target
 from weftmart.plans.jobs import TableState, run_table
 from weftmart.plans.mart import build_mart, load_mart
 from weftmart.plans.warehouse import (
@@ -419,6 +420,34 @@ def order_runs(t: Tables):
     return doubles(state.warehouse.select("Order_Id", "Status", "Price", "Customer_Key", "Updated_Date"), "Price")
 
 
+WIDER_CUSTOMER = replace(
+    CUSTOMER,
+    columns=tuple(replace(c, type="decimal(16,4)") if c.target == "Balance" else c for c in CUSTOMER.columns if c.target != "Nation")
+    + (ColumnMap("Phone", "varchar(20)", "c_phone"),),
+)
+
+
+@query(
+    "m2_evolve_all_tables",
+    with_snapshots(
+        """SELECT 'warehouse' AS table_name, Customer_Id, Name, Balance, Segment, CAST(NULL AS VARCHAR) AS Phone, Updated_Date FROM staged
+             WHERE Customer_Id IN (SELECT c_custkey FROM customer_after)
+           UNION ALL SELECT 'staging', Customer_Id, Name, Balance, Segment, NULL, Updated_Date FROM staged WHERE Customer_Id IN (SELECT c_custkey FROM customer_after)
+           UNION ALL SELECT 'deletes', Customer_Id, Name, Balance, Segment, NULL, TIMESTAMP '2024-02-01 00:00:00' FROM staged
+             WHERE Customer_Id NOT IN (SELECT c_custkey FROM customer_after)""",
+        _STAGED.strip(),
+    ),
+)
+def customer_evolved(t: Tables):
+    """After two runs a column goes, one gets wider and one is new, in all tables of the target."""
+    path, chosen = scratch_path(t.spark, "evolve"), settings(write_mode="upsert", delete_flag=True)
+    state = run_table(customer_before(t), CUSTOMER, chosen, TableState(), FIRST_LOAD, f"{path}/1")
+    state = run_table(customer_after(t), CUSTOMER, chosen, state, SECOND_LOAD, f"{path}/2")
+    state = evolve_target(CUSTOMER, WIDER_CUSTOMER, state, f"{path}/3")
+    parts = {"warehouse": state.warehouse, "staging": state.staging, "deletes": state.deletes}
+    return doubles(_labelled(parts, ["Customer_Id", "Name", "Balance", "Segment", "Phone", "Updated_Date"]), "Balance")
+
+
 def _labelled(parts: dict[str, DataFrame], columns: list[str]) -> DataFrame:
     result = None
     for name, rows in parts.items():
