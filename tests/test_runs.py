@@ -112,3 +112,12 @@ def test_transaction_runs_with_deletes(spark):
             assert {r["Id"] for r in table.collect()} == {r[0] for r in rows}
     assert {(r["Id"], r["Name"]) for r in state.deletes.collect()} == {(1, "a"), (2, "c")}
     assert [r["Updated_Date"].day for r in state.warehouse.collect()] == [2]
+
+
+def test_repeated_source_keys(spark):
+    rows = source(spark, [(1, "01/02/2020", "old"), (1, "01/03/2020", "new"), (2, "01/01/2020", "x")])
+    settings = LoadSettings(write_mode="upsert")
+    with pytest.raises(ValueError, match="repeat"):
+        run_table(rows, ITEM, settings, TableState(), DAYS[0], scratch_path(spark, "run"))
+    state = run_table(rows, ITEM, settings, TableState(), DAYS[0], scratch_path(spark, "run"), newest_by=["since"])
+    assert seen(state.warehouse) == {(1, "new", 1, 1), (2, "x", 2, 1)}

@@ -6,13 +6,15 @@ Every step is written under the run's folder before the next one reads it.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from typing import Any
 
 from pyspark.sql import DataFrame
 
+from weftmart.operators.aggregate import last_row
 from weftmart.operators.cleanse import coerce, replace_missing
+from weftmart.operators.diff import key_violations
 from weftmart.operators.joins import deleted_keys
 from weftmart.operators.sinks import Stamp, delete_rows
 from weftmart.plans.extract import next_watermark
@@ -21,7 +23,7 @@ from weftmart.plans.warehouse import (
 )
 from weftmart.session import materialise, write_table
 from weftmart.sources.windows import Period, load_window
-from weftmart.spec import DIMENSION, LoadSettings, WarehouseSpec
+from weftmart.spec import DIMENSION, PK, LoadSettings, WarehouseSpec
 
 
 @dataclass(frozen=True)
@@ -48,15 +50,23 @@ def run_table(
     zone: str = "UTC",
     formats: Mapping[str, str] | None = None,
     strategy: str = "bulk",
+    newest_by: Sequence[str] = (),
 ) -> TableState:
     """Load one target from its source and return its next state.
 
     Write mode ``overwrite`` starts the tables anew; ``upsert`` merges. With the delete flag rows the
     source no longer has are removed everywhere and added to the audit table. Rows of this run are in the
     source, so the deleted keys are those of the old warehouse, and each table is written once.
+
+    Of several source rows with one key the newest by the ``newest_by`` columns of the source is loaded.
+    Without them a repeated key is refused before anything is written.
     """
     old = TableState(deletes=state.deletes) if settings.write_mode == "overwrite" else state
     rows = load_window(source, settings, old.watermark, as_of, period)
+    if newest_by:
+        rows = last_row(rows, [c.source for c in spec.columns if c.tag == PK and not c.is_constant], newest_by)
+    elif not key_violations(_key_rows(rows, spec, formats), spec.keys).isEmpty():
+        raise ValueError(f"{spec.name}: source keys repeat; name the columns that tell the newest row")
     first = old.warehouse is None
     start = None if first else stamp[0]
     gone, deletes = None, old.deletes
