@@ -52,10 +52,11 @@ def test_a_repeated_run_changes_nothing(spark):
     state = run(spark, rows, TableState(), DAYS[0])
     again = run(spark, rows, state, DAYS[1])
     assert seen(again.warehouse) == seen(state.warehouse) == {(1, "a", 1, 1), (2, "", 2, 1)}
-    changed = run(spark, [rows[0], (2, "01/02/2020", "b")], again, DAYS[2])
-    assert seen(changed.warehouse) == {(1, "a", 1, 1), (2, "b", 2, 3)}
+    later = [rows[0], (2, "01/02/2020", "b"), (7, "01/02/2020", "n")]
+    changed = run(spark, later, again, DAYS[2])
+    assert seen(changed.warehouse) == {(1, "a", 1, 1), (2, "b", 2, 3), (7, "n", 3, 3)}
     delta = run_table(
-        source(spark, [rows[0], (2, "01/02/2020", "b")]), ITEM, LoadSettings(write_mode="upsert"), again, DAYS[2],
+        source(spark, later), ITEM, LoadSettings(write_mode="upsert"), again, DAYS[2],
         scratch_path(spark, "run"), formats={"Since": "dd/MM/yyyy"}, strategy="delta",
     )
     assert seen(delta.warehouse) == seen(changed.warehouse)

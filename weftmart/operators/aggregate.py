@@ -12,7 +12,7 @@ from weftmart.spec import FilterGroup, GroupColumn
 # Aggregate names that pass through to the engine.
 PASSED_AGGREGATES = (
     "sum", "min", "max", "avg", "mean", "count", "stddev", "stddev_pop", "var_pop", "variance",
-    "median", "first", "last", "any_value", "bit_and", "bit_or", "bit_xor", "bool_and", "bool_or",
+    "first", "last", "any_value", "bit_and", "bit_or", "bit_xor", "bool_and", "bool_or",
 )
 
 

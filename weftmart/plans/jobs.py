@@ -51,6 +51,7 @@ def run_table(
     formats: Mapping[str, str] | None = None,
     strategy: str = "bulk",
     newest_by: Sequence[str] = (),
+    salt: int = 1,
 ) -> TableState:
     """Load one target from its source and return its next state.
 
@@ -87,7 +88,7 @@ def run_table(
         key_table = store(transaction_keys(staging, spec, old.key_table, stamp, "upsert", start), "keys")
         since = None if first else _just_before(stamp)
         loaded = transaction_warehouse(
-            staging, spec, key_table, dimensions or {}, old.warehouse, stamp, since, start=start, strategy=strategy
+            staging, spec, key_table, dimensions or {}, old.warehouse, stamp, since, salt, start, strategy
         )
     warehouse = store(loaded, "warehouse")
     return TableState(staging, warehouse, key_table, deletes, next_watermark(source, settings) or old.watermark)
