@@ -62,3 +62,25 @@ def test_shared_folder_follows_the_session(spark):
     if configured:
         assert shared_dir(spark) == configured.rstrip("/")
     assert scratch_path(spark, "x") != scratch_path(spark, "x")
+
+
+class _Session:
+    """Just what the shared folder asks of a session."""
+
+    def __init__(self, master, folder=None):
+        self.conf = {"spark.checkpoint.dir": folder}
+        self.sparkContext = type("Context", (), {"master": master})
+
+
+def test_only_local_sessions_get_a_temporary_folder():
+    assert shared_dir(_Session("yarn", "hdfs://shared/")) == "hdfs://shared"
+    assert shared_dir(_Session("local[2]")) == shared_dir(_Session("local[*]"))
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_dir(_Session("yarn"))
+
+
+def test_lists_skip_nulls(spark):
+    from weftmart.operators.aggregate import string_list
+
+    rows = spark.createDataFrame([(1, None), (1, "b"), (1, "a"), (2, None), (None, "c")], "k int, v string")
+    assert {r["k"]: r["t"] for r in string_list(rows, ["k"], "v", "t").collect()} == {1: "a,b", 2: None, None: "c"}
