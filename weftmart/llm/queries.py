@@ -7,10 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from weftmart.llm.decontaminate import op1_decontaminate
+from weftmart.llm.minhash import op6_minhash
 from weftmart.session import configure
 
 BUILDERS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": op1_decontaminate,
+    "op6_minhash": op6_minhash,
 }
 
 ORACLES: dict[str, str] = {}
