@@ -9,12 +9,14 @@ from pyspark.sql import DataFrame, SparkSession
 from weftmart.llm.decontaminate import op1_decontaminate
 from weftmart.llm.minhash import op6_minhash
 from weftmart.llm.suffix_dedup import op9_suffix_dedup
+from weftmart.llm.imatch import op10_imatch
 from weftmart.session import configure
 
 BUILDERS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": op1_decontaminate,
     "op6_minhash": op6_minhash,
     "op9_suffix_dedup": op9_suffix_dedup,
+    "op10_imatch": op10_imatch,
 }
 
 ORACLES: dict[str, str] = {}
