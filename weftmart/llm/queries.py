@@ -10,6 +10,7 @@ from weftmart.llm.decontaminate import op1_decontaminate
 from weftmart.llm.minhash import op6_minhash
 from weftmart.llm.suffix_dedup import op9_suffix_dedup
 from weftmart.llm.imatch import op10_imatch
+from weftmart.llm.mixing import op3_mixing
 from weftmart.session import configure
 
 BUILDERS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -17,6 +18,7 @@ BUILDERS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_minhash": op6_minhash,
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_imatch": op10_imatch,
+    "op3_mixing": op3_mixing,
 }
 
 ORACLES: dict[str, str] = {}
