@@ -11,6 +11,7 @@ from weftmart.llm.minhash import op6_minhash
 from weftmart.llm.suffix_dedup import op9_suffix_dedup
 from weftmart.llm.imatch import op10_imatch
 from weftmart.llm.mixing import op3_mixing
+from weftmart.llm.pages import op8_page_text
 from weftmart.session import configure
 
 BUILDERS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -19,6 +20,7 @@ BUILDERS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_imatch": op10_imatch,
     "op3_mixing": op3_mixing,
+    "op8_page_text": op8_page_text,
 }
 
 ORACLES: dict[str, str] = {}
