@@ -12,6 +12,7 @@ from weftmart.llm.suffix_dedup import op9_suffix_dedup
 from weftmart.llm.imatch import op10_imatch
 from weftmart.llm.mixing import op3_mixing
 from weftmart.llm.pages import op8_page_text
+from weftmart.llm.toxicity import op2_toxicity
 from weftmart.session import configure
 
 BUILDERS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -21,6 +22,7 @@ BUILDERS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_imatch": op10_imatch,
     "op3_mixing": op3_mixing,
     "op8_page_text": op8_page_text,
+    "op2_toxicity": op2_toxicity,
 }
 
 ORACLES: dict[str, str] = {}
