@@ -269,8 +269,11 @@ def remove(
     A document with hits in one part of ``max_share`` or more is dropped. From the others, spans longer than
     ``max_words`` words are cut (None: they stay). All columns of ``docs`` come back.
     """
-    spark = docs.sparkSession
     names = docs.columns
+    blocks = blocks_of(benchmark, "item_id", "text", window)
+    first = next(blocks)
+    if next(blocks, None) is None:
+        return _remove_in_one_pass(docs, first, window, max_words, max_share, text_column)
     kept = materialise(docs.withColumn("__row", F.monotonically_increasing_id()), "decontaminate")
     inner = kept.select(F.col("__row").alias("row_id"), F.col(f"`{text_column}`").alias("text"))
     hits = find_hits(inner, benchmark, window, "row_id", "text")
@@ -288,6 +291,28 @@ def remove(
     return joined.select(*[f"`{c}`" for c in names])
 
 
+def _remove_in_one_pass(docs: DataFrame, block: list, window: int, max_words: int | None, max_share: int, text_column: str) -> DataFrame:
+    shared = docs.sparkSession.sparkContext.broadcast(Automaton(block, window).__dict__)
+    at = docs.columns.index(text_column)
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        machine = Automaton.__new__(Automaton)
+        machine.__dict__ = shared.value
+        for part in slices(batches, text_column):
+            good, texts = [], []
+            for text in part.column(at).to_pylist():
+                words = words_of((text or "").encode("utf-8", "surrogatepass"))
+                spans, _ = machine.scan(words)
+                hit = sum(b - a for a, b in spans)
+                good.append(not (hit and max_share * hit >= len(words)))
+                long = [s for s in spans if max_words is not None and s[1] - s[0] > max_words]
+                texts.append(cut_words(text, long) if long else text)
+            part = part.set_column(at, part.schema.field(at), pa.array(texts, part.schema.field(at).type))
+            yield part.filter(pa.array(good, pa.bool_()))
+
+    return docs.mapInArrow(keep, docs.schema)
+
+
 def op1_decontaminate(spark, sf_dir: str) -> DataFrame:
     """The digest of every document against the whole benchmark."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")

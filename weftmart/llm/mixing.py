@@ -20,6 +20,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from weftmart.llm.common import BROADCAST_IDS
 from weftmart.operators.keys import global_number
 from weftmart.session import materialise
 
@@ -156,6 +157,8 @@ def apply_mix(docs: DataFrame, seed: int = 7, id_column: str = "doc_id", text_co
     """The mixed corpus: every row of ``docs`` as often as it is taken, numbered by ``copy``."""
     rows = materialise(docs.withColumn("__row", F.monotonically_increasing_id()), "mix-rows")
     found = mix(rows, seed, "__row", text_column, source_column).where("copies > 0").select(F.col("id").alias("__row"), F.col("copies").alias("__copies"))
+    found = materialise(found, "mix-copies")
+    found = F.broadcast(found) if found.count() <= BROADCAST_IDS else found
     spread = rows.join(found, "__row").withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__copies"))))
     return spread.select(*[f"`{c}`" for c in docs.columns], "copy")
 

@@ -13,6 +13,7 @@ from weftmart.llm.imatch import op10_imatch
 from weftmart.llm.mixing import op3_mixing
 from weftmart.llm.pages import op8_page_text
 from weftmart.llm.toxicity import op2_toxicity
+from weftmart.llm.cotrain import op5_cotraining
 from weftmart.session import configure
 
 BUILDERS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -23,6 +24,7 @@ BUILDERS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_mixing": op3_mixing,
     "op8_page_text": op8_page_text,
     "op2_toxicity": op2_toxicity,
+    "op5_cotraining": op5_cotraining,
 }
 
 ORACLES: dict[str, str] = {}
