@@ -14,6 +14,7 @@ from weftmart.llm.mixing import op3_mixing
 from weftmart.llm.pages import op8_page_text
 from weftmart.llm.toxicity import op2_toxicity
 from weftmart.llm.cotrain import op5_cotraining
+from weftmart.llm.pii import op7_pii
 from weftmart.session import configure
 
 BUILDERS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -25,6 +26,7 @@ BUILDERS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_page_text": op8_page_text,
     "op2_toxicity": op2_toxicity,
     "op5_cotraining": op5_cotraining,
+    "op7_pii": op7_pii,
 }
 
 ORACLES: dict[str, str] = {}
