@@ -15,6 +15,7 @@ from weftmart.llm.pages import op8_page_text
 from weftmart.llm.toxicity import op2_toxicity
 from weftmart.llm.cotrain import op5_cotraining
 from weftmart.llm.pii import op7_pii
+from weftmart.llm.chat import op4_chat
 from weftmart.session import configure
 
 BUILDERS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -27,6 +28,7 @@ BUILDERS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_toxicity": op2_toxicity,
     "op5_cotraining": op5_cotraining,
     "op7_pii": op7_pii,
+    "op4_chat": op4_chat,
 }
 
 ORACLES: dict[str, str] = {}
