@@ -6,10 +6,13 @@ from dataclasses import replace
 
 import pytest
 
-from weftmart.operators.conform import tag_incremental, with_system_columns
+from weftmart.operators.conform import conform_target, tag_incremental, with_system_columns
+from weftmart.operators.diff import evolve
+from weftmart.operators.joins import resolve_foreign_keys
+from weftmart.operators.sinks import upsert_partitions
 from weftmart.plans.evolve import evolve_target, mapping_changes, promote_mapping
-from weftmart.plans.jobs import TableState, run_table
-from weftmart.session import scratch_path
+from weftmart.plans.jobs import TableState, open_state, run_table
+from weftmart.session import scratch_path, write_table
 from weftmart.spec import ColumnMap, LoadSettings, WarehouseSpec
 
 ITEM = with_system_columns(
@@ -62,10 +65,51 @@ def test_a_repeated_run_changes_nothing(spark):
     assert seen(delta.warehouse) == seen(changed.warehouse)
 
 
-def test_overwrite_starts_anew(spark):
+def test_overwrite_keeps_surrogate_keys(spark):
     state = run(spark, [(1, "01/02/2020", "a"), (5, "01/02/2020", "b")], TableState(), DAYS[0])
     state = run(spark, [(5, "01/02/2020", "b")], state, DAYS[1], write_mode="overwrite")
-    assert seen(state.warehouse) == {(5, "b", 1, 2)}
+    assert seen(state.warehouse) == {(5, "b", 2, 2)}
+    assert {(r["Id"], r["Item_Key"]) for r in state.deletes.collect()} == {(1, 1)}
+    state = run(spark, [(5, "01/02/2020", "b"), (9, "01/02/2020", "n")], state, DAYS[2], write_mode="overwrite")
+    assert seen(state.warehouse) == {(5, "b", 2, 3), (9, "n", 3, 3)}
+
+
+def test_another_session_continues(spark):
+    path = scratch_path(spark, "state")
+    rows = [(1, "01/02/2020", "a"), (2, "01/02/2020", "b")]
+    settings = LoadSettings(write_mode="upsert", delete_flag=True, incremental_kind="id", incremental_column="id")
+    run_table(source(spark, rows), ITEM, settings, open_state(spark, f"{path}/0"), DAYS[0], f"{path}/1", formats={"Since": "dd/MM/yyyy"})
+    later = spark.newSession()
+    state = open_state(later, f"{path}/1")
+    assert state.watermark == 2 and state.greatest == 2
+    state = run_table(source(later, [rows[1], (3, "01/02/2020", "c")]), ITEM, settings, state, DAYS[1], f"{path}/2", formats={"Since": "dd/MM/yyyy"})
+    assert seen(state.warehouse) == {(2, "b", 2, 1), (3, "c", 3, 2)}
+    assert open_state(later, f"{path}/2").deletes.count() == 1
+
+
+def test_unordered_repeats_of_a_dimension_are_refused(spark):
+    facts, dimension = spark.createDataFrame([(1,)], "k int"), spark.createDataFrame([(1, 10), (1, 11)], "k int, s int")
+    column = ColumnMap("S", "int", tag="FK", dimension="D", dimension_key="s", join=(("k", "k"),))
+    with pytest.raises(ValueError, match="repeats"):
+        resolve_foreign_keys(facts, [column], {"D": dimension})
+    assert resolve_foreign_keys(facts, [replace(column, order=("s",))], {"D": dimension}).collect() == [(1, 10)]
+
+
+def test_lossy_changes_are_refused(spark):
+    rows = spark.createDataFrame([(300, "abc")], "n int, t string")
+    for change in ({"n": "tinyint"}, {"t": "int"}):
+        with pytest.raises(ValueError, match="do not fit"):
+            evolve(rows, change)
+    assert evolve(rows, {"n": "tinyint"}, allow_losses=True).collect() == [(None,)]
+    with pytest.raises(ValueError, match="t \\(1 cut"):
+        conform_target(rows, {"t": "varchar(2)"})
+
+
+def test_keys_must_not_change_their_partition(spark):
+    path = scratch_path(spark, "parts")
+    write_table(spark.createDataFrame([(1, "a"), (2, "b")], "k int, p string"), path, ["p"])
+    with pytest.raises(ValueError, match="another p"):
+        upsert_partitions(spark, path, spark.createDataFrame([(1, "b")], "k int, p string"), ["k"], "p")
 
 
 def test_mapping_changes_and_promotion(spark):

@@ -18,7 +18,6 @@ from weftmart.functions.types import default_value, derive_target_type, normalis
         ("bigint", T.LongType()),
         ("ubigint", T.DecimalType(20, 0)),
         ("decimal(18,2)", T.DecimalType(18, 2)),
-        ("numeric(60,4)", T.DecimalType(38, 4)),
         ("double", T.DoubleType()),
         ("double(10,3)", T.DecimalType(10, 3)),
         ("float", T.DoubleType()),
@@ -78,7 +77,10 @@ def test_source_types(text, expected):
 @pytest.mark.parametrize(
     "arguments, expected",
     [
-        (("varchar", 20), "varchar(40)"),
+        (("varchar", 20), "varchar(20)"),
+        (("varchar", 400), "varchar(400)"),
+        (("varchar2", 400), "varchar(400)"),
+        (("varchar2", 20), "varchar(40)"),
         (("nvarchar", 200), "varchar(255)"),
         (("nchar", 3), "char(6)"),
         (("varchar", -1), "text"),
@@ -91,3 +93,8 @@ def test_source_types(text, expected):
 )
 def test_target_types(arguments, expected):
     assert derive_target_type(*arguments) == expected
+
+
+def test_too_many_digits_are_refused():
+    with pytest.raises(ValueError, match="digits"):
+        spark_type("numeric(60,4)")

@@ -29,7 +29,10 @@ ZERO_BOOLEAN = False
 ZERO_DATE = dt.date(1970, 1, 1)
 
 DEFAULT_DATE_FORMAT = "yyyy-MM-dd"
-MAX_STRING_LENGTH = 255
+# Text types that get twice their length, up to a limit, but never less than their own.
+WIDENED_STRING_TYPES = ("varchar2", "nvarchar", "nchar")
+WIDENED_LIMIT = 255
+MAX_PRECISION = 38
 
 
 @dataclass(frozen=True)
@@ -62,6 +65,12 @@ def parse_type(text: str) -> DeclaredType:
     return DeclaredType(base.lower(), int(precision) if precision else None, int(scale) if scale else None)
 
 
+def _decimal(precision: int, scale: int) -> T.DecimalType:
+    if precision > MAX_PRECISION:
+        raise ValueError(f"{precision} digits do not fit a decimal; {MAX_PRECISION} do")
+    return T.DecimalType(precision, scale)
+
+
 def spark_type(text: str) -> T.DataType:
     declared = parse_type(text)
     base, precision, scale = declared.base, declared.precision, declared.scale
@@ -80,9 +89,9 @@ def spark_type(text: str) -> T.DataType:
     if base == "double" and precision is None:
         return T.DoubleType()
     if base in DECIMAL_TYPES:
-        return T.DecimalType(min(precision or 38, 38), scale if scale is not None else (0 if precision else 10))
+        return _decimal(precision or MAX_PRECISION, scale if scale is not None else (0 if precision else 10))
     if base in FLOAT_TYPES:
-        return T.DecimalType(min(precision, 38), scale) if scale is not None else T.DoubleType()
+        return _decimal(precision, scale) if scale is not None else T.DoubleType()
     if base == "currency":
         return T.DecimalType(19, 4)
     if base in ("boolean", "bool"):
@@ -151,7 +160,7 @@ def derive_target_type(
     scale: int | None = None,
     default_type: str | None = None,
 ) -> str:
-    """Target type of a source column: strings get twice the source length up to a limit, -1 means text.
+    """Target type of a source column: texts keep their length, some get room to grow, -1 means text.
 
     ``default_type`` overrides the derivation, as the conversion table's default flag does.
     """
@@ -164,7 +173,7 @@ def derive_target_type(
     if "int" in base:
         return f"{base}({precision})" if precision is not None else base
     if base in STRING_TYPES and length is not None:
-        room = min(2 * length, MAX_STRING_LENGTH)
+        room = max(length, min(2 * length, WIDENED_LIMIT)) if base in WIDENED_STRING_TYPES else length
         name = {"varchar2": "varchar", "nvarchar": "varchar", "nchar": "char"}.get(base, base)
         return f"{name}({room})"
     if "bit" in base:

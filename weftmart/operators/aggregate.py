@@ -31,7 +31,7 @@ def aggregate_text(column: GroupColumn) -> str:
         if column.order_by:
             order = ", ".join(_quoted(o) for o in column.order_by)
             return f"min_by({c}, struct({order}))"
-        return f"any_value({c})"
+        return f"min({c})"  # without an order the pick must not change between runs
     if name in PASSED_AGGREGATES:
         return f"{name}({c})"
     raise ValueError(f"unknown aggregate {column.aggregate!r}")

@@ -11,7 +11,7 @@ from weftmart.functions.types import normalise_source_type, parse_type, spark_ty
 from weftmart.operators.diff import key_violations
 from weftmart.operators.joins import exclude, keep_matching
 from weftmart.operators.project import named
-from weftmart.spec import PK, SK, TRANSACTION, ColumnMap, WarehouseSpec
+from weftmart.spec import FK, PK, SK, TRANSACTION, ColumnMap, WarehouseSpec
 
 
 def conform_source(df: DataFrame, declared: Mapping[str, str]) -> DataFrame:
@@ -20,8 +20,16 @@ def conform_source(df: DataFrame, declared: Mapping[str, str]) -> DataFrame:
     return df.select(*[named(c).try_cast(t).alias(c) for c, t in types.items()])
 
 
-def conform_target(df: DataFrame, declared: Mapping[str, str]) -> DataFrame:
-    """Columns in their target type; texts are cut to the declared length."""
+def conform_target(df: DataFrame, declared: Mapping[str, str], allow_losses: bool = False) -> DataFrame:
+    """Columns in their target type.
+
+    Texts longer than declared and values that do not fit are refused, by one scan that counts them. With
+    ``allow_losses`` texts are cut and such values become null; ``conform_losses`` tells how many.
+    """
+    if not allow_losses:
+        bad = conform_losses(df, declared).where("cut > 0 OR lost > 0").collect()  # one row per column
+        if bad:
+            raise ValueError("values do not fit: " + ", ".join(f"{r.column_name} ({r.cut} cut, {r.lost} lost)" for r in bad))
 
     def value(name: str, text: str):
         kind = parse_type(text)
@@ -91,10 +99,17 @@ def with_system_columns(spec: WarehouseSpec, data_source: str, company: str) ->
     return replace(spec, columns=spec.columns + tuple(c for c in system if c.target not in present))
 
 
+def _has_source(column: ColumnMap) -> bool:
+    return column.tag not in (PK, SK) and (column.tag != FK or bool(column.source))
+
+
 def tag_incremental(spec: WarehouseSpec, previous_kind: str | None = None) -> WarehouseSpec:
-    """Mark the columns that enter the change checksum: those of transactions, also of a table that became one."""
+    """Mark the columns that enter the change checksum: those of transactions, also of a table that became one.
+
+    A foreign key without a source column is resolved on the way to the warehouse, so it is not marked.
+    """
     tracked = spec.kind == TRANSACTION or previous_kind == TRANSACTION
-    return replace(spec, columns=tuple(replace(c, incremental=tracked and c.tag not in (PK, SK)) for c in spec.columns))
+    return replace(spec, columns=tuple(replace(c, incremental=tracked and _has_source(c)) for c in spec.columns))
 
 
 def purge_orphans(df: DataFrame, parent: DataFrame, on: Mapping[str, str]) -> DataFrame:

@@ -47,8 +47,18 @@ def apply_diff(old: DataFrame, changes: DataFrame, keys: Sequence[str], label: s
     return old.join(gone, list(keys), "left_anti").unionByName(added)
 
 
-def evolve(df: DataFrame, columns: Mapping[str, str]) -> DataFrame:
-    """Rewrite rows to a new column list: new columns are null, left-out ones go, types change."""
+def evolve(df: DataFrame, columns: Mapping[str, str], allow_losses: bool = False) -> DataFrame:
+    """Rewrite rows to a new column list: new columns are null, left-out ones go, types change.
+
+    A value that does not fit its new type is refused, by one scan of the columns whose type changes; with
+    ``allow_losses`` it becomes null.
+    """
+    changed = {c: spark_type(t) for c, t in columns.items() if c in df.columns and df.schema[c].dataType != spark_type(t)}
+    if changed and not allow_losses:
+        lost = [F.count_if(named(c).isNotNull() & named(c).try_cast(t).isNull()).alias(c) for c, t in changed.items()]
+        counts = df.agg(*lost).first().asDict()
+        if any(counts.values()):
+            raise ValueError(f"values do not fit their new types: { {c: n for c, n in counts.items() if n} }")
     return df.select(
         *[
             (named(c).try_cast(spark_type(t)) if c in df.columns else F.lit(None).cast(spark_type(t))).alias(c)

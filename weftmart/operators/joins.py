@@ -110,11 +110,13 @@ def lookup(
     fetch: Mapping[str, str],
     order_by: Sequence[str] = (),
     salt: int = 1,
+    grouped: bool = False,
 ) -> DataFrame:
     """Fetch columns of the one matching row of ``table``; no match gives nulls.
 
     ``on`` maps columns of ``df`` to columns of ``table``. Without ``order_by`` the table must be unique
     on its lookup columns (``key_violations`` reports where it is not); with it the first row wins.
+    ``grouped`` tells that the table is a result of grouping by them.
     """
     keys = list(dict.fromkeys(on.values()))
     if order_by:
@@ -130,14 +132,25 @@ def lookup(
             *[named(k).alias(f"__lkp_{k}") for k in keys], *[named(c).alias(a) for c, a in fetch.items()]
         )
     pairs = [(a, f"__lkp_{b}") for a, b in on.items()]
-    return left_join(df, right, pairs, salt, grouped=bool(order_by)).drop(*[f"__lkp_{k}" for k in keys])
+    return left_join(df, right, pairs, salt, grouped=grouped or bool(order_by)).drop(*[f"__lkp_{k}" for k in keys])
 
 
 def resolve_foreign_keys(df: DataFrame, foreign: Sequence[ColumnMap], dimensions: Mapping[str, DataFrame], salt: int = 1) -> DataFrame:
-    """Fill each foreign-key column with the surrogate key of the matching dimension row."""
+    """Fill each foreign-key column with the surrogate key of the matching dimension row.
+
+    Where a mapping declares an order, the first of several matching rows by it counts. Without one a dimension
+    that repeats its lookup columns is refused, as it would multiply the facts.
+    """
+    checked = set()
     for column in foreign:
-        dimension = dimensions[column.dimension]
-        df = lookup(df.drop(column.target), dimension, dict(column.join), {column.dimension_key: column.target}, salt=salt)
+        dimension, keys = dimensions[column.dimension], tuple(dict.fromkeys(b for _, b in column.join))
+        if not column.order and (column.dimension, keys) not in checked:
+            counted = dimension.dropna(subset=list(keys))
+            if not counted.groupBy(*[named(k) for k in keys]).count().where("count > 1").isEmpty():
+                raise ValueError(f"dimension {column.dimension} repeats {list(keys)}; declare an order")
+            checked.add((column.dimension, keys))
+        on, fetch = dict(column.join), {column.dimension_key: column.target}
+        df = lookup(df.drop(column.target), dimension, on, fetch, column.order, salt)
     return df
 
 
@@ -221,12 +234,19 @@ def inner_chain(first: DataFrame, others: Sequence[tuple[DataFrame, Sequence[tup
 
 
 def enrich_first_of(
-    df: DataFrame, candidates: Sequence[tuple[DataFrame, Mapping[str, str], str]], alias: str, default: object = None
+    df: DataFrame,
+    candidates: Sequence[tuple[DataFrame, Mapping[str, str], str]],
+    alias: str,
+    default: object = None,
+    grouped: Collection[int] = (),
 ) -> DataFrame:
-    """Left-join several tables and take the first non-null value in the given order."""
+    """Left-join several tables and take the first non-null value in the given order.
+
+    ``grouped`` holds the numbers of the tables that are results of grouping by their lookup columns.
+    """
     names = []
     for i, (table, on, column) in enumerate(candidates):
         names.append(f"__pick_{i}")
-        df = lookup(df, table, on, {column: names[-1]})
+        df = lookup(df, table, on, {column: names[-1]}, grouped=i in grouped)
     picks = [F.col(n) for n in names] + ([F.lit(default)] if default is not None else [])
     return df.withColumn(alias, F.coalesce(*picks)).drop(*names)

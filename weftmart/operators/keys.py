@@ -82,23 +82,23 @@ def new_surrogate_keys(
     name: str,
     retired: DataFrame | None = None,
     unique: bool = False,
+    greatest: int = 0,
 ) -> DataFrame:
     """Keys the target does not have yet, numbered in key order from its greatest surrogate key on.
 
-    Surrogate keys of ``retired`` (deleted) rows are not given out again. ``unique`` tells that incoming
-    keys do not repeat, which saves a shuffle.
+    Surrogate keys of ``retired`` (deleted) rows, and those up to ``greatest``, are not given out again. ``unique``
+    tells that incoming keys do not repeat, which saves a shuffle.
     """
     fresh = incoming.select(*[named(k) for k in keys])
     if not unique:
         fresh = fresh.distinct()
-    if existing is None:
-        return global_number(fresh, keys, name)
-    used = existing.select(named(name))
-    if retired is not None:
-        used = used.unionByName(retired.select(named(name)))
-    greatest = used.agg(F.coalesce(F.max(named(name)), F.lit(0))).scalar()
-    fresh = fresh.join(existing.select(*[named(k) for k in keys]), list(keys), "left_anti")
-    return global_number(fresh, keys, name, start=greatest)
+    tables = [t.select(named(name)) for t in (existing, retired) if t is not None]
+    start = F.lit(greatest)
+    for table in tables:
+        start = F.greatest(start, table.agg(F.coalesce(F.max(named(name)), F.lit(0))).scalar())
+    if existing is not None:
+        fresh = fresh.join(existing.select(*[named(k) for k in keys]), list(keys), "left_anti")
+    return global_number(fresh, keys, name, start=start if tables or greatest else None)
 
 
 def surrogate_keys(incoming: DataFrame, existing: DataFrame | None, keys: Sequence[str], name: str) -> DataFrame:

@@ -155,15 +155,25 @@ def upsert_partitions(
 ) -> DataFrame:
     """Upsert into a partitioned table, reading and rewriting only the partitions incoming rows touch.
 
-    A key must never change its partition. The merged partitions are written aside first and then replace
-    their old versions, as Spark's dynamic partition overwrite does it. ``merge`` replaces the upsert by
-    another function of (stored rows, incoming rows).
+    A key that would change its partition is refused, by a scan of the stored keys. Columns that incoming rows lack
+    keep their values. The merged partitions are written aside first and then replace their old versions, as Spark's
+    dynamic partition overwrite does it. ``merge`` replaces the upsert by another function of (stored rows, incoming
+    rows).
     """
-    schema = T.StructType([*(f for f in incoming.schema if f.name != partition_column), incoming.schema[partition_column]])
+    stored = spark.read.parquet(path).schema
+    # the files' own columns, and the partition in the type of the incoming rows instead of one guessed from folder names
+    schema = T.StructType([*(f for f in stored if f.name != partition_column), incoming.schema[partition_column]])
     target = spark.read.schema(schema).parquet(path)
-    # one value per touched partition folder
-    touched = [r[0] for r in incoming.select(named(partition_column)).distinct().collect()]
-    affected = target.where(named(partition_column).isin(touched))
+    incoming = materialise(incoming, "incoming")
+    places = incoming.select(*[named(k) for k in keys], named(partition_column).alias("__new"))
+    moved = target.select(*[named(k) for k in keys], named(partition_column).alias("__old")).join(places, list(keys))
+    if partition_column not in keys and not moved.where(~F.col("__old").eqNullSafe(F.col("__new"))).isEmpty():
+        raise ValueError(f"incoming keys lie in another {partition_column} than the stored ones")
+    touched = incoming.select(named(partition_column)).distinct()
+    affected = target.join(touched.where(named(partition_column).isNotNull()), partition_column, "left_semi")
+    if not touched.where(named(partition_column).isNull()).isEmpty():
+        affected = affected.unionByName(target.where(named(partition_column).isNull()))
+    affected = affected.select(*[named(f.name) for f in schema])
     state = merge(affected, incoming) if merge else upsert(affected, incoming, keys, **options)
     sized = materialise(state, "partitions").hint("rebalance", named(partition_column))
     sized.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition_column).parquet(path)

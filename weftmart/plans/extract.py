@@ -8,6 +8,7 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from weftmart.operators.project import map_columns, with_tenant
+from weftmart.session import read_if_there
 from weftmart.sources.windows import Period, high_watermark, load_window
 from weftmart.spec import LoadSettings, WarehouseSpec
 
@@ -46,7 +47,7 @@ def store_watermark(source: DataFrame, settings: LoadSettings, name: str, path:
 
 def stored_watermark(spark: SparkSession, name: str, path: str) -> Any:
     """The greatest stored watermark of a source, typed by its kind; ``None`` before the first run."""
-    rows = spark.read.schema("name string, kind string, watermark string").parquet(path).where(F.col("name") == name)
+    rows = read_if_there(spark, path, "name string, kind string, watermark string").where(F.col("name") == name)
     by_id = F.max(F.when(F.col("kind") == "id", F.col("watermark").try_cast("bigint")))
     by_date = F.max(F.when(F.col("kind") == "date", F.col("watermark").try_cast("timestamp_ntz")))
     found = rows.agg(by_id, by_date).first()

@@ -40,8 +40,9 @@ def _cleansed(rows: DataFrame, spec: WarehouseSpec, skip: Sequence[str] = ()) ->
 
 
 def dimension_staging(
-    source: DataFrame, spec: WarehouseSpec, staging: DataFrame | None, stamp: Stamp, formats: Mapping[str, str] | None = None
-) -> DataFrame:
+    source: DataFrame, spec: WarehouseSpec, staging: DataFrame | None, stamp: Stamp, formats: Mapping[str, str] | None = None,
+    strategy: str = "bulk",
+) -> DataFrame:
     """Source to staging of a dimension.
 
     Constants, checksum, coercion and cleansing, then an upsert on the key that leaves unchanged rows
@@ -50,7 +51,7 @@ def dimension_staging(
     """
     rows = _cleansed(coerce(source_rows(source, spec), spec.types, formats), spec)
     hashed = rows.withColumn(SOURCE_HASH, row_hash(rows, [c for c in spec.mapped if c in rows.columns]))
-    return _next_state(staging, hashed, spec.keys, stamp, hash_column=SOURCE_HASH)
+    return _next_state(staging, hashed, spec.keys, stamp, hash_column=SOURCE_HASH, strategy=strategy)
 
 
 def dimension_warehouse(
@@ -62,18 +63,21 @@ def dimension_warehouse(
     start: Any = None,
     strategy: str = "bulk",
     retired: DataFrame | None = None,
+    greatest: int = 0,
 ) -> DataFrame:
     """Staging to warehouse of a dimension: new keys get the next surrogate keys, changed rows merge.
 
-    ``retired`` holds deleted rows whose surrogate keys stay taken.
+    ``retired`` holds deleted rows whose surrogate keys stay taken, ``greatest`` is the greatest one ever given. An
+    overwritten warehouse starts anew but for the surrogate keys, which known keys keep.
     """
     columns = [c for c in spec.mapped if c in staging.columns] + [SOURCE_HASH]
     rows = _cleansed(staging_source(staging, columns, write_mode, start), spec)
-    if write_mode == "overwrite":
-        warehouse = None
-    fresh = new_surrogate_keys(rows, warehouse, spec.keys, spec.surrogate, retired, unique=True)
-    keyed = rows.join(fresh, spec.keys, "left_outer")
-    if warehouse is None:
+    numbers = new_surrogate_keys(rows, warehouse, spec.keys, spec.surrogate, retired, unique=True, greatest=greatest)
+    if write_mode == "overwrite" and warehouse is not None:
+        known = warehouse.select(*[named(k) for k in spec.keys], named(spec.surrogate).cast("bigint").alias(spec.surrogate))
+        numbers = numbers.unionByName(known)
+    keyed = rows.join(numbers, spec.keys, "left_outer")
+    if warehouse is None or write_mode == "overwrite":
         return as_target(stamped(keyed, stamp), target_schema(spec))
     return upsert(
         warehouse, keyed, spec.keys, stamp, hash_column=SOURCE_HASH, strategy=strategy, insert_only=(spec.surrogate,)
@@ -81,12 +85,13 @@ def dimension_warehouse(
 
 
 def transaction_staging(
-    source: DataFrame, spec: WarehouseSpec, staging: DataFrame | None, stamp: Stamp, formats: Mapping[str, str] | None = None
-) -> DataFrame:
+    source: DataFrame, spec: WarehouseSpec, staging: DataFrame | None, stamp: Stamp, formats: Mapping[str, str] | None = None,
+    strategy: str = "bulk",
+) -> DataFrame:
     """Source to staging of a transaction table: constants and coercion, an upsert without checksum."""
     rows = coerce(source_rows(source, spec), spec.types, formats)
     rows = replace_missing(rows, {k: spec.types[k] for k in spec.keys}, spec.keys)
-    return _next_state(staging, rows, spec.keys, stamp, date_only=True)
+    return _next_state(staging, rows, spec.keys, stamp, date_only=True, strategy=strategy)
 
 
 def transaction_keys(
@@ -97,6 +102,7 @@ def transaction_keys(
     write_mode: str = "upsert",
     start: Any = None,
     declared: Mapping[str, Any] | None = None,
+    strategy: str = "bulk",
 ) -> DataFrame:
     """Staging to the key table: key text and the checksum over the incremental columns.
 
@@ -105,7 +111,8 @@ def transaction_keys(
     read = [*spec.keys, *spec.change_columns]
     rows = with_key_text(staging_source(staging, read, write_mode, start), spec.keys, declared)
     rows = with_change_hash(rows, spec.change_columns, declared).select(*spec.keys, KEY_TEXT, CHANGE_HASH)
-    return _next_state(key_table, rows, [KEY_TEXT], stamp, hash_column=CHANGE_HASH, date_only=True)
+    # different keys may share a key text, so the rows are matched on the keys themselves
+    return _next_state(key_table, rows, spec.keys, stamp, hash_column=CHANGE_HASH, date_only=True, strategy=strategy)
 
 
 def transaction_warehouse(

@@ -12,6 +12,7 @@ from weftmart.operators.diff import key_violations
 from weftmart.operators.joins import lookup
 from weftmart.operators.keys import with_change_hash
 from weftmart.plans.warehouse import source_rows
+from weftmart.functions.types import derive_target_type
 from weftmart.queries.registry import Tables, doubles, longs, query
 from weftmart.spec import ColumnMap, WarehouseSpec
 
@@ -185,10 +186,17 @@ _TARGET = {"p_partkey": "bigint", "p_name": "varchar(8)", "p_brand": "varchar(20
               CAST(p_size AS INTEGER) AS p_size FROM part""",
 )
 def target_conformed(t: Tables):
-    rows = conform_target(t.part, _TARGET)
+    rows = conform_target(t.part, _TARGET, allow_losses=True)
     return doubles(rows, "p_retailprice").withColumn("p_size", F.col("p_size").cast("int"))
 
 
+@query("t2_long_texts", "SELECT p_partkey, rpad(p_name, 400, 'x') AS long_name FROM part")
+def long_texts(t: Tables):
+    """A text type keeps its source length, so long texts come through whole."""
+    rows = t.part.select("p_partkey", F.rpad("p_name", 400, "x").alias("long_name"))
+    return conform_target(rows, {"p_partkey": "bigint", "long_name": derive_target_type("varchar", 400)})
+
+
 @query(
     "t2_conform_losses",
     """SELECT 'o_orderkey' AS column_name, CAST(0 AS BIGINT) AS cut, count(CASE WHEN o_orderkey > 127 THEN 1 END) AS lost FROM orders

@@ -100,6 +100,21 @@ def foreign_keys(t: Tables):
     return resolve_foreign_keys(lines, foreign, dimensions, salt=4)
 
 
+@query(
+    "j3_repeated_dimension_keys",
+    """SELECT c_custkey, o_orderkey AS First_Order FROM customer LEFT JOIN (
+         SELECT o_custkey, o_orderkey, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS rn FROM orders) x
+       ON c_custkey = o_custkey AND rn = 1""",
+)
+def repeated_dimension_keys(t: Tables):
+    """A dimension with many rows per lookup key gives the first one in the declared order."""
+    first = ColumnMap(
+        "First_Order", "bigint", tag="FK", dimension="Orders", dimension_key="o_orderkey", join=(("c_custkey", "o_custkey"),),
+        order=("o_orderdate", "o_orderkey"),
+    )
+    return resolve_foreign_keys(t.customer.select("c_custkey"), [first], {"Orders": t.orders})
+
+
 @query(
     "j4_staging_keys_lookup",
     with_snapshots(
@@ -227,4 +242,4 @@ def priority_pick(t: Tables):
         (t.nation.where("n_regionkey < 2"), {"c_nationkey": "n_nationkey"}, "n_name"),
         (t.region, {"c_nationkey": "r_regionkey"}, "r_name"),
     ]
-    return enrich_first_of(t.customer.select("c_custkey", "c_nationkey"), candidates, "contact", "none")
+    return enrich_first_of(t.customer.select("c_custkey", "c_nationkey"), candidates, "contact", "none", grouped=[0])

@@ -156,3 +156,14 @@ def numbered_events(t: Tables):
 @query("f4_row_limit", "SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 100")
 def limited(t: Tables):
     return first_rows(t.orders.select("o_orderkey", "o_totalprice"), 100, ["o_totalprice", "o_orderkey"], ["o_totalprice"])
+
+
+@query(
+    "f4_row_limit_large",
+    """SELECT l_orderkey, l_partkey, l_linenumber, l_extendedprice FROM lineitem
+       ORDER BY l_extendedprice DESC, l_orderkey, l_partkey, l_linenumber LIMIT 40000""",
+)
+def row_limit_large(t: Tables):
+    """A limit whose rows do not meet in one task; ties are broken by the other columns."""
+    lines = t.lineitem.select("l_orderkey", "l_partkey", "l_linenumber", "l_extendedprice")
+    return first_rows(lines, 40_000, ["l_extendedprice"], ["l_extendedprice"])

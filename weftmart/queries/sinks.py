@@ -54,6 +54,44 @@ def upserted_by_partition(t: Tables):
     return upsert_partitions(t.spark, path, incoming, ["o_orderkey"], "order_year")
 
 
+_YEAR_OR_NONE = "CASE WHEN o_orderstatus <> 'P' THEN strftime(o_orderdate, '%Y') END"
+
+
+@query(
+    "w1_upsert_partitions_nulls",
+    with_snapshots(
+        f"""SELECT *, {_YEAR_OR_NONE} AS order_year FROM (
+             SELECT * FROM orders_after UNION ALL
+             SELECT * FROM orders_before WHERE o_orderkey NOT IN (SELECT o_orderkey FROM orders_after)) x"""
+    ),
+)
+def upserted_null_partition(t: Tables):
+    """Pending orders have no year; their folder is merged like the others."""
+    year = F.when(F.col("o_orderstatus") != "P", F.date_format("o_orderdate", "yyyy"))
+    path = scratch_path(t.spark, "orders-by-year")
+    write_table(orders_before(t).withColumn("order_year", year), path, ["order_year"])
+    return upsert_partitions(t.spark, path, orders_after(t).withColumn("order_year", year), ["o_orderkey"], "order_year")
+
+
+@query(
+    "w1_upsert_partitions_missing_columns",
+    with_snapshots(
+        """SELECT coalesce(b.o_orderkey, a.o_orderkey) AS o_orderkey, a.o_orderpriority, coalesce(b.o_totalprice, a.o_totalprice) AS o_totalprice,
+                  strftime(coalesce(b.o_orderdate, a.o_orderdate), '%Y') AS order_year,
+                  CASE WHEN a.o_orderkey IS NULL THEN TIMESTAMP '2024-02-01 00:00:00' ELSE TIMESTAMP '2024-01-01 00:00:00' END AS Added_Date,
+                  CASE WHEN b.o_orderkey IS NULL THEN TIMESTAMP '2024-01-01 00:00:00' ELSE TIMESTAMP '2024-02-01 00:00:00' END AS Updated_Date
+           FROM orders_before a FULL JOIN orders_after b ON a.o_orderkey = b.o_orderkey"""
+    ),
+)
+def upserted_partitions_with_less(t: Tables):
+    """Incoming rows without a column leave it as it is; audit columns stay and follow the stamp."""
+    year, path = F.date_format("o_orderdate", "yyyy"), scratch_path(t.spark, "orders-by-year")
+    first = orders_before(t).select("o_orderkey", "o_orderpriority", "o_totalprice", year.alias("order_year"))
+    write_table(stamped(first, FIRST_LOAD), path, ["order_year"])
+    incoming = orders_after(t).select("o_orderkey", "o_totalprice", year.alias("order_year"))
+    return upsert_partitions(t.spark, path, incoming, ["o_orderkey"], "order_year", stamp=SECOND_LOAD).drop("Added_User", "Updated_User")
+
+
 @query(
     "w2_write_modes",
     with_snapshots(

@@ -10,6 +10,7 @@ from weftmart.queries.registry import Tables
 
 FIRST_LOAD = (dt.datetime(2024, 1, 1), "loader")
 SECOND_LOAD = (dt.datetime(2024, 2, 1), "loader")
+THIRD_LOAD = (dt.datetime(2024, 3, 1), "loader")
 
 
 def customer_before(t: Tables) -> DataFrame:

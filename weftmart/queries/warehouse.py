@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from weftmart.operators.conform import tag_incremental, with_system_columns
 from weftmart.plans.evolve import evolve_target
-from weftmart.plans.jobs import TableState, run_table
+from weftmart.plans.jobs import TableState, open_state, run_table
 from weftmart.plans.mart import build_mart, load_mart
 from weftmart.plans.warehouse import (
     dimension_staging, dimension_warehouse, propagate_deletes, transaction_keys, transaction_staging, transaction_warehouse,
@@ -17,7 +17,7 @@ from weftmart.plans.warehouse import (
 from weftmart.queries.extraction import settings
 from weftmart.queries.registry import Tables, doubles, query
 from weftmart.queries.snapshots import (
-    FIRST_LOAD, SECOND_LOAD, customer_after, customer_before, orders_after, orders_alive, orders_before, with_snapshots,
+    FIRST_LOAD, SECOND_LOAD, THIRD_LOAD, customer_after, customer_before, orders_after, orders_alive, orders_before, with_snapshots,
 )
 from weftmart.session import scratch_path, write_table
 from weftmart.spec import ColumnMap, MartSpec, WarehouseSpec, mart_from_control, mart_from_json
@@ -92,12 +92,20 @@ def mart(t: Tables):
     return _printable(build_mart(mart_spec(), _mart_sources(t)))
 
 
-@query("y1_mart_load", _MART_SQL)
+_OLD_NATIONS = "(SELECT n_nationkey, CASE WHEN n_nationkey < 5 THEN 'OLD ' || n_name ELSE n_name END AS n_name FROM nation) nation"
+
+
+@query(
+    "y1_mart_load",
+    f"""WITH now AS ({_MART_SQL}), before AS ({_MART_SQL.replace("LEFT JOIN nation ON", f"LEFT JOIN {_OLD_NATIONS} ON")})
+        SELECT * FROM now UNION ALL SELECT * FROM before b
+        WHERE NOT EXISTS (SELECT 1 FROM now n WHERE n.nation = b.nation AND n.revenue_band = b.revenue_band)""",
+)
 def mart_loaded(t: Tables):
-    """Built from the earlier orders, then upserted with the build over all orders."""
+    """Built when some nations had another name, then upserted with today's build: groups it lacks stay."""
     path, spec, sources = scratch_path(t.spark, "mart"), mart_spec(), _mart_sources(t)
-    first = load_mart(spec, {**sources, "customer": customer_before(t)}, None, f"{path}/v1", "overwrite")
-    first = first.join(build_mart(spec, sources).select("nation", "revenue_band"), ["nation", "revenue_band"], "left_semi")
+    old_name = F.when(F.col("n_nationkey") < 5, F.concat(F.lit("OLD "), "n_name")).otherwise(F.col("n_name"))
+    first = load_mart(spec, {**sources, "nation": t.nation.withColumn("n_name", old_name)}, None, f"{path}/v1", "overwrite")
     return _printable(load_mart(spec, sources, first.select(*spec.retain), f"{path}/v2", "upsert"))
 
 
@@ -145,6 +153,17 @@ _CONTROL = {
 }
 
 
+# a second mart's rows in the same control tables
+_OTHER_MART = {
+    "mart_driving_column": ("orders", "o", "o_orderdate", "ordered", "datetime"),
+    "mart_lookup_column": ("region", "r", "r_name", "region", "varchar(9)"),
+    "mart_join": ("o", "ordered", "r", "region", 1),
+    "mart_filter_group": ("c", "Lookup_Table", 7, 2, "F"),
+    "mart_derived": ("ordered", "year(ordered)", 1, "SQL", "ordered_in", "ordered", "int"),
+    "mart_mapping": ("region", "PK", "varchar(9)"),
+}
+
+
 @query(
     "y1_mart_from_control_tables",
     """SELECT c_mktsegment AS segment, n_name AS nation, CAST(sum(CAST(o_totalprice AS DECIMAL(14,2))) AS DOUBLE) AS price,
@@ -153,9 +172,14 @@ _CONTROL = {
        WHERE o_orderstatus <> 'P' GROUP BY 1, 2 HAVING count(o_orderkey) > 3""",
 )
 def mart_from_tables(t: Tables):
-    """The specification comes from control tables; the rows from the data."""
-    control = {name: t.spark.createDataFrame(rows, schema) for name, (schema, rows) in _CONTROL.items()}
-    spec = mart_from_control("segment_revenue", control)
+    """The specification comes from control tables that hold another mart too; the rows from the data."""
+    control = {}
+    for name, (schema, rows) in _CONTROL.items():
+        if name in _OTHER_MART:
+            schema += ", DL_Id string, Job_Id string"
+            rows = [(*r, "1", "7") for r in rows] + [(*_OTHER_MART[name], "2", "7")]
+        control[name] = t.spark.createDataFrame(rows, schema)
+    spec = mart_from_control("segment_revenue", control, mart_id=1, job_id=7)
     return doubles(build_mart(spec, {name: getattr(t, name) for name in ("orders", "customer", "nation")}), "price")
 
 
@@ -454,3 +478,70 @@ def _labelled(parts: dict[str, DataFrame], columns: list[str]) -> DataFrame:
         part = rows.select(F.lit(name).alias("table_name"), *columns)
         result = part if result is None else result.unionByName(part)
     return result
+
+
+@query(
+    "y3_overwrite_keeps_keys",
+    with_snapshots(
+        """SELECT 'warehouse' AS table_name, n.c_custkey AS Customer_Id, Customer_Key FROM numbered n JOIN customer_after a ON a.c_custkey = n.c_custkey
+           UNION ALL SELECT 'deletes', n.c_custkey, Customer_Key FROM numbered n
+           WHERE n.c_custkey IN (SELECT c_custkey FROM customer_before) AND n.c_custkey NOT IN (SELECT c_custkey FROM customer_after)""",
+        _STAGED.strip(),
+    ),
+)
+def overwrite_keeps_keys(t: Tables):
+    """Two complete loads: known customers keep their surrogate keys, vanished ones are audited."""
+    path, chosen = scratch_path(t.spark, "runs"), settings(write_mode="overwrite", delete_flag=True)
+    run_table(customer_before(t), CUSTOMER, chosen, TableState(), FIRST_LOAD, f"{path}/1")
+    state = run_table(customer_after(t), CUSTOMER, chosen, open_state(t.spark, f"{path}/1"), SECOND_LOAD, f"{path}/2")
+    return _labelled({"warehouse": state.warehouse, "deletes": state.deletes}, ["Customer_Id", "Customer_Key"])
+
+
+_TEXT_KEY = "CASE WHEN c_custkey % 50 = 0 THEN NULL WHEN c_custkey % 50 = 1 THEN '' ELSE CAST(c_custkey AS {}) END"
+
+
+@query(
+    "y3_newest_after_cleansing",
+    f"""SELECT Code, c_name AS Name FROM (
+          SELECT coalesce({_TEXT_KEY.format("VARCHAR")}, '') AS Code, c_name,
+                 row_number() OVER (PARTITION BY coalesce({_TEXT_KEY.format("VARCHAR")}, '') ORDER BY c_acctbal DESC, c_custkey DESC) AS rn
+          FROM customer) x WHERE rn = 1""",
+)
+def newest_after_cleansing(t: Tables):
+    """Missing and empty keys are one key once they are cleansed; the newest of their rows is loaded."""
+    columns = (ColumnMap("Code", "varchar(20)", "code", "PK"), ColumnMap("Name", "varchar(50)", "c_name"))
+    spec = with_system_columns(WarehouseSpec("Coded", "D", columns), "crm", "acme")
+    source = t.customer.withColumn("code", F.expr(_TEXT_KEY.format("STRING")))
+    path = scratch_path(t.spark, "runs")
+    state = run_table(source, spec, settings(write_mode="upsert"), TableState(), FIRST_LOAD, path, newest_by=["c_acctbal", "c_custkey"])
+    return state.warehouse.select("Code", "Name")
+
+
+@query(
+    "y5_colliding_keys",
+    """SELECT n_name || '_A' AS First_Part, CAST(n_regionkey AS VARCHAR) AS Second_Part, CAST(n_nationkey AS BIGINT) AS Value FROM nation
+       UNION ALL SELECT n_name, 'A_' || CAST(n_regionkey AS VARCHAR), CAST(n_nationkey + 100 AS BIGINT) FROM nation""",
+)
+def colliding_keys(t: Tables):
+    """Different keys with the same key text stay apart over two runs."""
+    region = F.col("n_regionkey").cast("string")
+    source = t.nation.select(F.concat("n_name", F.lit("_A")).alias("a"), region.alias("b"), F.col("n_nationkey").cast("bigint").alias("v"))
+    source = source.unionByName(t.nation.select(F.col("n_name").alias("a"), F.concat(F.lit("A_"), region).alias("b"), (F.col("n_nationkey") + 100).cast("bigint").alias("v")))
+    columns = (ColumnMap("First_Part", "varchar(40)", "a", "PK"), ColumnMap("Second_Part", "varchar(40)", "b", "PK"), ColumnMap("Value", "bigint", "v"))
+    spec, path = tag_incremental(WarehouseSpec("Pair", "T", columns)), scratch_path(t.spark, "runs")
+    state = run_table(source, spec, settings(write_mode="upsert"), TableState(), FIRST_LOAD, f"{path}/1")
+    state = run_table(source, spec, settings(write_mode="upsert"), state, SECOND_LOAD, f"{path}/2")
+    return state.warehouse.select("First_Part", "Second_Part", "Value")
+
+
+@query("f9_limited_increments", "SELECT o_orderkey AS Order_Id, o_orderstatus AS Status FROM orders ORDER BY o_orderkey LIMIT 18000")
+def limited_increments(t: Tables):
+    """Three runs of at most 6,000 new orders, each from where the one before ended, in a state read back from its path."""
+    columns = (ColumnMap("Order_Id", "bigint", "o_orderkey", "PK"), ColumnMap("Status", "char(1)", "o_orderstatus"))
+    spec, path = tag_incremental(WarehouseSpec("Part_Orders", "T", columns)), scratch_path(t.spark, "runs")
+    window = {"incremental_refresh_column_type": "id", "incremental_refresh_column_name": "o_orderkey"}
+    chosen, before = settings(write_mode="upsert", incremental=window, limit=6000), None
+    for number, stamp in enumerate((FIRST_LOAD, SECOND_LOAD, THIRD_LOAD)):
+        state = run_table(t.orders, spec, chosen, open_state(t.spark, before), stamp, f"{path}/{number}")
+        before = f"{path}/{number}"
+    return state.warehouse.select("Order_Id", "Status")

@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 # Runtime settings every plan relies on. Sizes (shuffle partitions, file split size) are left to the
@@ -69,6 +70,16 @@ def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None,
     return df.sparkSession.read.schema(df.schema).parquet(path).select(*[f"`{c}`" for c in df.columns])
 
 
+def read_if_there(spark: SparkSession, path: str, schema) -> DataFrame:
+    """The parquet rows under a path, none if nothing was written there yet."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
 def materialise(df: DataFrame, label: str) -> DataFrame:
     """Cut lineage through a table in the shared folder; it survives the loss of an executor."""
     return write_table(df, scratch_path(df.sparkSession, label))

@@ -20,9 +20,9 @@ class Period:
     end: Any
 
 
-def trailing_months(column: str, months: int, as_of: Any) -> Column:
-    """Rows of the last months before a time."""
-    return named(column) >= months_before(literal(as_of), months)
+def trailing_months(column: str, months: int, as_of: Any = None) -> Column:
+    """Rows of the last months before a time, by default now."""
+    return named(column) >= months_before(F.localtimestamp() if as_of is None else literal(as_of), months)
 
 
 def historical(column: str, period: Period) -> Column:
@@ -79,9 +79,25 @@ def load_window(
     condition = window_condition(settings, watermark, as_of, period)
     if condition is not None:
         df = df.where(condition)
-    if settings.limit is not None:
-        df = first_rows(df, settings.limit, order, descending)
-    return df
+    if settings.limit is None:
+        return df
+    if settings.incremental_column and period is None and not order:
+        return limited_increment(df, settings.incremental_column, settings.limit, watermark)
+    return first_rows(df, settings.limit, order, descending)
+
+
+def limited_increment(df: DataFrame, column: str, limit: int, watermark: Any = None) -> DataFrame:
+    """The next rows in the order of the incremental column, at least ``limit`` new ones where there are as many.
+
+    The run ends on a value of the column, with all rows of that value, so the next run can go on from it. Rows at
+    the watermark itself are read again and do not count. Rows without a value belong to the first run.
+    """
+    later = df.where(named(column).isNotNull() if watermark is None else named(column) > literal(watermark))
+    last = first_rows(later.select(named(column)), limit, [column]).agg(F.max(named(column))).first()[0]
+    if last is None:
+        return df
+    kept = named(column) <= literal(last)
+    return df.where(kept | named(column).isNull() if watermark is None else kept)
 
 
 def source_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -11,7 +11,7 @@ from collections.abc import Mapping
 from dataclasses import dataclass, field, fields
 from typing import Any
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
 PK, SK, FK = "PK", "SK", "FK"
 DIMENSION, TRANSACTION = "D", "T"
@@ -31,6 +31,8 @@ class ColumnMap:
     dimension_key: str | None = None
     join: tuple[tuple[str, str], ...] = ()
     incremental: bool = False
+    #: columns of the dimension by which the first of several matching rows is taken
+    order: tuple[str, ...] = ()
 
 
 @dataclass(frozen=True)
@@ -235,27 +237,50 @@ def warehouse_from_json(text: str) -> WarehouseSpec:
     columns = []
     for c in raw["columns"]:
         column = _build(ColumnMap, c)
-        columns.append(ColumnMap(**{**column.__dict__, "join": tuple(map(tuple, c.get("join", ())))}))
+        columns.append(ColumnMap(**{**column.__dict__, "join": tuple(map(tuple, c.get("join", ()))), "order": tuple(c.get("order", ()))}))
     return WarehouseSpec(raw["name"], raw["kind"], tuple(columns))
 
 
-def _rows(df: DataFrame | None) -> list[dict[str, Any]]:
-    # control tables hold one row per mapped column; their texts may come padded
+def _rows(df: DataFrame | None, only: Mapping[str, Any] | None = None) -> list[dict[str, Any]]:
+    """Rows of a control table, one per mapped column; their texts may come padded.
+
+    ``only`` holds the ids of the wanted rows (one, or a list). They are filtered before anything is collected; a
+    column the table lacks does not count, and one whose id is not given must not hold several.
+    """
     if df is None:
         return []
+    for column, wanted in (only or {}).items():
+        if column not in df.columns:
+            continue
+        if wanted is None:
+            if df.select(column).distinct().limit(2).count() > 1:
+                raise ValueError(f"the control tables hold several {column}; say which one is wanted")
+            continue
+        values = wanted if isinstance(wanted, (list, set, tuple)) else [wanted]
+        df = df.where(F.trim(F.col(f"`{column}`").cast("string")).isin([str(v) for v in values]))
     return [{k: v.strip() if isinstance(v, str) else v for k, v in r.asDict().items()} for r in df.collect()]
 
 
-def mart_from_control(name: str, control: Mapping[str, DataFrame], keys_only: tuple[str, ...] = ("PK", "SK")) -> MartSpec:
+def mart_from_control(
+    name: str,
+    control: Mapping[str, DataFrame],
+    keys_only: tuple[str, ...] = ("PK", "SK"),
+    mart_id: Any = None,
+    job_id: Any = None,
+) -> MartSpec:
     """Build a mart from its control tables (mapping, driving, lookup, joins, filter/group, derived).
 
-    Column names are those of the control tables, see the fixtures document.
+    Column names are those of the control tables, see the fixtures document. Tables that hold several marts or jobs
+    need ``mart_id`` and ``job_id``.
     """
-    driving, lookup = _rows(control.get("mart_driving_column")), _rows(control.get("mart_lookup_column"))
+    only = {"DL_Id": mart_id, "Job_Id": job_id}
+    driving, lookup = _rows(control.get("mart_driving_column"), only), _rows(control.get("mart_lookup_column"), only)
+    steps = _rows(control.get("mart_filter_group"), only)
     groups: dict[Any, list[dict]] = {}
-    for row in _rows(control.get("mart_group_column")):
+    for row in _rows(control.get("mart_group_column"), {"Group_By_Id": {r["Group_By_Id"] for r in steps}}):
         groups.setdefault(row["Group_By_Id"], []).append(row)
-    filters = {r["Filter_Id"]: r["Filter_Condition"] for r in _rows(control.get("mart_filter"))}
+    wanted = {r["Filter_Id"] for r in steps}
+    filters = {r["Filter_Id"]: r["Filter_Condition"] for r in _rows(control.get("mart_filter"), {"Filter_Id": wanted})}
 
     def step(row: Mapping[str, Any] | None) -> FilterGroup | None:
         if row is None:
@@ -270,7 +295,6 @@ def mart_from_control(name: str, control: Mapping[str, DataFrame], keys_only: tu
         )
         return FilterGroup(filters.get(row["Filter_Id"]), columns, row["Flow"] or "F")
 
-    steps = _rows(control.get("mart_filter_group"))
     by_table = {r["Table_Name_Alias"]: r for r in steps if r["Settings_Position"] in ("Driving_Table", "Lookup_Table")}
     by_position = {r["Settings_Position"]: r for r in steps if r["Settings_Position"] in ("Join_Columns", "Derived_Columns")}
 
@@ -283,14 +307,14 @@ def mart_from_control(name: str, control: Mapping[str, DataFrame], keys_only: tu
             entry["columns"][row["Column_Name"]] = row["Column_Name_Alias"]
 
     joins: dict[tuple, list[tuple[str, str]]] = {}
-    for row in sorted(_rows(control.get("mart_join")), key=lambda r: int(r["Join_Level"])):
+    for row in sorted(_rows(control.get("mart_join"), only), key=lambda r: int(r["Join_Level"])):
         key = (int(row["Join_Level"]), row["Table_Name_Alias"], row["Join_Table_Alias"])
         joins.setdefault(key, []).append((row["Column_Name_Alias"], row["Join_Column_Alias"]))
 
-    derived = _rows(control.get("mart_derived"))
+    derived = _rows(control.get("mart_derived"), only)
     declared = {r["Column_Name_Alias"]: r["Data_Type"] for r in [*driving, *lookup]}
     declared |= {r["Column_Name"]: r["Data_Type"] for r in derived}
-    mapping = _rows(control.get("mart_mapping"))
+    mapping = _rows(control.get("mart_mapping"), only)
     join_only = {pair[1] for pairs in joins.values() for pair in pairs}
     return MartSpec(
         name=name,
@@ -318,9 +342,13 @@ def mart_from_control(name: str, control: Mapping[str, DataFrame], keys_only: tu
     ).validate()
 
 
-def warehouse_from_control(name: str, mapping: DataFrame) -> WarehouseSpec:
-    """Build a warehouse table from its rows of the mapping control table."""
-    rows = [r for r in _rows(mapping) if r["IL_Table_Name"] == name]
+def warehouse_from_control(name: str, mapping: DataFrame, connection: Any = None, schema: str | None = None) -> WarehouseSpec:
+    """Build a warehouse table from its rows of the mapping control table.
+
+    Where several connections or schemas map a table of that name, ``connection`` and ``schema`` choose one.
+    """
+    own = mapping.where(F.trim("IL_Table_Name") == name)
+    rows = _rows(own, {"Connection_Id": connection, "Table_Schema": schema})
     if not rows:
         raise ValueError(f"no mapping rows for {name}")
     return WarehouseSpec(
@@ -336,7 +364,7 @@ def warehouse_from_control(name: str, mapping: DataFrame) -> WarehouseSpec:
                 is_constant=(r["Constant_Insert_Column"] or "").upper() == "Y",
                 dimension=r["Dimension_Name"],
                 dimension_key=r["Dimension_Key"],
-                join=tuple(zip(_names(r["LHS_Join_Condition"]), _names(r["RHS_Join_Condition"]))),
+                join=tuple(zip(_names(r["LHS_Join_Condition"]), _names(r["RHS_Join_Condition"]), strict=True)),
                 incremental=(r["Incremental_Column"] or "").upper() == "Y",
             )
             for r in rows

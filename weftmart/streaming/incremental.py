@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from weftmart.operators.aggregate import last_row
 from weftmart.operators.sinks import upsert_partitions
-from weftmart.session import write_table
+from weftmart.session import read_if_there, write_table
 
 Prepare = Callable[[DataFrame], DataFrame]
 
@@ -52,8 +52,9 @@ def merge_stream(
         spark.range(1).select(F.lit(number).alias("number")).write.mode("append").parquet(f"{state_path}/finished")
 
     _take_in(spark, landed, schema, checkpoint, files_per_batch, merge)
-    newest = spark.read.schema("number int").parquet(f"{state_path}/finished").agg(F.max("number")).first()[0]
-    return spark.read.parquet(version(newest))
+    newest = read_if_there(spark, f"{state_path}/finished", "number int").agg(F.max("number")).first()[0]
+    # before the first file the table is empty
+    return spark.read.parquet(version(newest)) if newest is not None else prepare(spark.createDataFrame([], schema))
 
 
 def merge_stream_partitions(
@@ -85,4 +86,4 @@ def merge_stream_partitions(
             upsert_partitions(spark, state_path, incoming, keys, partition_column, newest)
 
     _take_in(spark, landed, schema, checkpoint, files_per_batch, merge)
-    return spark.read.parquet(state_path)
+    return read_if_there(spark, state_path, prepare(spark.createDataFrame([], schema)).schema)
