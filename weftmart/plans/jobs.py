@@ -147,7 +147,7 @@ def _key_rows(source: DataFrame, spec: WarehouseSpec, formats: Mapping[str, str]
     """Source keys as the target stores them: mapped, coerced, cleansed; and further columns as they are."""
     rows = source_rows(source, replace(spec, columns=spec.columns + extra)).select(*spec.keys, *[c.target for c in extra])
     types = {k: spec.types[k] for k in spec.keys}
-    return replace_missing(coerce(rows, types, formats), types, spec.keys)
+    return replace_missing(coerce(rows, types, formats), types, spec.keys, spec.defaults, spec.key_defaults)
 
 
 def _newest_rows(rows: DataFrame, spec: WarehouseSpec, formats: Mapping[str, str] | None, newest_by: Sequence[str]) -> DataFrame:

@@ -10,7 +10,7 @@ from weftmart.operators.aggregate import filter_group
 from weftmart.operators.cleanse import recoerce, replace_missing
 from weftmart.operators.derive import derive
 from weftmart.operators.joins import join_chain, read_table
-from weftmart.operators.project import drop_helpers_of, rename_derived, retain
+from weftmart.operators.project import clean_columns, drop_helpers_of, rename_derived, retain
 from weftmart.operators.sinks import Stamp, load
 from weftmart.spec import MartSpec
 
@@ -19,7 +19,8 @@ def build_mart(spec: MartSpec, sources: Mapping[str, DataFrame]) -> DataFrame:
     """The mart's rows as one declarative plan; nothing runs here.
 
     The steps keep their order: sources, joins, coercion, cleansing, filter/group on joined columns,
-    derivation by level, filter/group on derived columns, removal of helpers, renaming, retained columns.
+    derivation by level, filter/group on derived columns, removal of helpers, renaming, retained columns,
+    cleaning of the column names.
     """
     spec.validate()
     tables = {t.alias: read_table(sources[t.name], t) for t in spec.tables}
@@ -34,7 +35,8 @@ def build_mart(spec: MartSpec, sources: Mapping[str, DataFrame]) -> DataFrame:
     rows = derive(rows, spec.derived)
     rows = filter_group(rows, spec.derived_step)
     rows = rename_derived(drop_helpers_of(rows, spec.derived), spec.derived)
-    return retain(rows, spec.retain) if spec.retain else rows
+    rows = retain(rows, spec.retain) if spec.retain else rows
+    return clean_columns(rows, spec.name_rules) if spec.name_rules else rows
 
 
 def load_mart(

@@ -36,7 +36,7 @@ def _next_state(target: DataFrame | None, rows: DataFrame, keys: Sequence[str],
 
 def _cleansed(rows: DataFrame, spec: WarehouseSpec, skip: Sequence[str] = ()) -> DataFrame:
     declared = {c: t for c, t in spec.types.items() if c in rows.columns and c != spec.surrogate and c not in skip}
-    return replace_missing(rows, declared, spec.keys)
+    return replace_missing(rows, declared, spec.keys, spec.defaults, spec.key_defaults)
 
 
 def dimension_staging(
@@ -90,7 +90,7 @@ def transaction_staging(
 ) -> DataFrame:
     """Source to staging of a transaction table: constants and coercion, an upsert without checksum."""
     rows = coerce(source_rows(source, spec), spec.types, formats)
-    rows = replace_missing(rows, {k: spec.types[k] for k in spec.keys}, spec.keys)
+    rows = replace_missing(rows, {k: spec.types[k] for k in spec.keys}, spec.keys, spec.defaults, spec.key_defaults)
     return _next_state(staging, rows, spec.keys, stamp, date_only=True, strategy=strategy)
 
 

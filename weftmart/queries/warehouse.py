@@ -20,7 +20,7 @@ from weftmart.queries.snapshots import (
     FIRST_LOAD, SECOND_LOAD, THIRD_LOAD, customer_after, customer_before, orders_after, orders_alive, orders_before, with_snapshots,
 )
 from weftmart.session import scratch_path, write_table
-from weftmart.spec import ColumnMap, MartSpec, WarehouseSpec, mart_from_control, mart_from_json
+from weftmart.spec import ColumnMap, MartSpec, WarehouseSpec, cleansing_from_control, mart_from_control, mart_from_json
 
 MART_JSON = """
 {
@@ -545,3 +545,26 @@ def limited_increments(t: Tables):
         state = run_table(t.orders, spec, chosen, open_state(t.spark, before), stamp, f"{path}/{number}")
         before = f"{path}/{number}"
     return state.warehouse.select("Order_Id", "Status")
+
+
+@query(
+    "c6_from_conversion_table",
+    """SELECT c_custkey AS Customer_Id, CASE WHEN c_acctbal < 0 THEN 'unknown' ELSE c_name END AS Name, CASE WHEN c_acctbal < 0 THEN -1 ELSE c_nationkey END AS Nation
+       FROM customer""",
+)
+def cleansed_from_table(t: Tables):
+    """The type-conversion table tells what missing values of a dimension become."""
+    rows = [("varchar(50)", "unknown", "none"), ("int", "-1", "0"), ("bigint", None, "0")]
+    table = t.spark.createDataFrame(rows, "IL_Data_Type string, Cleansing_Value string, PK_Cleansing_Value string")
+    defaults, key_defaults = cleansing_from_control(table)
+    spec = replace(CUSTOMER, defaults=defaults, key_defaults=key_defaults)
+    gap = F.col("c_acctbal") < 0
+    source = t.customer.withColumns({c: F.when(~gap, F.col(c)) for c in ("c_name", "c_nationkey")})
+    return dimension_staging(source, spec, None, FIRST_LOAD).select("Customer_Id", "Name", "Nation")
+
+
+@query("p8_in_mart", f"SELECT nation, revenue_band, total_revenue, quantity, buyers, quantity_spread AS quantity_deviation FROM ({_MART_SQL}) x")
+def mart_with_clean_names(t: Tables):
+    """The build cleans its column names by the mart's rules."""
+    rows = build_mart(replace(mart_spec(), name_rules=(("spread", "deviation"),)), _mart_sources(t))
+    return doubles(rows, "total_revenue").withColumn("quantity_deviation", F.round("quantity_deviation", 6))

@@ -13,6 +13,8 @@ from typing import Any
 
 from pyspark.sql import DataFrame, functions as F
 
+from weftmart.functions.types import parse_type
+
 PK, SK, FK = "PK", "SK", "FK"
 DIMENSION, TRANSACTION = "D", "T"
 
@@ -40,6 +42,9 @@ class WarehouseSpec:
     name: str
     kind: str
     columns: tuple[ColumnMap, ...]
+    #: replacements of missing values by type name, instead of the built-in ones
+    defaults: Mapping[str, Any] = field(default_factory=dict)
+    key_defaults: Mapping[str, Any] = field(default_factory=dict)
 
     @property
     def mapped(self) -> list[str]:
@@ -139,6 +144,8 @@ class MartSpec:
     retain: tuple[str, ...] = ()
     cleansing: Mapping[str, Any] = field(default_factory=dict)
     strict: bool = False
+    #: replacement rules for the names of the finished columns, in order
+    name_rules: tuple[tuple[str, str], ...] = ()
 
     @property
     def driving(self) -> TableSpec:
@@ -229,6 +236,7 @@ def mart_from_json(text: str) -> MartSpec:
         retain=tuple(raw.get("retain", ())),
         cleansing=raw.get("cleansing", {}),
         strict=raw.get("strict", False),
+        name_rules=tuple(map(tuple, raw.get("name_rules", ()))),
     ).validate()
 
 
@@ -372,5 +380,17 @@ def warehouse_from_control(name: str, mapping: DataFrame, connection: Any = None
     )
 
 
+def cleansing_from_control(type_conversion: DataFrame) -> tuple[dict[str, str], dict[str, str]]:
+    """Replacements of missing values by type name, for other and for key columns, from the type-conversion table."""
+    plain, keys = {}, {}
+    for row in _rows(type_conversion):
+        name = parse_type(row["IL_Data_Type"]).base
+        if row["Cleansing_Value"] is not None:
+            plain[name] = row["Cleansing_Value"]
+        if row["PK_Cleansing_Value"] is not None:
+            keys[name] = row["PK_Cleansing_Value"]
+    return plain, keys
+
+
 def _names(text: str | None) -> list[str]:
     return [part.strip() for part in (text or "").split(",") if part.strip()]
