@@ -277,10 +277,10 @@ def remove(
     kept = materialise(docs.withColumn("__row", F.monotonically_increasing_id()), "decontaminate")
     inner = kept.select(F.col("__row").alias("row_id"), F.col(f"`{text_column}`").alias("text"))
     hits = find_hits(inner, benchmark, window, "row_id", "text")
-    limits = hits.where("n_hit > 0").select(F.col("doc_id").alias("__row"), contaminated(share=max_share).alias("__out"), "spans")
+    limits = hits.where("n_hit > 0").select(F.col("doc_id").alias("__row"), contaminated(share=max_share).alias("__out"), F.col("spans").alias("__spans"))
     joined = kept.join(limits, "__row", "left").where("__out IS NULL OR NOT __out")
     if max_words is not None:
-        too_long = F.filter("spans", lambda s: s["stop"] - s["start"] > max_words)
+        too_long = F.filter("__spans", lambda s: s["stop"] - s["start"] > max_words)
 
         @F.udf("string")
         def cut(text, spans):
