@@ -8,9 +8,11 @@ finds every pair with at most 31 of 64 symbols different; at similarity 0.75 abo
 confirmed on their whole shingle sets.
 
 Equal sets become one node first. Then an index bucket is never paired out: each member meets the bucket's leader
-(its smallest node), and confirmed links are joined into components. Only members of buckets that still hold
-several components are compared with each other, by signature, in groups of bounded size; a larger bucket is cut
-by further symbols (again by pigeonhole) and what remains large in pairs of blocks. So no pair is lost.
+(its smallest node), and confirmed links are joined into components. In buckets that still hold several components
+each node then meets its nearest likely partner of another component, a few rounds long, so that large groups of
+near copies grow together by few pairs. Only what is still apart is compared in full, by signature, in groups of
+bounded size; a larger bucket is cut by further symbols (again by pigeonhole) and what remains large in pairs of
+blocks. So no link is lost, and no step gives out all pairs of a group.
 
 Defined results: a null, empty or blank text has an empty set and links with nothing; rows that share an id are
 one document with several texts; a null id links with nothing, its component is null and it is kept; an empty
@@ -52,7 +54,15 @@ class Plan:
     chunk: int = 4
     errors: int = 1
     #: members of a bucket that one task compares with each other
-    group: int = 1024
+    group: int = 2048
+    #: times that open buckets are thinned by nearest partners, and the distance of such partners
+    rounds: int = 3
+    likely: int = 22
+
+    def choices(self) -> list[list[int]]:
+        """The symbols of every chunk under each choice of ``errors`` symbols left out."""
+        starts = range(0, self.symbols, self.chunk)
+        return [[start + c for c in kept] for start in starts for kept in combinations(range(self.chunk), self.chunk - self.errors)]
 
     @property
     def radius(self) -> int:
@@ -169,13 +179,9 @@ def _marks(column: pa.Array, symbols: int) -> np.ndarray:
 
 
 def index_keys(nodes: DataFrame, plan: Plan) -> DataFrame:
-    """``(key, node)``: every chunk under each choice of symbols left out."""
-    schema = pa.schema([("key", pa.int64()), ("node", pa.int64())])
-    choices = [
-        [start + c for c in kept]
-        for start in range(0, plan.symbols, plan.chunk)
-        for kept in combinations(range(plan.chunk), plan.chunk - plan.errors)
-    ]
+    """``(key, node, choice)``: every chunk under each choice of symbols left out."""
+    schema = pa.schema([("key", pa.int64()), ("node", pa.int64()), ("choice", pa.int32())])
+    choices = plan.choices()
 
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         with np.errstate(over="ignore"):
@@ -185,14 +191,15 @@ def index_keys(nodes: DataFrame, plan: Plan) -> DataFrame:
                     key = np.full(len(marks), number, U64)
                     for c in kept:
                         key = mixed(key * _STEP + marks[:, c] + U64(1))
-                    yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), node], schema=schema)
+                    columns = [pa.array(key.view(np.int64)), node, pa.array(np.full(len(marks), number, np.int32))]
+                    yield pa.RecordBatch.from_arrays(columns, schema=schema)
 
-    return nodes.select("node", "signature").mapInArrow(keys, "key bigint, node bigint")
+    return nodes.select("node", "signature").mapInArrow(keys, "key bigint, node bigint, choice int")
 
 
 def further_keys(rows: DataFrame, plan: Plan, level: int) -> DataFrame:
-    """Cut buckets ``(key, node, component, signature)``: symbols dealt into ``radius + 1`` sets, one of which must agree."""
-    schema = pa.schema([("key", pa.int64()), ("node", pa.int64()), ("component", pa.int64())])
+    """Cut buckets ``(key, node, component, choice, signature)``: symbols dealt into ``radius + 1`` sets, one of which must agree."""
+    schema = pa.schema([("key", pa.int64()), ("node", pa.int64()), ("component", pa.int64()), ("choice", pa.int32())])
     order = np.random.default_rng(level).permutation(plan.symbols)
     dealt = [order[i :: plan.radius + 1] for i in range(min(plan.radius + 1, plan.symbols))]
 
@@ -205,9 +212,9 @@ def further_keys(rows: DataFrame, plan: Plan, level: int) -> DataFrame:
                     key = mixed(base + U64(number + 1) * _STEP)
                     for c in kept:
                         key = mixed(key * _STEP + marks[:, c] + U64(1))
-                    yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), batch["node"], batch["component"]], schema=schema)
+                    yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), batch["node"], batch["component"], batch["choice"]], schema=schema)
 
-    return rows.select("key", "node", "component", "signature").mapInArrow(keys, "key bigint, node bigint, component bigint")
+    return rows.select("key", "node", "component", "choice", "signature").mapInArrow(keys, "key bigint, node bigint, component bigint, choice int")
 
 
 def _close(plan: Plan):
@@ -216,102 +223,204 @@ def _close(plan: Plan):
     def close(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             apart = (_marks(batch["left"], plan.symbols) != _marks(batch["right"], plan.symbols)).sum(1)
-            near = pa.array(apart <= plan.radius)
+            near = (apart <= plan.radius) & _sizes_fit(np.asarray(batch["m"]), np.asarray(batch["n"]), plan)
+            near = pa.array(near)
             yield pa.RecordBatch.from_arrays([batch["a"].filter(near), batch["b"].filter(near)], schema=schema)
 
     return close
 
 
-def within_radius(pairs: DataFrame, nodes: DataFrame, plan: Plan) -> DataFrame:
-    left = nodes.select(F.col("node").alias("a"), F.col("signature").alias("left"))
-    right = nodes.select(F.col("node").alias("b"), F.col("signature").alias("right"))
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "left", "right").mapInArrow(_close(plan), "a bigint, b bigint")
+def _sizes_fit(m: np.ndarray, n: np.ndarray, plan: Plan) -> np.ndarray:
+    """Whether sets of these sizes can be similar enough at all."""
+    return 100 * np.minimum(m, n) >= plan.percent * np.maximum(m, n)
 
 
-def _pairs_in_groups(plan: Plan):
-    """Pairs of different components within the radius, from rows sorted by group; a group has a bounded size."""
+def within_radius(pairs: DataFrame, nodes: DataFrame, plan: Plan) -> DataFrame:
+    left = nodes.select(F.col("node").alias("a"), F.col("signature").alias("left"), F.col("n").alias("m"))
+    right = nodes.select(F.col("node").alias("b"), F.col("signature").alias("right"), "n")
+    return pairs.join(left, "a").join(right, "b").select("a", "b", "left", "right", "m", "n").mapInArrow(_close(plan), "a bigint, b bigint")
+
+
+def _shared(x: np.ndarray, y: np.ndarray) -> int:
+    """The number of values that two sorted sets have in common."""
+    if len(x) > len(y):
+        x, y = y, x
+    return int((y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x).sum())
+
+
+def _grouped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """The rows of each group ``(key, low, high)``, from rows sorted by it; a group has a bounded size."""
+    rest = None
+    for batch in batches:
+        table = pa.Table.from_batches([batch])
+        table = table if rest is None else pa.concat_tables([rest, table])
+        keys = np.stack([np.asarray(table[c]) for c in ("key", "low", "high")], 1)
+        cuts = [0, *(np.flatnonzero((keys[1:] != keys[:-1]).any(1)) + 1)]
+        for start, stop in zip(cuts[:-1], cuts[1:], strict=True):
+            if stop - start > 1:
+                yield table.slice(start, stop - start).combine_chunks()
+        rest = table.slice(cuts[-1])
+    if rest is not None and rest.num_rows > 1:
+        yield rest.combine_chunks()
+
+
+def _near_in_group(group: pa.Table, plan: Plan, limit: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Row numbers and distance of a group's pairs within ``limit`` symbols, of different components and fitting sizes."""
+    marks = _marks(group["signature"].chunk(0), plan.symbols)
+    component, block, size = (np.asarray(group[c]) for c in ("component", "block", "n"))
+    two = group["low"][0] != group["high"][0]
+    for start in range(0, len(marks), 64):
+        rows = slice(start, start + 64)
+        fit = (component[rows, None] != component[None, :]) & _sizes_fit(size[rows, None], size[None, :], plan)
+        if two:
+            fit &= block[rows, None] != block[None, :]
+        i, j = np.nonzero(fit)
+        i += start
+        for at in range(0, len(i), 1 << 16):
+            x, y = i[at : at + (1 << 16)], j[at : at + (1 << 16)]
+            apart = (marks[x] != marks[y]).sum(1)
+            near = apart <= limit
+            yield x[near], y[near], apart[near]
+
+
+def _nearest(plan: Plan):
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
-    def compare(node: np.ndarray, component: np.ndarray, block: np.ndarray, marks: np.ndarray, two: bool):
-        for start in range(0, len(node), 64):
-            rows = slice(start, start + 64)
-            near = (marks[rows, None, :] != marks[None, :, :]).sum(2) <= plan.radius
-            near &= component[rows, None] != component[None, :]
-            near &= node[rows, None] < node[None, :]
-            if two:
-                near &= block[rows, None] != block[None, :]
-            i, j = np.nonzero(near)
-            if len(i):
-                yield pa.RecordBatch.from_arrays([pa.array(node[rows][i]), pa.array(node[j])], schema=schema)
-
-    def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rest = None
-        for batch in batches:
-            table = pa.Table.from_batches([batch]) if rest is None else pa.concat_tables([rest, pa.Table.from_batches([batch])])
-            table = table.combine_chunks()
-            keys = np.stack([np.asarray(table[c]) for c in ("key", "low", "high")], 1)
-            cuts = [0, *(np.flatnonzero((keys[1:] != keys[:-1]).any(1)) + 1)]
-            for start, stop in zip(cuts[:-1], cuts[1:], strict=True):
-                yield from one(table.slice(start, stop - start))
-            rest = table.slice(cuts[-1])
-        if rest is not None and rest.num_rows:
-            yield from one(rest)
-
-    def one(group: pa.Table):
-        if group.num_rows > 1:
-            group = group.combine_chunks()
-            marks = _marks(group["signature"].chunk(0), plan.symbols)
-            node, component, block = (np.asarray(group[c]) for c in ("node", "component", "block"))
-            yield from compare(node, component, block, marks, group["low"][0] != group["high"][0])
-
-    return pairs
+    def nearest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in _grouped(batches):
+            node = np.asarray(group["node"])
+            best = np.full(len(node), plan.likely + 1)
+            partner = np.full(len(node), -1)
+            for i, j, apart in _near_in_group(group, plan, plan.likely):
+                order = np.lexsort((j, apart, i))
+                first = order[np.unique(i[order], return_index=True)[1]]
+                first = first[apart[first] < best[i[first]]]
+                best[i[first]], partner[i[first]] = apart[first], j[first]
+            have = np.flatnonzero(partner >= 0)
+            a, b = node[have], node[partner[have]]
+            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], schema=schema)
+
+    return nearest
+
+
+def _first_met(group: pa.Table, plan: Plan):
+    """The group's pairs within the radius that agree under no earlier choice, so that each is looked at once."""
+    marks = _marks(group["signature"].chunk(0), plan.symbols)
+    node = np.asarray(group["node"])
+    earlier = plan.choices()[: group["choice"][0].as_py()]
+    for i, j, _ in _near_in_group(group, plan, plan.radius):
+        once = node[i] < node[j]
+        i, j = i[once], j[once]
+        same = marks[i] == marks[j]
+        met = np.zeros(len(i), bool)
+        for kept in earlier:
+            met |= same[:, kept].all(1)
+        yield i[~met], j[~met]
+
+
+def _active(plan: Plan):
+    schema = pa.schema([(c, pa.int64()) for c in ("key", "low", "high", "node")])
+
+    def active(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in _grouped(batches):
+            some = np.zeros(group.num_rows, bool)
+            for i, j in _first_met(group, plan):
+                some[i] = some[j] = True
+            if some.any():
+                mask = pa.array(some)
+                yield pa.RecordBatch.from_arrays([group[c].chunk(0).filter(mask) for c in schema.names], schema=schema)
+
+    return active
+
+
+def _links(plan: Plan):
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+    def links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in _grouped(batches):
+            node = np.asarray(group["node"])
+            sets = [np.frombuffer(x.as_buffer(), U64) for x in group["shingles"].chunk(0)]
+            size = np.array([len(x) for x in sets])
+            found = []
+            for i, j in _first_met(group, plan):
+                for x, y in zip(i.tolist(), j.tolist(), strict=True):
+                    shared = _shared(sets[x], sets[y])
+                    if 100 * shared >= plan.percent * (size[x] + size[y] - shared):
+                        found.append((node[x], node[y]))
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array([f[0] for f in found]), pa.array([f[1] for f in found])], schema=schema)
+
+    return links
 
 
 def open_groups(rows: DataFrame) -> DataFrame:
-    """Rows ``(key, node, component)`` of the keys that hold more than one component, with the key's size."""
+    """Rows ``(key, node, component, choice)`` of the keys that hold more than one component, with the key's size."""
     counts = rows.groupBy("key").agg(F.min("component").alias("c0"), F.max("component").alias("c1"), F.count("*").alias("size"))
     counts = materialise(counts.where("c0 <> c1").select("key", "size"), "open-keys")
-    return materialise(rows.join(counts, "key"), "open-rows")
+    return materialise(rows.select("key", "node", "component", "choice").join(counts, "key"), "open-rows")
 
 
-def remaining_pairs(members: DataFrame, nodes: DataFrame, plan: Plan, levels: int = 3) -> DataFrame:
-    """Pairs within the radius and of different components, from buckets ``(key, node, component)``."""
-    found, rows = [], members
+def _dealt(rows: DataFrame) -> DataFrame:
+    return rows.repartition("key", "low", "high").sortWithinPartitions("key", "low", "high")
+
+
+def likely_pairs(rows: DataFrame, nodes: DataFrame, plan: Plan, number: int) -> DataFrame:
+    """Each node's nearest likely partner of another component, from open buckets cut into parts of bounded size."""
+    rows = open_groups(rows)
+    parts = F.ceil(2 * F.col("size") / plan.group).cast("long")
+    part = F.when(F.col("size") <= plan.group, 0).otherwise(F.pmod(F.xxhash64("node", F.lit(number)), parts)).cast("long")
+    dealt = rows.withColumn("low", part).withColumns({"high": F.col("low"), "block": F.col("low")})
+    dealt = dealt.join(nodes.select("node", "signature", "n"), "node")
+    return _dealt(dealt).mapInArrow(_nearest(plan), "a bigint, b bigint").distinct()
+
+
+def remaining_links(members: DataFrame, docs: DataFrame, nodes: DataFrame, plan: Plan, levels: int = 3) -> DataFrame:
+    """Links between different components, from buckets ``(key, node, component, choice)``.
+
+    First only signatures meet, and say which members have any partner within the radius. Those get their whole sets,
+    and the same groups confirm their pairs in place; neither step gives out a row per pair.
+    """
+    signed, rows = nodes.select("node", "signature", "n"), members
+    zero = F.lit(0).cast("long")
+    parts = []
     for level in range(levels + 1):
         rows = open_groups(rows)
-        signed = rows.join(nodes.select("node", "signature"), "node")
         fitting = F.col("size") <= plan.group
-        zero = F.lit(0).cast("long")
-        small = signed.where(fitting).withColumns({"low": zero, "high": zero, "block": zero})
-        found.append(_compared(small, plan))
+        parts.append(rows.where(fitting).withColumns({"low": zero, "high": zero, "block": zero}))
         if rows.where(~fitting).isEmpty():
             break
         if level < levels:
-            rows = further_keys(signed.where(~fitting), plan, level)
+            rows = further_keys(rows.where(~fitting).join(signed, "node"), plan, level)
             continue
         # the rest: blocks of a bucket against each other
         blocks = F.ceil(2 * F.col("size") / plan.group).cast("long")
-        large = signed.where(~fitting).withColumn("block", F.pmod(F.xxhash64("node"), blocks))
+        large = rows.where(~fitting).withColumn("block", F.pmod(F.xxhash64("node"), blocks))
         large = large.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
-        large = large.withColumns({"low": F.least("block", "other"), "high": F.greatest("block", "other")})
-        found.append(_compared(large, plan))
-    every = found[0]
-    for more in found[1:]:
-        every = every.unionByName(more)
-    return every.distinct()
-
-
-def _compared(rows: DataFrame, plan: Plan) -> DataFrame:
-    dealt = rows.select("key", "low", "high", "block", "node", "component", "signature").repartition("key", "low", "high")
-    return dealt.sortWithinPartitions("key", "low", "high").mapInArrow(_pairs_in_groups(plan), "a bigint, b bigint")
+        parts.append(large.withColumns({"low": F.least("block", "other"), "high": F.greatest("block", "other")}).drop("other"))
+    groups = parts[0]
+    for more in parts[1:]:
+        groups = groups.unionByName(more)
+    groups = materialise(groups, "groups")
+    place = ["key", "low", "high", "node"]
+    active = _dealt(groups.join(signed, "node")).mapInArrow(_active(plan), "key bigint, low bigint, high bigint, node bigint")
+    active = materialise(active.distinct(), "active")
+    sets = node_sets(active.select("node"), docs, nodes, plan)
+    full = groups.join(active, place, "left_semi").join(signed, "node").join(sets, "node")
+    return _dealt(full).mapInArrow(_links(plan), "a bigint, b bigint").distinct()
+
+
+def node_sets(used: DataFrame, docs: DataFrame, nodes: DataFrame, plan: Plan) -> DataFrame:
+    """``(node, shingles)`` of the nodes in ``used (node)``, from the texts of their documents."""
+    wanted = nodes.join(used.distinct(), "node", "left_semi").select("node", "id", "f1", "f2")
+    wanted = materialise(wanted, "wanted")
+    sets = shingle_sets(only_ids(docs, wanted), plan).join(wanted, ["id", "f1", "f2"])
+    return sets.select("node", "shingles")
 
 
 def confirmed(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, plan: Plan) -> DataFrame:
     """Those pairs of nodes whose whole sets are similar enough."""
-    pairs = materialise(pairs, "candidates")
-    used = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-    wanted = materialise(nodes.join(used, "node", "left_semi").select("node", "id", "f1", "f2"), "candidate-nodes")
-    sets = shingle_sets(only_ids(docs, wanted), plan).join(wanted, ["id", "f1", "f2"]).select("node", "shingles")
+    used = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node")))
+    sets = node_sets(used, docs, nodes, plan)
     left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("left"))
     right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("right"))
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
@@ -321,9 +430,7 @@ def confirmed(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, plan: Plan) -
             keep = []
             for one, two in zip(batch["left"], batch["right"], strict=True):
                 x, y = np.frombuffer(one.as_buffer(), U64), np.frombuffer(two.as_buffer(), U64)
-                if len(x) > len(y):
-                    x, y = y, x
-                shared = int((y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x).sum())
+                shared = _shared(x, y)
                 keep.append(100 * shared >= plan.percent * (len(x) + len(y) - shared))
             near = pa.array(keep, pa.bool_())
             yield pa.RecordBatch.from_arrays([batch["a"].filter(near), batch["b"].filter(near)], schema=schema)
@@ -338,26 +445,36 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
     docs = two_columns(docs, id_column, text_column)
     signed = materialise(signatures(docs, plan), "signatures")
     known = signed.where("n > 0 AND id IS NOT NULL")
-    nodes = known.groupBy("f1", "f2", "signature").agg(F.min("id").alias("id"))
+    nodes = known.groupBy("f1", "f2", "n", "signature").agg(F.min("id").alias("id"))
     nodes = materialise(nodes.withColumn("node", F.monotonically_increasing_id()), "nodes")
     keys = index_keys(nodes, plan)
     leaders = keys.groupBy("key").agg(F.min("node").alias("leader"), F.count("*").alias("size")).where("size > 1")
     leaders = materialise(leaders, "leaders")
     members = materialise(keys.join(leaders, "key"), "members")
     stars = members.where("node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct()
-    links = confirmed(within_radius(stars, nodes, plan), docs, nodes, plan)
+    looked = materialise(within_radius(stars, nodes, plan).distinct(), "stars")
+    links = confirmed(looked, docs, nodes, plan)
     rows = known.join(nodes.select("f1", "f2", "node"), ["f1", "f2"]).select("id", "node")
     rows = materialise(rows.distinct(), "rows")
     # rows that share an id are one document
     shared = rows.groupBy("id").agg(F.min("node").alias("a"), F.max("node").alias("z")).where("a <> z")
     same = shared.join(rows, "id").select("a", F.col("node").alias("b")).where("a <> b")
-    first = links.unionByName(same)
-    linked = components(first)
-    rest = members.where("size > 2 AND node <> leader").join(linked, members["node"] == linked["id"], "left")
-    rest = rest.select("key", "node", F.coalesce("component", "node").alias("component"))
-    more = confirmed(remaining_pairs(rest, nodes, plan), docs, nodes, plan)
-    if not more.isEmpty():
-        linked = components(first.unionByName(more))
+    links = links.unionByName(same)
+    linked = components(links)
+    for number in range(plan.rounds + 1):
+        joined = members.where("size > 2").join(linked, members["node"] == linked["id"], "left")
+        joined = joined.select("key", "node", "choice", F.coalesce("component", "node").alias("component"))
+        if number < plan.rounds:
+            # a pair that was looked at before is no link
+            pairs = likely_pairs(joined, nodes, plan, number).join(looked, ["a", "b"], "left_anti")
+            pairs = materialise(pairs, "pairs")
+            looked = looked.unionByName(pairs)
+            more = confirmed(pairs, docs, nodes, plan)
+        else:
+            more = materialise(remaining_links(joined, docs, nodes, plan), "last-links")
+        if not more.isEmpty():
+            links = materialise(links.unionByName(more), "links")
+            linked = components(links)
     placed = rows.join(linked.withColumnRenamed("id", "node"), "node", "left")
     placed = materialise(placed.select("id", F.coalesce("component", "node").alias("component")).distinct(), "placed")
     smallest = placed.groupBy("component").agg(F.min("id").alias("smallest"))
