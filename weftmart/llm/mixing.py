@@ -104,9 +104,13 @@ def fit_budget(sizes: np.ndarray, counts: np.ndarray, budget: int, window: int =
     return take
 
 
-def mix(docs: DataFrame, seed: int = 7, id_column: str = "doc_id", text_column: str = "text", source_column: str = "source") -> DataFrame:
-    """``(id, source, size, source_size, target, copies)`` for every row of ``docs``."""
+def mix(
+    docs: DataFrame, seed: int = 7, id_column: str = "doc_id", text_column: str = "text", source_column: str = "source",
+    row_column: str | None = None,
+) -> DataFrame:
+    """``(id, source, size, source_size, target, copies)`` for every row of ``docs``, and ``row`` where a column names it."""
     sized = docs.select(
+        *([F.col(f"`{row_column}`").alias("row")] if row_column else []),
         F.col(f"`{id_column}`").alias("id"),
         F.col(f"`{source_column}`").alias("source"),
         word_count(F.col(f"`{text_column}`")).alias("size"),
@@ -119,7 +123,8 @@ def mix(docs: DataFrame, seed: int = 7, id_column: str = "doc_id", text_column:
     goal = goal.withColumn("passes", passes)
     goal = materialise(goal.withColumn("budget", F.round(F.col("target") - F.col("passes") * F.col("source_size")).cast("long")), "budgets")
     same = sized["source"].eqNullSafe(goal["source"])
-    rows = sized.join(goal.drop("budget"), same).select("id", sized["source"], "size", "number", "source_size", "target", "passes")
+    carried = ["row"] if row_column else []
+    rows = sized.join(goal.drop("budget"), same).select(*carried, "id", sized["source"], "size", "number", "source_size", "target", "passes")
     counts = rows.where("size > 0").groupBy("number", "size").agg(F.count("*").alias("n"))
     counts = counts.join(goal.select("number", "budget"), "number").where("budget > 0")
 
@@ -141,22 +146,23 @@ def mix(docs: DataFrame, seed: int = 7, id_column: str = "doc_id", text_column:
     buckets = buckets.withColumn("need", F.col("take") - F.coalesce(F.sum("n").over(before), F.lit(0)))
     buckets = materialise(buckets.where("need > 0").select("number", "size", "bucket", "need", "n"), "buckets")
     edge = buckets.where("need < n").select("number", "size", "bucket", "need")
-    rank = Window.partitionBy("number", "size", "bucket").orderBy("order", F.col("id").asc_nulls_last())
+    rank = Window.partitionBy("number", "size", "bucket").orderBy("order", F.col("id").asc_nulls_last(), *carried)
     # only the one bucket of a size in which the cut lies is ranked
     inside = rows.join(edge, ["number", "size", "bucket"]).withColumn("chosen", (F.row_number().over(rank) <= F.col("need")).cast("long"))
     outside = rows.join(edge, ["number", "size", "bucket"], "left_anti")
     full = buckets.where("need >= n").select("number", "size", "bucket", F.lit(1).alias("bucket_of"))
     outside = outside.join(whole, ["number", "size"], "left").join(full, ["number", "size", "bucket"], "left")
     outside = outside.withColumn("chosen", F.coalesce("all_of", "bucket_of", F.lit(0)).cast("long"))
-    names = ["id", "source", "size", "source_size", "target", "passes", "chosen"]
+    names = [*carried, "id", "source", "size", "source_size", "target", "passes", "chosen"]
     every = inside.select(*names).unionByName(outside.select(*names))
-    return every.select("id", "source", "size", "source_size", "target", (F.col("passes") + F.col("chosen")).alias("copies"))
+    return every.select(*carried, "id", "source", "size", "source_size", "target", (F.col("passes") + F.col("chosen")).alias("copies"))
 
 
 def apply_mix(docs: DataFrame, seed: int = 7, id_column: str = "doc_id", text_column: str = "text", source_column: str = "source") -> DataFrame:
     """The mixed corpus: every row of ``docs`` as often as it is taken, numbered by ``copy``."""
     rows = materialise(docs.withColumn("__row", F.monotonically_increasing_id()), "mix-rows")
-    found = mix(rows, seed, "__row", text_column, source_column).where("copies > 0").select(F.col("id").alias("__row"), F.col("copies").alias("__copies"))
+    found = mix(rows, seed, id_column, text_column, source_column, "__row").where("copies > 0")
+    found = found.select(F.col("row").alias("__row"), F.col("copies").alias("__copies"))
     found = materialise(found, "mix-copies")
     found = F.broadcast(found) if found.count() <= BROADCAST_IDS else found
     spread = rows.join(found, "__row").withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__copies"))))
