@@ -69,17 +69,25 @@ def only_ids(rows: DataFrame, ids: DataFrame, column: str = "id") -> DataFrame:
     return rows.join(known, column, "left_semi")
 
 
+def _all_stars(edges: DataFrame) -> bool:
+    """Whether every upper end has one lower end that is no upper end itself."""
+    one, none = F.lit(1), F.lit(0)
+    ends = edges.groupBy("u").agg(F.count("*").alias("ups")).select(F.col("u").alias("x"), "ups", none.alias("downs"))
+    lows = edges.groupBy("v").agg(F.count("*").alias("n")).select(F.col("v").alias("x"), none.alias("ups"), one.alias("downs"))
+    met = ends.unionByName(lows).groupBy("x").agg(F.sum("ups").alias("ups"), F.sum("downs").alias("downs"))
+    return met.where("ups > 1 OR (ups > 0 AND downs > 0)").isEmpty()
+
+
 def components(edges: DataFrame, label: str = "components") -> DataFrame:
     """``(id, component)`` for every id of ``edges (a, b)``: the smallest id that can be reached.
 
-    Large-star and small-star steps take turns until the edges stop to change. A node's minimum is an aggregate
+    Large-star and small-star steps take turns until every component is a star around its smallest id. A node's minimum is an aggregate
     that combines in each task; it meets the edges in a join that AQE can split, so a hub of any size is no hot task.
     """
     edges = materialise(
         edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), label
     )
-    before = None
-    while True:
+    while not _all_stars(edges):
         both = edges.select("u", "v").unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         lowest = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.where("v > u").join(lowest, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
@@ -88,9 +96,5 @@ def components(edges: DataFrame, label: str = "components") -> DataFrame:
         joined = large.join(down, "u")
         small = joined.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(joined.select("u", F.col("m").alias("v")))
         edges = materialise(small.where("u <> v").distinct(), label)
-        now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if now == before:
-            break
-        before = now
     nodes = edges.select(F.col("u").alias("id"), F.col("v").alias("component"))
     return nodes.unionByName(edges.select(F.col("v").alias("id"), F.col("v").alias("component"))).distinct()

@@ -9,7 +9,7 @@ confirmed on their whole shingle sets.
 
 Equal sets become one node first. Then an index bucket is never paired out: each member meets the bucket's leader
 (its smallest node), and confirmed links are joined into components. In buckets that still hold several components
-each node then meets its nearest likely partner of another component, a few rounds long, so that large groups of
+each node then meets its nearest likely partner of another component, so that large groups of
 near copies grow together by few pairs. Only what is still apart is compared in full, by signature, in groups of
 bounded size; a larger bucket is cut by further symbols (again by pigeonhole) and what remains large in pairs of
 blocks. So no link is lost, and no step gives out all pairs of a group.
@@ -55,8 +55,8 @@ class Plan:
     errors: int = 1
     #: members of a bucket that one task compares with each other
     group: int = 2048
-    #: times that open buckets are thinned by nearest partners, and the distance of such partners
-    rounds: int = 3
+    #: times that open buckets are thinned by nearest partners, and the most that such partners differ
+    rounds: int = 1
     likely: int = 22
 
     def choices(self) -> list[list[int]]:
