@@ -1,7 +1,9 @@
 """Every dealt operator on small tables against a brute-force version, and its defined results on odd rows."""
 
 import itertools
+import math
 import random
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -139,6 +141,45 @@ def test_fingerprints(spark):
     assert imatch.fingerprints(frame(spark, [], "id long, text string")).count() == 0
 
 
+def test_fingerprints_equal_brute_force(spark, monkeypatch):
+    """Over a band of more than 32,768 terms, none of which may be left out, with a broadcast lexicon and by shuffle."""
+    from pyspark.sql import functions as F
+
+    rng = random.Random(8)
+    words = [f"t{i}" for i in range(40_000)] * 2
+    rng.shuffle(words)
+    rows = [(i, " ".join(["the", "of", *words[i * 800 : (i + 1) * 800], f"only{i}"])) for i in range(100)]
+    rows += [(200 + i, " ".join(rows[i][1].split()[:-i])) for i in range(1, 5)]
+    rows += [(300, "the of t5"), (301, "the t7 t9 t39999"), (302, "the t7 t9 t39998"), (303, ""), (304, "the of")]
+    rows.sort(reverse=True)
+    own = [set(t.split()) for _, t in rows]
+    edited = [t[: len(t) - len(t) // 2] + rows[(i + 1) % len(rows)][1][: len(t) // 2] for i, (_, t) in enumerate(rows)]
+    counts = Counter(t for some in own for t in some)
+    band = {t for t, n in counts.items() if n >= 2 and 3 <= math.log(len(rows) / n) <= 12}
+    assert len(band) > 32_768
+    masks = {r.term: r.mask for r in frame(spark, [(t,) for t in band], "term string").select("term", imatch.mask(F.col("term"))).collect()}
+
+    def subsets(some):
+        kept = sorted(some & band)
+        if len(kept) < 3:
+            return [" ".join(sorted(some)) or None] * imatch.SUBSETS
+        return [" ".join(t for t in kept if masks[t] >> j & 1) or None for j in range(imatch.SUBSETS)]
+
+    def likeness(a, b):
+        either = sum(x is not None or y is not None for x, y in zip(a, b))
+        return 1.0 if a == b else sum(x is not None and x == y for x, y in zip(a, b)) / either if either else 0.0
+
+    first, second = [subsets(s) for s in own], [subsets(set(e.split())) for e in edited]
+    near = {d: (likeness(first[i], second[i]), likeness(first[i], first[(i + 1) % len(rows)])) for i, (d, _) in enumerate(rows)}
+    hashed = frame(spark, [(d, a, b) for (d, _), a, b in zip(rows, first, second)], "id long, a array<string>, b array<string>")
+    hexed = "array_join(transform({}, s -> if(s is null, '-', lower(hex(xxhash64(s))))), ':')"
+    wanted = sorted((r.id, r.a, r.b, *near[r.id]) for r in hashed.select("id", *[F.expr(hexed.format(c)).alias(c) for c in "ab"]).collect())
+    docs = frame(spark, rows, "id long, text string")
+    for bound in (imatch.BROADCAST_BYTES, 10_000, 0):
+        monkeypatch.setattr(imatch, "BROADCAST_BYTES", bound)
+        assert result(imatch.fingerprints(docs), "id", "fingerprint", "edited_fingerprint", "near_edited", "near_next") == sorted(wanted, key=repr)
+
+
 def test_budget_fits_as_exactly_as_sizes_allow():
     rng = np.random.default_rng(3)
     for _ in range(60):

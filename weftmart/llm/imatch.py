@@ -1,8 +1,8 @@
 """I-Match document fingerprints, in DataFrame operations only.
 
-The lexicon holds the terms whose inverse document frequency lies in a chosen band, counted over all documents;
-of these at most ``lexicon`` terms, the most frequent ones, so that it can be broadcast. A fingerprint is one hash
-per randomised subset of the lexicon: the text's distinct lexicon terms that belong to the subset, sorted and
+The lexicon holds all terms whose inverse document frequency lies in a chosen band, counted over all documents. It is
+broadcast only if its measured size is under ``BROADCAST_BYTES``; a larger one meets the texts' terms by shuffle, with
+the same result, after the terms above the band were taken out. A fingerprint is one hash per randomised subset of the lexicon: the text's distinct lexicon terms that belong to the subset, sorted and
 hashed. Subsets thin the lexicon at several rates, so some of them keep few terms and survive edits of long texts
 while others tell short texts apart. A text with fewer than ``least`` lexicon terms takes all of its terms instead.
 
@@ -33,7 +33,6 @@ class Lexicon:
     idf_low: float = 3.0
     idf_high: float = 12.0
     least_documents: int = 2
-    size: int = 32_768
     least: int = 3
 
 
@@ -41,6 +40,10 @@ class Lexicon:
 RATES = (8, 32, 128, 512, 2048)
 COPIES = 12
 SUBSETS = len(RATES) * COPIES
+#: a lexicon is broadcast only when it was counted and takes at most this much memory, ``TERM_BYTES`` a term besides its text
+BROADCAST_BYTES, TERM_BYTES = 64 << 20, 100
+#: the rows that carry what belongs to a whole text have so many keys, so that a shuffle by term spreads them
+MARKERS = 1024
 
 
 def terms(text: Column) -> Column:
@@ -49,13 +52,34 @@ def terms(text: Column) -> Column:
 
 
 def lexicon_terms(texts: DataFrame, band: Lexicon) -> DataFrame:
-    """``(term, mask)``: the lexicon of all ``texts (text)``; bit j of the mask is set for members of subset j."""
+    """``(term, common, mask)``: the lexicon of all ``texts (text)``, and as ``common`` the terms more frequent than the
+    band; bit j of the mask is set for members of subset j."""
     total = texts.count()
     counted = texts.select(F.explode(terms(F.col("text"))).alias("term")).groupBy("term").agg(F.count("*").alias("df"))
     idf = F.log(F.lit(max(total, 1)).cast("double") / F.col("df"))
-    chosen = counted.where(idf.between(band.idf_low, band.idf_high) & (F.col("df") >= band.least_documents))
-    chosen = chosen.orderBy(F.desc("df"), "term").limit(band.size).select("term")
-    return materialise(chosen.select("term", mask(F.col("term"))), "lexicon")
+    chosen = counted.where((idf <= band.idf_high) & (F.col("df") >= band.least_documents))
+    return materialise(chosen.select("term", (idf < band.idf_low).alias("common"), mask(F.col("term"))), "lexicon")
+
+
+def _fits(words: DataFrame) -> bool:
+    """Whether ``words (term)`` are small enough to be broadcast."""
+    size = words.agg(F.sum(F.octet_length("term") + F.lit(TERM_BYTES).cast("long"))).first()[0]
+    return (size or 0) <= BROADCAST_BYTES
+
+
+def in_lexicon(spread: DataFrame, counted: DataFrame) -> DataFrame:
+    """The rows of ``spread`` whose term is in the lexicon or marks a text, with the term's mask."""
+    lexicon = counted.where("NOT common").select("term", "mask")
+    marker = counted.sparkSession.range(MARKERS).select(F.concat(F.lit(" "), F.col("id").cast("string")).alias("term"), F.lit(0).cast("long").alias("mask"))
+    words = lexicon.unionByName(marker)
+    if _fits(lexicon):
+        # buckets are already together, so neither the join nor the grouping after it moves a row
+        return spread.join(F.broadcast(words), "term")
+    # terms above the band are few (each is in one of e^idf_low documents), but most of the rows
+    common = counted.where("common").select("term")
+    if _fits(common):
+        spread = spread.join(F.broadcast(common), "term", "left_anti")
+    return spread.join(words, "term")
 
 
 def mask(term: Column) -> Column:
@@ -71,8 +95,13 @@ def subset_hashes(found: str, every: str, least: int) -> str:
 
     ``found`` holds sorted ``(term, mask)``, ``every`` a hash of all terms (null: no terms).
     """
-    one = f"""transform(sequence(0, {SUBSETS - 1}), j ->
-        nullif(array_join(transform(filter({found}, t -> (shiftright(t.mask, j) & 1) = 1), t -> t.term), ' '), ''))"""
+    # the subsets of one rate share a first pass, which leaves them only the terms that any of them keeps
+    each = []
+    for r in range(len(RATES)):
+        bits = ((1 << COPIES) - 1) << (r * COPIES)
+        each.append(f"""transform(array(filter({found}, t -> (t.mask & {bits}L) <> 0)), some -> transform(sequence({r * COPIES}, {(r + 1) * COPIES - 1}), j ->
+            nullif(array_join(transform(filter(some, t -> (shiftright(t.mask, j) & 1) = 1), t -> t.term), ' '), '')))""")
+    one = f"flatten(concat({', '.join(each)}))"
     hashed = f"transform({one}, s -> if(s is null, null, xxhash64(s)))"
     return f"if(size({found}) < {least}, array_repeat({every}, {SUBSETS}), {hashed})"
 
@@ -115,10 +144,7 @@ def with_next(docs: DataFrame, bucket: int = 512) -> DataFrame:
 
 def fingerprints(docs: DataFrame, band: Lexicon = Lexicon()) -> DataFrame:
     """Per row of ``docs (id, text)``: ``id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next``."""
-    lexicon = lexicon_terms(docs.select("text"), band)
-    # the marker row of a text is joined like a term
-    marker = lexicon.sparkSession.range(1).select(F.lit("").alias("term"), F.lit(0).cast("long").alias("mask"))
-    words = F.broadcast(lexicon.unionByName(marker))
+    counted = lexicon_terms(docs.select("text"), band)
     half = "(char_length(text) div 2)"
     edited = F.expr(f"concat(substring(text, 1, char_length(text) - {half}), substring(coalesce(next_text, ''), 1, {half}))")
     texts = with_next(docs).withColumn("edited", edited)
@@ -129,18 +155,17 @@ def fingerprints(docs: DataFrame, band: Lexicon = Lexicon()) -> DataFrame:
     info = """named_struct('id', id, 'n', n_chars, 'sha', sha, 'extra', extra,
         'own', if(size(own) = 0, null, xxhash64(array_join(sort_array(own), ' '))),
         'changed', if(size(changed) = 0, null, xxhash64(array_join(sort_array(changed), ' '))))"""
-    # only the marker row carries what belongs to the whole text
+    # only the marker row, joined like a term, carries what belongs to the whole text
     items = F.expr(
-        f"""concat(array(named_struct('side', 0, 'term', '', 'info', {info})),
+        f"""concat(array(named_struct('side', 0, 'term', concat(' ', cast(place % {MARKERS} as string)), 'info', {info})),
             transform(own, t -> named_struct('side', 0, 'term', t, 'info', null)),
             transform(changed, t -> named_struct('side', 1, 'term', t, 'info', null)))"""
     )
     spread = texts.select("bucket", "place", "row", F.explode(items).alias("i")).select("bucket", "place", "row", "i.*")
-    # buckets are already together, so neither the join nor the grouping moves a row
-    found = spread.join(words, "term").groupBy("bucket", "place", "row")
+    found = in_lexicon(spread, counted).groupBy("bucket", "place", "row")
     lists = found.agg(
         F.first("info", ignorenulls=True).alias("info"),
-        F.expr("sort_array(collect_list(struct(term, mask)) filter (where side = 0 and term <> ''))").alias("own"),
+        F.expr("sort_array(collect_list(struct(term, mask)) filter (where side = 0 and info is null))").alias("own"),
         F.expr("sort_array(collect_list(struct(term, mask)) filter (where side = 1))").alias("changed"),
     )
     marks = lists.select(
