@@ -108,6 +108,31 @@ def test_repeated_bytes_equal_brute_force(spark, monkeypatch):
     assert suffix_dedup.without_repeats(docs.limit(0)).count() == 0
 
 
+def test_no_task_holds_a_hot_anchor(spark, monkeypatch):
+    """A passage in many documents, or often in a few, with different text at its edges."""
+    from pyspark.sql import functions as F
+
+    rng = random.Random(6)
+    edge = lambda: "".join(rng.choice("abcdefgh") for _ in range(60))
+    passage = sentence(rng, 60)
+    rows = [(i, edge() + passage + edge()) for i in range(60)]
+    rows += [(100 + i, edge() + "".join(passage[:90] + edge() for _ in range(60))) for i in range(2)]
+    rows += [(200, passage), (201, edge() + rows[3][1][20:] + edge()), *((1000 + d, t) for d, t in corpus())]
+    wanted = sorted([(d, n, r, s) for d, n, r, s, _ in suffix_dedup.brute_force(rows)], key=repr)
+    held, whole = [], suffix_dedup.covered
+
+    def watched(around, length):
+        held.append(around.groupBy("gram").agg(F.sum(F.size("ids")).alias("n")).agg(F.max("n")).first()[0])
+        return whole(around, length)
+
+    monkeypatch.setattr(suffix_dedup, "covered", watched)
+    for hot in (5, 0):
+        monkeypatch.setattr(suffix_dedup, "HOT", hot, raising=False)
+        got = suffix_dedup.without_repeats(frame(spark, rows))
+        assert result(got, "id", "n_bytes", "n_removed", "n_spans") == wanted
+        assert (held.pop() or 0) <= hot * 8
+
+
 def test_suffix_arrays_are_sorted():
     rng = random.Random(4)
     texts = [bytes(rng.choice(b"ab\0") for _ in range(rng.randint(1, 90))) for _ in range(40)]
