@@ -109,3 +109,17 @@ def test_pipeline_stages_take_odd_tables(spark, folder):
             docs = materialise(stage(spark, docs, folder), "odd")
             if name == "near_duplicates":
                 assert sorted([r.doc_id for r in docs.collect()], key=str) in ([1, 2, None], [])
+
+
+def test_all_pipeline_stages_take_odd_tables(spark, folder):
+    """The quality stage too, whose labels name none of these documents."""
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    rows = [(-1, "a b c d e f", "en", "s", 11), (-1, "a b c d e f", "en", "s", 11), (None, None, None, None, None), (-2, "", None, "s", 0)]
+    for docs in (spark.createDataFrame(rows, schema), spark.createDataFrame([], schema)):
+        size = docs.count()
+        for name, stage in corpus_pipeline.STAGES:
+            docs = materialise(stage(spark, docs, folder), "odd")
+            if name == "quality":
+                assert docs.count() == size
+            if name == "near_duplicates":
+                assert sorted([r.doc_id for r in docs.collect()], key=str) in ([-1, -2, None], [])

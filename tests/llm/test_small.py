@@ -361,3 +361,16 @@ def test_quality_by_two_views(spark):
     assert {r.doc_id for r in kept.collect()} == {i for i, s in found.items() if s >= 0.5}
     assert cotrain.score(docs.limit(0), labels).count() == 0
     assert cotrain.score(docs, labels.limit(0)).count() == len(rows)
+
+
+def test_quality_keeps_all_without_labels_of_both_kinds(spark):
+    rng = random.Random(3)
+    rows = [(i, sentence(rng, 30), "en", "s0", 100) for i in range(20)]
+    docs = frame(spark, rows, "doc_id long, text string, lang string, source string, n_chars long")
+    for marks in ([], [(900, 1), (901, 0)], [(i, 0) for i in range(9)], [(i, 1) for i in range(9)]):
+        labels = frame(spark, marks, "doc_id long, quality int")
+        assert {r.score for r in cotrain.score(docs, labels).collect()} == {0.5}
+        assert cotrain.accepted(docs, labels, least=0.7).count() == len(rows)
+    # labels of both kinds of which the calibration's third would take all good ones
+    views = cotrain.co_train((np.array([[0.0], [0.0], [9.0]] * 3),) * 2, np.array([0.0, 0.0, 1.0, 0.0, 0.0, 0.0, 0.0, 0.0, 0.0]), (np.zeros((0, 1)),) * 2)
+    assert views.informed

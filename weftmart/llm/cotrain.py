@@ -9,7 +9,8 @@ Bounds, all parameters: ``LABELLED`` labelled rows and ``POOL`` unlabelled ones,
 what the classifiers are fitted on; their features, not their texts, come to the driver. Every document is scored.
 
 Defined results: a null or empty text has features 0 and is scored like any other; null language and source are
-values of their own; without labels of both kinds all documents get the same score; repeated rows get a row each; a
+values of their own; without labels of both kinds among the documents nothing tells good from bad, so every score is
+0.5 and ``accepted`` keeps all documents, whatever its limit; repeated rows get a row each; a
 null id is scored but has no label; an empty table gives an empty result; further columns are kept by ``accepted``.
 """
 
@@ -88,6 +89,7 @@ class Views:
     text: Logistic
     page: Logistic
     combine: Logistic
+    informed: bool = True  # False: there were no labels of both kinds
 
     def __call__(self, content_rows: np.ndarray, page_rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         a, b = self.text.logit(content_rows), self.page.logit(page_rows)
@@ -96,8 +98,11 @@ class Views:
 
 def co_train(rows: tuple[np.ndarray, np.ndarray], labels: np.ndarray, pool: tuple[np.ndarray, np.ndarray], rounds: int = ROUNDS) -> Views:
     """``rows`` and ``pool`` hold the two views; every third labelled row is kept for calibration."""
+    if not len(labels) or labels.min() == labels.max():
+        flat = [Logistic(np.zeros(k), np.ones(k), np.zeros(k), 0.0) for k in (rows[0].shape[1], rows[1].shape[1], 2)]
+        return Views(*flat, informed=False)
     third = np.arange(len(labels)) % 3 == 2
-    if not third.any() or labels[third].min() == labels[third].max():
+    if any(not len(part) or part.min() == part.max() for part in (labels[third], labels[~third])):
         third = np.zeros(len(labels), bool)
     own = [r[~third] for r in rows]
     marks = labels[~third]
@@ -180,6 +185,8 @@ def score(docs: DataFrame, labels: DataFrame, names: dict[str, str] = NAMES) ->
 def accepted(docs: DataFrame, labels: DataFrame, least: float = 0.5, names: dict[str, str] = NAMES) -> DataFrame:
     """The rows of ``docs`` whose score is at least ``least``, with all their columns."""
     views = learn(_narrow(docs, names), labels)
+    if not views.informed:
+        return docs
     # one pass: the columns that are read travel beside the row under names of their own
     marked = docs
     kinds = {"text": "string", "lang": "string", "source": "string", "n_chars": "bigint"}
