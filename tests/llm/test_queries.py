@@ -123,3 +123,11 @@ def test_all_pipeline_stages_take_odd_tables(spark, folder):
                 assert docs.count() == size
             if name == "near_duplicates":
                 assert sorted([r.doc_id for r in docs.collect()], key=str) in ([-1, -2, None], [])
+
+
+def test_repeated_ids_lose_no_text(spark, folder):
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    one, other = "a clean text of quite some words", "nothing here is like what stands in that one"
+    rows = [(1, one, "en", "s", 32), (1, other, "en", "s", 44), (1, other, "de", "s", 44), (2, "b", "en", "s", 1)]
+    kept = corpus_pipeline.near_duplicates(configure(spark), spark.createDataFrame(rows, schema), folder)
+    assert sorted(map(tuple, kept.collect())) == sorted([rows[0], rows[2], rows[3]])
