@@ -374,3 +374,11 @@ def test_quality_keeps_all_without_labels_of_both_kinds(spark):
     # labels of both kinds of which the calibration's third would take all good ones
     views = cotrain.co_train((np.array([[0.0], [0.0], [9.0]] * 3),) * 2, np.array([0.0, 0.0, 1.0, 0.0, 0.0, 0.0, 0.0, 0.0, 0.0]), (np.zeros((0, 1)),) * 2)
     assert views.informed
+
+
+def test_content_reads_the_whole_text():
+    plain = [f"w{i}" for i in range(80)]
+    assert cotrain.content(" ".join([*plain, *["junk x"] * 20]))[17] == 20 / 120
+    assert cotrain.content(" ".join([*plain, *["LOUD"] * 5]))[12] == 5 / 40
+    assert cotrain.content("LOUD LOUD w")[12] == 2 / 3
+    assert cotrain.content(" \n")[12:16] == [0.0] * 4

@@ -17,6 +17,7 @@ null id is scored but has no label; an empty table gives an empty result; furthe
 from __future__ import annotations
 
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -55,17 +56,17 @@ def content(text: str) -> list[float]:
     lone = sum(not any(c.isalnum() for c in w) for w in words)
     worst_upper = worst_sign = worst_again = worst_few = 0.0
     for start in range(0, len(words), 40):
-        part = lows[start : start + 40]
-        if len(part) >= 10:
-            own = words[start : start + 40]
-            worst_upper = max(worst_upper, sum(w.isupper() and len(w) > 1 for w in own) / len(part))
-            worst_sign = max(worst_sign, sum(not w[-1].isalnum() and w[-1] not in ".,;:'\")?" for w in own) / len(part))
-            worst_again = max(worst_again, sum(a == b for a, b in zip(part, part[1:], strict=False)) / len(part))
-            worst_few = max(worst_few, 1 - len(set(part)) / len(part))
+        # the last part reaches back, so that it is as long as the others
+        start = max(0, min(start, len(words) - 40))
+        part, own = lows[start : start + 40], words[start : start + 40]
+        worst_upper = max(worst_upper, sum(w.isupper() and len(w) > 1 for w in own) / len(part))
+        worst_sign = max(worst_sign, sum(not w[-1].isalnum() and w[-1] not in ".,;:'\")?" for w in own) / len(part))
+        worst_again = max(worst_again, sum(a == b for a, b in zip(part, part[1:], strict=False)) / len(part))
+        worst_few = max(worst_few, 1 - len(set(part)) / len(part))
     return [
         kinds[1] / letters, kinds[2] / len(raw), kinds[3] / len(raw), kinds[4] / len(raw), kinds[5] / len(raw), kinds[6] / len(raw),
         len(text) / n / 10, again / n, distinct / n, shouted / n, signed / n, lone / n,
-        worst_upper, worst_sign, worst_again, worst_few, float(np.log1p(n)), max((lows.count(w) for w in set(lows[:5])), default=0) / n,
+        worst_upper, worst_sign, worst_again, worst_few, float(np.log1p(n)), max(Counter(lows).values(), default=0) / n,
     ]
 
 
