@@ -16,6 +16,7 @@ from weftmart.llm.toxicity import op2_toxicity
 from weftmart.llm.cotrain import op5_cotraining
 from weftmart.llm.pii import op7_pii
 from weftmart.llm.chat import op4_chat
+from weftmart.llm.spelling import op13_spelling
 from weftmart.session import configure
 
 BUILDERS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -29,6 +30,7 @@ BUILDERS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_cotraining": op5_cotraining,
     "op7_pii": op7_pii,
     "op4_chat": op4_chat,
+    "op13_spelling": op13_spelling,
 }
 
 ORACLES: dict[str, str] = {}
