@@ -15,6 +15,7 @@ from weftmart.llm.pages import op8_page_text
 from weftmart.llm.toxicity import op2_toxicity
 from weftmart.llm.cotrain import op5_cotraining
 from weftmart.llm.pii import op7_pii
+from weftmart.llm.alignment import op11_alignment
 from weftmart.llm.chat import op4_chat
 from weftmart.llm.spelling import op13_spelling
 from weftmart.session import configure
@@ -30,6 +31,7 @@ BUILDERS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_cotraining": op5_cotraining,
     "op7_pii": op7_pii,
     "op4_chat": op4_chat,
+    "op11_alignment": op11_alignment,
     "op13_spelling": op13_spelling,
 }
 
