@@ -17,6 +17,7 @@ from weftmart.llm.cotrain import op5_cotraining
 from weftmart.llm.pii import op7_pii
 from weftmart.llm.alignment import op11_alignment
 from weftmart.llm.chat import op4_chat
+from weftmart.llm.language_model import op12_language_model
 from weftmart.llm.spelling import op13_spelling
 from weftmart.session import configure
 
@@ -32,6 +33,7 @@ BUILDERS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_pii": op7_pii,
     "op4_chat": op4_chat,
     "op11_alignment": op11_alignment,
+    "op12_language_model": op12_language_model,
     "op13_spelling": op13_spelling,
 }
 
