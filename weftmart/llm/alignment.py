@@ -28,6 +28,7 @@ import types
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import reduce
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -41,6 +42,8 @@ from weftmart.session import materialise
 SLICE, PIECE, RANGE = 4 << 20, 32 << 10, 8 << 10
 #: fragments that one task composes in a round of the reduction
 FAN = 16
+#: stretches that are encoded in one call, and those that a task remembers
+JOINED, KEPT = 1000, 300_000
 #: links that one numpy step expands; groups beyond are counted by distinct ids
 EXPAND = 1 << 20
 
@@ -186,39 +189,20 @@ def stretches(text: str) -> list[str]:
 
 
 def encode_stretches(parts: list[str], encoder: Encoder) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """``(ids, bounds, right)``: the tokens of space+part for every part, and whether its bytes come back."""
+    """``(ids, sizes, right)``: the tokens of space+part for every part, how many each has, and whether its bytes come back."""
     # white space at the end could run into the next space, and the mark for a space is itself read as one
-    joinable = [i for i, p in enumerate(parts) if p and not p[-1].isspace() and "▁" not in p]
-    ids = encoder.encode("".join([f" {parts[i]}" for i in joinable])) if joinable else np.zeros(0, np.int32)
-    found: dict[int, np.ndarray] = {}
-    sizes, right = np.zeros(len(parts), np.int64), np.zeros(len(parts), bool)
-    alone = set(range(len(parts))) - set(joinable)
-    raw = [f" {parts[i]}".encode() for i in joinable]
-    whole = np.frombuffer(b"".join(raw), np.uint8)
-    ends = np.cumsum(encoder.lengths[ids])
-    stops = np.cumsum(np.array([len(r) for r in raw], np.int64))
-    if len(joinable):
+    if all(p and not p[-1].isspace() and "▁" not in p for p in parts):
+        raw = [f" {p}" for p in parts]
+        ids = encoder.encode("".join(raw))
+        whole = np.frombuffer("".join(raw).encode(), np.uint8)
+        ends = np.cumsum(encoder.lengths[ids])
+        stops = np.cumsum(np.array([len(r.encode()) for r in raw], np.int64))
         at = np.searchsorted(ends, stops)
-        fits = len(ends) and ends[-1] == len(whole) and np.array_equal(ends[at], stops) and np.array_equal(encoder.bytes_of(ids), whole)
-        if fits:
-            sizes[joinable] = np.diff(np.concatenate([[-1], at]))
-            right[joinable] = True
-        else:
-            alone, ids = set(range(len(parts))), ids[:0]
-    if not alone:
-        return ids, np.concatenate([[0], np.cumsum(sizes)]), right
-    for i in alone:
-        found[i] = encoder.encode(f" {parts[i]}")
-        right[i] = encoder.bytes_of(found[i]).tobytes() == f" {parts[i]}".encode()
-        sizes[i] = len(found[i])
-    bounds = np.concatenate([[0], np.cumsum(sizes)])
-    out = np.zeros(bounds[-1], np.int32)
-    kept = np.ones(bounds[-1], bool)
-    for i, own in found.items():
-        out[bounds[i] : bounds[i + 1]] = own
-        kept[bounds[i] : bounds[i + 1]] = False
-    out[kept] = ids
-    return out, bounds, right
+        if len(ids) and ends[-1] == len(whole) and np.array_equal(ends[at], stops) and np.array_equal(encoder.bytes_of(ids), whole):
+            return ids, np.diff(at, prepend=-1), np.ones(len(parts), bool)
+    found = [encoder.encode(f" {p}") for p in parts]
+    right = np.array([encoder.bytes_of(ids).tobytes() == f" {p}".encode() for p, ids in zip(parts, found, strict=True)], bool)
+    return np.concatenate(found), np.array([len(x) for x in found], np.int64), right
 
 
 @dataclass
@@ -231,28 +215,44 @@ class Encoded:
     right: np.ndarray
 
 
-def encode(texts: list[str], paths: tuple[str, str]) -> Encoded:
-    """Encode space+text for every text that is not empty."""
-    number: dict[str, int] = {}
-    rows = [[number.setdefault(p, len(number)) for p in stretches(t)] if t else [] for t in texts]
-    parts = list(number)
-    at = np.array([i for row in rows for i in row], np.int64)
-    counts = np.array([len(r) for r in rows], np.int64)
-    edges = np.concatenate([[0], np.cumsum(counts)])
-    right = np.ones(len(texts), bool)
-    out = []
-    for encoder in encoders(paths):
-        ids, bounds, fits = encode_stretches(parts, encoder)
-        lengths = np.diff(bounds)[at]
-        tokens = ids[ragged(bounds[at], lengths)]
-        wrong = np.concatenate([[0], np.cumsum(~fits[at])])
-        right &= wrong[edges[1:]] == wrong[edges[:-1]]
-        upto = np.concatenate([[0], np.cumsum(lengths)])[edges]
-        ends = np.cumsum(encoder.lengths[tokens])
-        base = np.concatenate([[0], ends])[upto[:-1]]
-        out.append((tokens, ends - np.repeat(base, np.diff(upto)), upto))
-    ids, ends, bounds = zip(*out, strict=True)
-    return Encoded(ids, ends, bounds, right)
+class Stretches:
+    """The tokens of the stretches that a task has met, so that each is encoded once; forgotten when there are many."""
+
+    def __init__(self, paths: tuple[str, str]):
+        self.encoders = encoders(paths)
+        self.forget()
+
+    def forget(self) -> None:
+        self.number: dict[str, int] = {}
+        self.known = [(_none(), np.zeros(0, np.int64), np.zeros(0, bool)) for _ in self.encoders]
+
+    def learn(self, fresh: list[str]) -> None:
+        groups = [fresh[i : i + JOINED] for i in range(0, len(fresh), JOINED)]
+        for side, encoder in enumerate(self.encoders):
+            self.known[side] = tuple(np.concatenate(x) for x in zip(self.known[side], *(encode_stretches(g, encoder) for g in groups), strict=True))
+
+    def encode(self, texts: list[str]) -> Encoded:
+        """Encode space+text for every text that is not empty."""
+        if len(self.number) > KEPT:
+            self.forget()
+        number, before = self.number, len(self.number)
+        rows = [[number.setdefault(p, len(number)) for p in stretches(t)] if t else [] for t in texts]
+        self.learn(list(islice(number, before, None)))
+        at = np.array(list(chain.from_iterable(rows)), np.int64)
+        edges = np.concatenate([[0], np.cumsum([len(r) for r in rows])]).astype(np.int64)
+        right = np.ones(len(texts), bool)
+        out = []
+        for encoder, (ids, sizes, fits) in zip(self.encoders, self.known, strict=True):
+            lengths = sizes[at]
+            tokens = ids[ragged((np.cumsum(sizes) - sizes)[at], lengths)]
+            wrong = np.concatenate([[0], np.cumsum(~fits[at])])
+            right &= wrong[edges[1:]] == wrong[edges[:-1]]
+            upto = np.concatenate([[0], np.cumsum(lengths)])[edges]
+            ends = np.cumsum(encoder.lengths[tokens])
+            base = np.concatenate([[0], ends])[upto[:-1]]
+            out.append((tokens, ends - np.repeat(base, np.diff(upto)), upto))
+        ids, ends, bounds = zip(*out, strict=True)
+        return Encoded(ids, ends, bounds, right)
 
 
 def fragments_of(encoded: Encoded, i: int, first: int = 0) -> Fragment:
@@ -274,32 +274,32 @@ def fragments_of(encoded: Encoded, i: int, first: int = 0) -> Fragment:
 # -- results of whole texts ------------------------------------------------------------------------------------------
 
 
-def written(ids: tuple, sizes: tuple) -> bytes:
+def digits(upto: int) -> np.ndarray:
+    """A row for every number below ``upto``: its decimal digits, right-aligned after zero bytes, and a place for a sign."""
+    width = len(str(upto))
+    numbers = np.arange(upto)
+    out = np.zeros((upto, width + 1), np.uint8)
+    for d in range(width):
+        has = numbers >= 10**d if d else np.ones(upto, bool)
+        out[has, width - 1 - d] = 48 + numbers[has] // 10**d % 10
+    return out
+
+
+def written(ids: tuple, sizes: tuple, table: np.ndarray) -> bytes:
     """``a1,a2|b1;a3|b2`` of groups, made in numpy: every id with the sign that follows it."""
-    groups = len(sizes[0])
-    if not groups:
-        return b""
     count = np.stack(sizes, 1).reshape(-1)
-    total = int(count.sum())
-    order = np.empty(total, np.int64)
-    begin = np.cumsum(count) - count
+    if not len(count):
+        return b""
+    stops = np.cumsum(count)
+    order = np.empty(stops[-1], np.int64)
     for side in (0, 1):
-        order[ragged(begin[side::2], count[side::2])] = ids[side]
-    sign = np.full(total, ord(","), np.uint8)
-    last = np.cumsum(count) - 1
-    sign[last[0::2]] = ord("|")
-    sign[last[1::2]] = ord(";")
-    digits = np.ones(total, np.int64)
-    top = int(order.max())
-    for d in range(1, len(str(top))):
-        digits += order >= 10**d
-    stops = np.cumsum(digits + 1)
-    out = np.zeros(stops[-1], np.uint8)
-    out[stops - 1] = sign
-    for d in range(len(str(top))):
-        has = digits > d
-        out[stops[has] - 2 - d] = 48 + order[has] // 10**d % 10
-    return out[:-1].tobytes()
+        order[ragged((stops - count)[side::2], count[side::2])] = ids[side]
+    out = table[order]
+    out[:, -1] = ord(",")
+    out[stops[0::2] - 1, -1] = ord("|")
+    out[stops[1::2] - 1, -1] = ord(";")
+    flat = out.reshape(-1)
+    return flat[flat > 0][:-1].tobytes()
 
 
 def linked(ids: tuple, sizes: tuple, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -352,7 +352,8 @@ def finished(bucket: int, ids: list, texts: list[tuple[tuple, tuple]]) -> Iterat
     links = np.bincount(holder, weights=summed, minlength=rows).astype(np.int64)
     counts = [np.array([len(t[0][side]) for t in texts], np.int64) for side in (0, 1)]
     groups = np.array([len(t[1][0]) for t in texts], np.int64)
-    digests = [hashlib.sha256(written(*t)).hexdigest() if len(t[1][0]) else "" for t in texts]
+    table = digits(1 + int(max([0, *(ids.max() for ids in flat[0] if len(ids))])))
+    digests = [hashlib.sha256(written(*t, table)).hexdigest() if len(t[1][0]) else "" for t in texts]
     none = lambda kind: pa.nulls(rows, kind)
     yield pa.RecordBatch.from_arrays(
         [pa.array(np.full(rows, bucket)), pa.array(ids, pa.int64()), *(pa.array(x) for x in (*counts, groups, links)), pa.array(digests),
@@ -374,10 +375,10 @@ def align_short(docs: DataFrame, paths: tuple[str, str], offset: int) -> DataFra
     def aligned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        part = TaskContext.get().partitionId() * 2 + offset
+        part, known = TaskContext.get().partitionId() * 2 + offset, Stretches(paths)
         for number, batch in enumerate(slices(batches, limit=SLICE)):
             texts = [t or "" for t in batch.column(1).to_pylist()]
-            encoded = encode(texts, paths)
+            encoded = known.encode(texts)
             groups = [closed(fragments_of(encoded, i)) if ok and texts[i] else closed(Fragment()) for i, ok in enumerate(encoded.right.tolist())]
             yield from finished(_bucket(part, number), batch.column(0).to_pylist(), groups)
 
@@ -425,9 +426,10 @@ def align_pieces(pieces: DataFrame, paths: tuple[str, str]) -> DataFrame:
     """One packed fragment for every piece."""
 
     def aligned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, limit=SLICE):
+        known = Stretches(paths)
+        for batch in slices(batches, "text", SLICE):
             texts = batch.column(4).to_pylist()
-            encoded = encode(texts, paths)
+            encoded = known.encode(texts)
             keys = [batch.column(i).to_pylist() for i in range(4)]
             for i, (row, doc, piece, first) in enumerate(zip(*keys, strict=True)):
                 good = bool(encoded.right[i])
