@@ -28,7 +28,7 @@ import types
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import reduce
-from itertools import chain, islice
+from itertools import chain, groupby, islice
 
 import numpy as np
 import pyarrow as pa
@@ -47,7 +47,7 @@ JOINED, KEPT = 1000, 300_000
 #: links that one numpy step expands; groups beyond are counted by distinct ids
 EXPAND = 1 << 20
 
-_CUT = re.compile(r"(?<=\S) ")
+_CUT = re.compile(r"(?<=\S) (?!\Z)")
 _ODD = re.compile(r"\s\s|\s\Z")
 
 
@@ -181,17 +181,21 @@ def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
 
 
 def stretches(text: str) -> list[str]:
-    """A text cut before every space that follows a character other than white space, each without the space it starts with."""
+    """A text cut before every space inside it that follows a character other than white space, each without the space it starts with."""
     if _ODD.search(text):
         at = [m.start() for m in _CUT.finditer(text)]
         return [text[i + 1 : j] if i >= 0 else text[:j] for i, j in zip([-1, *at], [*at, len(text)], strict=True)]
     return text.split(" ")
 
 
+def _joinable(part: str) -> bool:
+    """White space at the end could run into the next space, and the mark for a space is itself read as one."""
+    return bool(part) and not part[-1].isspace() and "▁" not in part
+
+
 def encode_stretches(parts: list[str], encoder: Encoder) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """``(ids, sizes, right)``: the tokens of space+part for every part, how many each has, and whether its bytes come back."""
-    # white space at the end could run into the next space, and the mark for a space is itself read as one
-    if all(p and not p[-1].isspace() and "▁" not in p for p in parts):
+    if all(map(_joinable, parts)):
         raw = [f" {p}" for p in parts]
         ids = encoder.encode("".join(raw))
         whole = np.frombuffer("".join(raw).encode(), np.uint8)
@@ -227,7 +231,8 @@ class Stretches:
         self.known = [(_none(), np.zeros(0, np.int64), np.zeros(0, bool)) for _ in self.encoders]
 
     def learn(self, fresh: list[str]) -> None:
-        groups = [fresh[i : i + JOINED] for i in range(0, len(fresh), JOINED)]
+        alike = [list(g) for _, g in groupby(fresh, _joinable)]
+        groups = [g[i : i + JOINED] for g in alike for i in range(0, len(g), JOINED)]
         for side, encoder in enumerate(self.encoders):
             self.known[side] = tuple(np.concatenate(x) for x in zip(self.known[side], *(encode_stretches(g, encoder) for g in groups), strict=True))
 
