@@ -94,20 +94,12 @@ def run_table(
     """
     overwrite = settings.write_mode == "overwrite"
     old = replace(state, staging=None, key_table=None, watermark=None) if overwrite else state
-    window = load_window(source, settings, old.watermark, as_of, period)
-    needed = {c.source for c in spec.columns if c.source} | set(newest_by) | {settings.incremental_column}
-    if needed - {None} <= set(window.columns):
-        window = window.select(*[named(c) for c in window.columns if c in needed])
-    rows = materialise(window.withColumn(_ROW, F.monotonically_increasing_id()), "window")
-    if newest_by:
-        rows = _newest_rows(rows, spec, formats, newest_by)
-    elif not key_violations(_key_rows(rows, spec, formats), spec.keys).isEmpty():
-        raise ValueError(f"{spec.name}: source keys repeat; name the columns that tell the newest row")
+    rows = window_rows(source, spec, settings, old.watermark, as_of, period, formats, newest_by)
     first = old.warehouse is None
     start = None if first or overwrite else stamp[0]
     gone, deletes = None, old.deletes
     if settings.delete_flag and not first:
-        gone = materialise(deleted_keys(old.warehouse, _key_rows(source, spec, formats), spec.keys), "deleted")
+        gone = materialise(deleted_keys(old.warehouse, key_rows(source, spec, formats), spec.keys), "deleted")
         audit = audit_rows(old.warehouse, gone, spec, stamp, zone)
         deletes = write_table(audit if deletes is None else deletes.unionByName(audit), f"{path}/deletes")
     elif deletes is not None:
@@ -116,7 +108,6 @@ def run_table(
     def store(table: DataFrame, name: str) -> DataFrame:
         return write_table(table if gone is None or overwrite else delete_rows(table, gone, spec.keys), f"{path}/{name}")
 
-    rows = rows.drop(_ROW)
     if spec.kind == DIMENSION:
         staging = store(dimension_staging(rows, spec, old.staging, stamp, formats, strategy), "staging")
         key_table = None
@@ -126,7 +117,7 @@ def run_table(
     else:
         staging = store(transaction_staging(rows, spec, old.staging, stamp, formats, strategy), "staging")
         key_table = store(transaction_keys(staging, spec, old.key_table, stamp, "upsert", start, strategy=strategy), "keys")
-        since = None if first or overwrite else _just_before(stamp)
+        since = None if first or overwrite else just_before(stamp)
         loaded = transaction_warehouse(
             staging, spec, key_table, dimensions or {}, None if overwrite else old.warehouse, stamp, since, salt, start, strategy
         )
@@ -143,7 +134,30 @@ def run_table(
 _ROW = "__row"
 
 
-def _key_rows(source: DataFrame, spec: WarehouseSpec, formats: Mapping[str, str] | None, *extra: ColumnMap) -> DataFrame:
+def window_rows(
+    source: DataFrame,
+    spec: WarehouseSpec,
+    settings: LoadSettings,
+    watermark: Any,
+    as_of: Any,
+    period: Period | None,
+    formats: Mapping[str, str] | None,
+    newest_by: Sequence[str],
+) -> DataFrame:
+    """The rows of a run's window, written once, one per cleansed key."""
+    window = load_window(source, settings, watermark, as_of, period)
+    needed = {c.source for c in spec.columns if c.source} | set(newest_by) | {settings.incremental_column}
+    if needed - {None} <= set(window.columns):
+        window = window.select(*[named(c) for c in window.columns if c in needed])
+    rows = materialise(window.withColumn(_ROW, F.monotonically_increasing_id()), "window")
+    if newest_by:
+        rows = _newest_rows(rows, spec, formats, newest_by)
+    elif not key_violations(key_rows(rows, spec, formats), spec.keys).isEmpty():
+        raise ValueError(f"{spec.name}: source keys repeat; name the columns that tell the newest row")
+    return rows.drop(_ROW)
+
+
+def key_rows(source: DataFrame, spec: WarehouseSpec, formats: Mapping[str, str] | None, *extra: ColumnMap) -> DataFrame:
     """Source keys as the target stores them: mapped, coerced, cleansed; and further columns as they are."""
     rows = source_rows(source, replace(spec, columns=spec.columns + extra)).select(*spec.keys, *[c.target for c in extra])
     types = {k: spec.types[k] for k in spec.keys}
@@ -153,11 +167,11 @@ def _key_rows(source: DataFrame, spec: WarehouseSpec, formats: Mapping[str, str]
 def _newest_rows(rows: DataFrame, spec: WarehouseSpec, formats: Mapping[str, str] | None, newest_by: Sequence[str]) -> DataFrame:
     """Of the rows whose cleansed keys are equal the newest one."""
     order = [ColumnMap(f"__newest_{i}", "string", c) for i, c in enumerate(newest_by)]
-    keyed = _key_rows(rows, spec, formats, *order, ColumnMap(_ROW, "bigint", _ROW))
+    keyed = key_rows(rows, spec, formats, *order, ColumnMap(_ROW, "bigint", _ROW))
     newest = last_row(keyed, spec.keys, [*[c.target for c in order], _ROW]).select(_ROW)
     return rows.join(newest, _ROW, "left_semi")
 
 
-def _just_before(stamp: Stamp) -> Any:
+def just_before(stamp: Stamp) -> Any:
     """A watermark that lets exactly the rows stamped by this run pass a strict comparison."""
     return stamp[0] - dt.timedelta(microseconds=1)
