@@ -22,6 +22,12 @@ def build_mart(spec: MartSpec, sources: Mapping[str, DataFrame]) -> DataFrame:
     derivation by level, filter/group on derived columns, removal of helpers, renaming, retained columns,
     cleaning of the column names.
     """
+    rows = filter_group(ungrouped(spec, sources), spec.derived_step)
+    return finished(spec, rows)
+
+
+def ungrouped(spec: MartSpec, sources: Mapping[str, DataFrame]) -> DataFrame:
+    """The rows before the last filter/group step."""
     spec.validate()
     tables = {t.alias: read_table(sources[t.name], t) for t in spec.tables}
     grouped = {t.alias for t in spec.tables if t.step is not None and t.step.columns}
@@ -32,8 +38,11 @@ def build_mart(spec: MartSpec, sources: Mapping[str, DataFrame]) -> DataFrame:
     rows = recoerce(rows, declared, strict=spec.strict)
     rows = replace_missing(rows, declared, spec.keys, spec.cleansing, spec.cleansing)
     rows = filter_group(rows, spec.joined_step)
-    rows = derive(rows, spec.derived)
-    rows = filter_group(rows, spec.derived_step)
+    return derive(rows, spec.derived)
+
+
+def finished(spec: MartSpec, rows: DataFrame) -> DataFrame:
+    """The steps after the last grouping."""
     rows = rename_derived(drop_helpers_of(rows, spec.derived), spec.derived)
     rows = retain(rows, spec.retain) if spec.retain else rows
     return clean_columns(rows, spec.name_rules) if spec.name_rules else rows

@@ -9,12 +9,14 @@ from pyspark.sql import functions as F
 from weftmart.operators.changesets import ChangeSets, Journal
 from weftmart.operators.sinks import upsert
 from weftmart.plans.changes import ChangeRuns
+from weftmart.plans.mart_changes import MartStates
 from weftmart.queries.extraction import settings
 from weftmart.queries.registry import REGISTRY, Tables, doubles, query
-from weftmart.queries.snapshots import FIRST_LOAD, SECOND_LOAD, THIRD_LOAD, customer_after, customer_before, orders_after, orders_alive, orders_before
+from weftmart.queries.snapshots import FIRST_LOAD, SECOND_LOAD, THIRD_LOAD, customer_after, customer_before, orders_after, orders_alive, orders_before, with_snapshots
 from weftmart.queries.sinks import _UPSERTED
-from weftmart.queries.warehouse import CUSTOMER, ORDERS, _labelled
+from weftmart.queries.warehouse import CUSTOMER, ORDERS, _labelled, _mart_sources, _printable, mart_spec
 from weftmart.session import scratch_path
+from weftmart.spec import mart_from_json
 
 
 def _journal(t: Tables) -> Journal:
@@ -85,3 +87,61 @@ def order_delete_changes(t: Tables):
     runs.run("3", orders_alive(t), settings(write_mode="upsert", delete_flag=True), THIRD_LOAD, customers)
     parts = {"warehouse": runs.warehouse.rows(), "staging": runs.staging.rows(), "keys": runs.key_table.rows(), "audit": runs.deletes()}
     return _labelled(parts, ["Order_Id", "DataSource_Id", "Company_Id"])
+
+
+def _mart_windows(t: Tables) -> MartStates:
+    """An early build, then windows: corrected and withdrawn lines, late lines, renamed nations."""
+    sources, states = _mart_sources(t), MartStates(_journal(t), mart_spec())
+    old_name = F.when(F.col("n_nationkey") < 5, F.concat(F.lit("OLD "), "n_name")).otherwise(F.col("n_name"))
+    earlier = {**sources, "nation": t.nation.withColumn("n_name", old_name)}
+    lines = t.lineitem.where("l_orderkey % 3 <> 0")
+    wrong = F.when(F.col("l_orderkey") % 5 == 0, F.col("l_quantity") + 1).otherwise(F.col("l_quantity"))
+    twice = lines.where("l_linenumber = 3")
+    first = lines.withColumn("l_quantity", wrong).unionByName(twice)
+    states.apply("1", None, {**earlier, "lineitem": first})
+    fixed = lines.where("l_orderkey % 5 = 0")
+    before = fixed.withColumn("l_quantity", F.col("l_quantity") + 1).unionByName(twice)
+    states.apply("2", {**earlier, "lineitem": before}, {**earlier, "lineitem": fixed})
+    states.apply("3", None, {**earlier, "lineitem": t.lineitem.where("l_orderkey % 3 = 0")})
+    renamed = t.customer.where("c_nationkey < 5").select("c_custkey")
+    affected = t.orders.join(renamed, F.col("o_custkey") == F.col("c_custkey"), "left_semi").select("o_orderkey")
+    touched = t.lineitem.join(affected, F.col("l_orderkey") == F.col("o_orderkey"), "left_semi")
+    states.apply("4", {**earlier, "lineitem": touched}, {**sources, "lineitem": touched})
+    return states
+
+
+@query("y1_mart_incremental", REGISTRY["y1_mart_build"].sql)
+def mart_by_windows(t: Tables):
+    return _printable(_mart_windows(t).mart())
+
+
+_EVERY_AGGREGATE = """
+SELECT o_orderpriority AS priority, count(o_totalprice) AS n, CAST(sum(price) AS DOUBLE) AS total, min(o_orderdate) AS first_date, max(o_orderdate) AS last_date,
+       count(DISTINCT o_custkey) AS buyers, round(var_samp(price), 3) AS spread, round(stddev_pop(price), 6) AS deviation, round(avg(o_custkey), 6) AS middle
+FROM (SELECT *, CAST(o_totalprice AS DECIMAL(14,2)) AS price FROM orders_after) x GROUP BY 1
+"""
+
+
+@query("a1_aggregate_states", with_snapshots(_EVERY_AGGREGATE))
+def aggregate_states(t: Tables):
+    """Groups of all orders, from which orders are then taken until only those of the later extract remain."""
+    spec = mart_from_json(_STATES_JSON)
+    states = MartStates(_journal(t), spec)
+    states.apply("1", None, {"orders": orders_before(t)})
+    states.apply("2", {"orders": orders_before(t)}, {"orders": orders_after(t)})
+    states.compact("base")
+    mart = doubles(states.mart(), "total")
+    return mart.withColumns({"spread": F.round("spread", 3), "deviation": F.round("deviation", 6), "middle": F.round("middle", 6)})
+
+
+_STATES_JSON = """
+{"name": "priorities",
+ "tables": [{"name": "orders", "alias": "o", "role": "driving",
+   "columns": {"o_orderpriority": "priority", "o_totalprice": "price", "o_orderdate": "ordered", "o_custkey": "buyer"}}],
+ "types": {"price": "decimal(14,2)"},
+ "derived_step": {"columns": [
+   {"column": "priority"}, {"column": "price", "aggregate": "Count", "alias": "n"}, {"column": "price", "aggregate": "Sum", "alias": "total"},
+   {"column": "ordered", "aggregate": "Min", "alias": "first_date"}, {"column": "ordered", "aggregate": "Max", "alias": "last_date"},
+   {"column": "buyer", "aggregate": "Distinct_Count", "alias": "buyers"}, {"column": "price", "aggregate": "Var_Samp", "alias": "spread"},
+   {"column": "price", "aggregate": "Stddev_Pop", "alias": "deviation"}, {"column": "buyer", "aggregate": "Avg", "alias": "middle"}]}}
+"""
