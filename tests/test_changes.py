@@ -143,3 +143,28 @@ def test_watermark_and_surrogates_go_on(spark, journal):
     load("3", [1, 2, 4], 3)
     # the number of a deleted customer is not given out again
     assert {r.Customer_Id: r.Customer_Key for r in runs.warehouse.rows().collect()} == {1: 1, 2: 2, 4: 4}
+
+
+def test_a_window_writes_only_its_groups(spark, journal):
+    from weftmart.plans.mart_changes import MartStates
+    from weftmart.spec import mart_from_json
+
+    text = """{"name": "m", "tables": [{"name": "t", "alias": "t", "role": "driving", "columns": {"g": "g", "v": "v"}}],
+      "derived_step": {"flow": "G", "condition": "count(v) > 1 and max(v) < 1000", "columns": [{"column": "g"},
+        {"column": "v", "aggregate": "Sum", "alias": "total"}, {"column": "v", "aggregate": "Var_Samp", "alias": "spread"}]}}"""
+    states = MartStates(journal, mart_from_json(text))
+    rows_of = lambda pairs: {"t": spark.createDataFrame(pairs, "g string, v long")}
+    first = [(f"g{i % 50}", i) for i in range(500)] + [(None, 1), (None, 3), ("one", 5), ("nulls", None)]
+    states.apply("1", None, rows_of(first))
+    states.apply("2", rows_of([("g7", 7), ("one", 5)]), rows_of([("g7", 9), ("new", 4), ("new", 6), ("nulls", None)]))
+    written = journal.found("2", "groups")
+    assert {r.g for r in written.collect()} == {"g7", "one", "new", "nulls"}
+    now = [p for p in first if p not in [("g7", 7), ("one", 5)]] + [("g7", 9), ("new", 4), ("new", 6)]
+    wanted = spark.createDataFrame(now, "g string, v long").groupBy("g").agg(F.sum("v"), F.round(F.var_samp("v"), 6), F.count("v"))
+    wanted = sorted((tuple(r)[:3] for r in wanted.collect() if r[3] > 1), key=repr)
+    assert rows(states.mart().withColumn("spread", F.round("spread", 6))) == wanted
+    # a window that is brought in again changes nothing
+    states.apply("2", None, rows_of([("g1", 1)]))
+    assert rows(states.mart().withColumn("spread", F.round("spread", 6))) == wanted
+    with pytest.raises(ValueError, match="kept aggregates"):
+        MartStates(journal, mart_from_json(text.replace("count(v)", "percentile(v, 0.5)")))

@@ -7,15 +7,18 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from weftmart.operators.changesets import ChangeSets, Journal
+from weftmart.operators.digests import changed_rows, deleted_keys_by_range, digest
+from weftmart.operators.history import VALID_FROM, VALID_TO, intervals, track_history, valid_at
 from weftmart.operators.sinks import upsert
 from weftmart.plans.changes import ChangeRuns
 from weftmart.plans.mart_changes import MartStates
+from weftmart.queries import joins  # noqa: F401  its SQL serves here too
 from weftmart.queries.extraction import settings
 from weftmart.queries.registry import REGISTRY, Tables, doubles, query
 from weftmart.queries.snapshots import FIRST_LOAD, SECOND_LOAD, THIRD_LOAD, customer_after, customer_before, orders_after, orders_alive, orders_before, with_snapshots
 from weftmart.queries.sinks import _UPSERTED
 from weftmart.queries.warehouse import CUSTOMER, ORDERS, _labelled, _mart_sources, _printable, mart_spec
-from weftmart.session import scratch_path
+from weftmart.session import materialise, scratch_path
 from weftmart.spec import mart_from_json
 
 
@@ -145,3 +148,86 @@ _STATES_JSON = """
    {"column": "buyer", "aggregate": "Distinct_Count", "alias": "buyers"}, {"column": "price", "aggregate": "Var_Samp", "alias": "spread"},
    {"column": "price", "aggregate": "Stddev_Pop", "alias": "deviation"}, {"column": "buyer", "aggregate": "Avg", "alias": "middle"}]}}
 """
+
+
+@query("j5_delete_detection_by_range", REGISTRY["j5_delete_detection"].sql)
+def deletes_by_range(t: Tables):
+    """The stored side keeps its digest; only keys in ranges that differ are shuffled."""
+    stored = customer_before(t)
+    kept = digest(stored, ["c_custkey"], [], scratch_path(t.spark, "digest"))
+    gone = deleted_keys_by_range(stored, customer_after(t), ["c_custkey"], stored=kept)
+    return stored.join(gone, "c_custkey", "left_semi").withColumn("DeleteIndicator", F.lit(True))
+
+
+_CHANGED_ORDERS = """
+SELECT coalesce(b.o_orderkey, a.o_orderkey) AS o_orderkey,
+       CASE WHEN a.o_orderkey IS NULL THEN 'I' WHEN b.o_orderkey IS NULL THEN 'D' ELSE 'U' END AS change,
+       coalesce(b.o_totalprice, a.o_totalprice) AS o_totalprice, coalesce(b.o_orderstatus, a.o_orderstatus) AS o_orderstatus
+FROM (SELECT * FROM orders WHERE o_orderkey > 500) a
+FULL JOIN (SELECT * REPLACE (CASE WHEN o_orderkey % 1000 = 7 THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice)
+           FROM orders WHERE o_orderkey <= (SELECT max(o_orderkey) - 900 FROM orders)) b
+ON a.o_orderkey = b.o_orderkey
+WHERE a.o_orderkey IS NULL OR b.o_orderkey IS NULL OR a.o_totalprice <> b.o_totalprice
+"""
+
+
+@query("m1_changed_rows_by_range", _CHANGED_ORDERS)
+def changes_by_range(t: Tables):
+    """New, repriced and vanished orders, found in the ranges whose digests differ."""
+    orders = t.orders.select("o_orderkey", "o_totalprice", "o_orderstatus")
+    price = F.when(F.col("o_orderkey") % 1000 == 7, F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice"))
+    newest = orders.agg(F.max("o_orderkey") - 900).scalar()
+    return changed_rows(orders.where(F.col("o_orderkey") <= newest).withColumn("o_totalprice", price), orders.where("o_orderkey > 500"), ["o_orderkey"])
+
+
+_EARLY, _LATE = dt.datetime(1997, 1, 1), dt.datetime(1999, 7, 1)
+_HISTORY = """
+h AS (
+  SELECT a.c_custkey, a.c_acctbal, a.c_mktsegment, TIMESTAMP '1997-01-01 00:00:00' AS valid_from,
+         CASE WHEN b.c_custkey IS NULL OR a.c_acctbal <> b.c_acctbal THEN TIMESTAMP '1999-07-01 00:00:00' END AS valid_to
+  FROM customer_before a LEFT JOIN customer_after b ON a.c_custkey = b.c_custkey
+  UNION ALL
+  SELECT b.c_custkey, b.c_acctbal, b.c_mktsegment, TIMESTAMP '1999-07-01 00:00:00', NULL
+  FROM customer_after b LEFT JOIN customer_before a ON a.c_custkey = b.c_custkey
+  WHERE a.c_custkey IS NULL OR a.c_acctbal <> b.c_acctbal)
+"""
+
+
+def _customer_history(t: Tables):
+    columns = ["c_custkey", "c_acctbal", "c_mktsegment"]
+    first = materialise(track_history(None, customer_before(t).select(*columns), ["c_custkey"], _EARLY), "history")
+    return materialise(track_history(first, customer_after(t).select(*columns), ["c_custkey"], _LATE), "history")
+
+
+@query(
+    "w9_history",
+    with_snapshots("SELECT c_custkey, c_acctbal, c_mktsegment, valid_from AS Valid_From, valid_to AS Valid_To, CAST(valid_to IS NULL AS INTEGER) AS Active_flag FROM h", _HISTORY.strip()),
+)
+def customer_history(t: Tables):
+    return _customer_history(t)
+
+
+@query(
+    "j3_valid_at",
+    with_snapshots(
+        """SELECT o_orderkey, o_orderdate, o_custkey, h.c_acctbal AS balance, h.c_mktsegment AS segment
+           FROM orders LEFT JOIN h ON o_custkey = h.c_custkey AND valid_from <= o_orderdate AND (valid_to IS NULL OR valid_to > o_orderdate)""",
+        _HISTORY.strip(),
+    ),
+)
+def orders_with_version(t: Tables):
+    """Each order with the version of its customer that was valid when it was placed."""
+    orders = t.orders.select("o_orderkey", "o_orderdate", "o_custkey")
+    fetch = {"c_acctbal": "balance", "c_mktsegment": "segment"}
+    return valid_at(orders, _customer_history(t), {"o_custkey": "c_custkey"}, "o_orderdate", VALID_FROM, fetch, VALID_TO)
+
+
+@query(
+    "w9_intervals",
+    """SELECT event_id, user_id, ts, lead(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS Valid_To
+       FROM (SELECT user_id, ts, min(event_id) AS event_id FROM events GROUP BY user_id, ts) x""",
+)
+def event_intervals(t: Tables):
+    """From each event of a user to the next one."""
+    once = t.events.groupBy("user_id", "ts").agg(F.min("event_id").alias("event_id"))
+    return intervals(once, ["user_id"], "ts")
