@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import html as entities
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,7 +35,10 @@ _HINTS = re.compile(
     r"notice|alert|popup|modal|newsletter|subscribe|share|social|related|recommended|login|signup|search|legal|copyright)(?:$|[-_\s])"
 )
 _ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "form", "dialog", "alert", "menu", "menubar"}
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>?|</?[a-zA-Z](?:[^>\"']|\"[^\"]*\"|'[^']*')*+>|<(?=[^a-zA-Z/!?])|[^<]+|<", re.S)
+_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>?|</?[a-zA-Z](?:[^<>\"']|\"[^\"<]*\"|'[^'<]*')*+>|<(?=[^a-zA-Z/!?])|[^<]+|<", re.S)
+#: a tag with < in it, which may reach far; such searches may read this many times the page's length in all
+_LOOSE, _REREAD = re.compile(r"</?[a-zA-Z](?:[^>\"']|\"[^\"]*\"|'[^']*')*+>"), 4
+_OPENS = re.compile(r"</?[a-zA-Z]")
 _NAME = re.compile(r"</?([a-zA-Z][a-zA-Z0-9:-]*)")
 _ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|aria-hidden|style)\b(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?", re.I)
 _SPACE = re.compile(r"\s+")
@@ -71,11 +75,67 @@ def _attributes(tag: str) -> tuple[bool, bool]:
     return hidden, hint
 
 
+def _tokens(page: str) -> Iterator[str]:
+    """Tags, comments and texts of a page, in time that grows with its length, however malformed it is."""
+    at, left = 0, _REREAD * len(page)
+    while at < len(page):
+        match = _TOKEN.match(page, at)
+        if match.group() == "<" and left > 0 and _OPENS.match(page, at):
+            loose = _LOOSE.match(page, at)
+            left -= (loose.end() if loose else len(page)) - at
+            match = loose or match
+        yield match.group()
+        at = match.end()
+
+
+class _Open:
+    """The open elements: a stack that knows its blocks, and the inline names open since the last one."""
+
+    def __init__(self, root: _Frame):
+        self.frames, self.names = [root], Counter()
+        self.blocks: list[int] = [0]
+        self.inline = [Counter()]
+
+    def push(self, frame: _Frame) -> None:
+        if frame.name in _INLINE:
+            self.inline[-1][frame.name] += 1
+        else:
+            self.names[frame.name] += 1
+            self.blocks.append(len(self.frames))
+            self.inline.append(Counter())
+        self.frames.append(frame)
+
+    def pop(self) -> _Frame:
+        frame = self.frames.pop()
+        if frame.name in _INLINE:
+            self.inline[-1][frame.name] -= 1
+        else:
+            self.names[frame.name] -= 1
+            self.blocks.pop()
+            self.inline.pop()
+        return frame
+
+    def end(self, name: str) -> None:
+        """Close the last open element of a name. An inline end tag does not reach beyond the block it stands in, and
+        one that nothing opened is dismissed at once."""
+        if (self.inline[-1] if name in _INLINE else self.names)[name]:
+            while self.pop().name != name:
+                pass
+
+    def end_before(self, name: str) -> None:
+        """The next paragraph, list item or other block ends an open paragraph, a list item the one before it."""
+        last = self.blocks[-1]
+        if last and (self.frames[last].name == "p" or name == self.frames[last].name == "li"):
+            while len(self.frames) > last:
+                self.pop()
+
+
 def blocks_of(page: str) -> list[tuple[str, int, bool, bool, bool, bool]]:
     """``(text, link words, in main, in part, hinted, heading)`` of the visible blocks, in page order."""
     out: list = []
     root = _Frame("", False, False, False, False, False)
-    stack = [root]
+    opened = _Open(root)
+    stack = opened.frames
     pieces: list[str] = []
     linked: list[str] = []
     heading = False
@@ -92,8 +152,7 @@ def blocks_of(page: str) -> list[tuple[str, int, bool, bool, bool, bool]]:
         heading = False
 
     skip = None
-    for match in _TOKEN.finditer(page):
-        token = match.group()
+    for token in _tokens(page):
         if token[0] != "<" or len(token) == 1:
             top = stack[-1]
             if skip is None and not top.hidden:
@@ -118,28 +177,15 @@ def blocks_of(page: str) -> list[tuple[str, int, bool, bool, bool, bool]]:
         if token[1] == "/":
             if name not in _INLINE:
                 close()
-            for at in range(len(stack) - 1, 0, -1):
-                if stack[at].name == name:
-                    del stack[at:]
-                    break
-                # an inline end tag does not reach beyond the block it stands in
-                if name in _INLINE and stack[at].name not in _INLINE:
-                    break
+            opened.end(name)
             continue
         if name not in _INLINE:
             close()
         if name in _VOID:
             continue
-        top = stack[-1]
-        # the next paragraph or list item ends the one before it
         if name not in _INLINE:
-            for at in range(len(stack) - 1, 0, -1):
-                if stack[at].name == "p" or (name == "li" and stack[at].name == "li"):
-                    del stack[at:]
-                    break
-                if stack[at].name not in _INLINE:
-                    break
-            top = stack[-1]
+            opened.end_before(name)
+        top = stack[-1]
         if name in ("h1", "h2", "h3", "h4", "h5", "h6"):
             heading = True
         hidden, hint = _attributes(token)
@@ -150,7 +196,9 @@ def blocks_of(page: str) -> list[tuple[str, int, bool, bool, bool, bool]]:
         # a header inside the article belongs to it
         part = top.part or (name in _APART and not (name == "header" and top.main))
         main = top.main or name in _MAIN
-        stack.append(_Frame(name, top.hidden or hidden or name in _HIDDEN, part, top.hint or hint, main, top.link or name == "a"))
+        # a class word of the whole page, or of a wrapper around the article, says nothing of the article
+        hint = (hint or top.hint) and name not in _MAIN and name not in ("html", "body")
+        opened.push(_Frame(name, top.hidden or hidden or name in _HIDDEN, part, hint, main, top.link or name == "a"))
     close()
     return out
 
