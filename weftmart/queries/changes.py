@@ -20,6 +20,7 @@ from weftmart.queries.sinks import _UPSERTED
 from weftmart.queries.warehouse import CUSTOMER, ORDERS, _labelled, _mart_sources, _printable, mart_spec
 from weftmart.session import materialise, scratch_path
 from weftmart.spec import mart_from_json
+from weftmart.streaming.keyed import merge_newest
 
 
 def _journal(t: Tables) -> Journal:
@@ -231,3 +232,20 @@ def event_intervals(t: Tables):
     """From each event of a user to the next one."""
     once = t.events.groupBy("user_id", "ts").agg(F.min("event_id").alias("event_id"))
     return intervals(once, ["user_id"], "ts")
+
+
+@query(
+    "x1_keyed_stream",
+    """SELECT user_id, event_id, ts, event_type, value FROM (
+         SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events) x WHERE rn = 1""",
+)
+def newest_events(t: Tables):
+    """The newest event per user, kept in the state store over batches, in two sittings; half of the rows come twice."""
+    path = scratch_path(t.spark, "keyed-stream")
+    events = t.events.drop("props")
+    table = ChangeSets(_journal(t), "newest", ("user_id",))
+    events.where("event_id % 3 <> 0").repartition(3, "event_id").write.parquet(f"{path}/landed")
+    merge_newest(t.spark, f"{path}/landed", events.schema, table, ["ts", "event_id"], f"{path}/checkpoint", files_per_batch=2)
+    events.where("event_id % 2 = 0 OR event_id % 3 = 0").repartition(2, "event_id").write.mode("append").parquet(f"{path}/landed")
+    merge_newest(t.spark, f"{path}/landed", events.schema, table, ["ts", "event_id"], f"{path}/checkpoint", files_per_batch=2)
+    return table.rows().select("user_id", "event_id", "ts", "event_type", "value")
