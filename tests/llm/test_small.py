@@ -237,6 +237,11 @@ def test_mix(spark):
     assert all(abs(taken[s] - wanted[s]) <= 1 for s in sizes)
     assert mixing.mix(docs.limit(0)).count() == 0
     assert mixing.apply_mix(docs).count() == sum(r[4] for r in once)
+    # columns that have the names the operator uses are kept
+    odd = with_odd_columns(docs).selectExpr("*", "doc_id AS Copy", "text AS copies", "1 AS __row", "2 AS __COPIES")
+    mixed = mixing.apply_mix(odd)
+    assert mixed.columns == [*odd.columns, "copy_"]
+    assert sum(r.copy_ == 1 for r in mixed.collect()) == sum(r[4] > 0 for r in once)
 
 
 def test_role_repair_has_least_cost():

@@ -11,7 +11,8 @@ over hash buckets.
 
 Defined results: a null text has size 0; size 0 takes 0; a null source is a source of its own and comes last; rows
 that share id, source and size are interchangeable; an empty table gives an empty result; further columns are
-ignored by ``mix`` and kept by ``apply_mix``.
+ignored by ``mix`` and kept by ``apply_mix``, which numbers repetitions in ``copy`` or, where a column has that name
+already, in the first of ``copy_``, ``copy__`` ... that is free.
 """
 
 from __future__ import annotations
@@ -158,15 +159,24 @@ def mix(
     return every.select(*carried, "id", "source", "size", "source_size", "target", (F.col("passes") + F.col("chosen")).alias("copies"))
 
 
+def _free(name: str, columns: list[str]) -> str:
+    """The name, lengthened until no column has it in any case."""
+    known = {c.lower() for c in columns}
+    while name in known:
+        name += "_"
+    return name
+
+
 def apply_mix(docs: DataFrame, seed: int = 7, id_column: str = "doc_id", text_column: str = "text", source_column: str = "source") -> DataFrame:
     """The mixed corpus: every row of ``docs`` as often as it is taken, numbered by ``copy``."""
-    rows = materialise(docs.withColumn("__row", F.monotonically_increasing_id()), "mix-rows")
-    found = mix(rows, seed, id_column, text_column, source_column, "__row").where("copies > 0")
-    found = found.select(F.col("row").alias("__row"), F.col("copies").alias("__copies"))
+    row, copies, copy = (_free(name, docs.columns) for name in ("__row", "__copies", "copy"))
+    rows = materialise(docs.withColumn(row, F.monotonically_increasing_id()), "mix-rows")
+    found = mix(rows, seed, id_column, text_column, source_column, row).where("copies > 0")
+    found = found.select(F.col("row").alias(row), F.col("copies").alias(copies))
     found = materialise(found, "mix-copies")
     found = F.broadcast(found) if found.count() <= BROADCAST_IDS else found
-    spread = rows.join(found, "__row").withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__copies"))))
-    return spread.select(*[f"`{c}`" for c in docs.columns], "copy")
+    spread = rows.join(found, row).withColumn(copy, F.explode(F.sequence(F.lit(1).cast("long"), F.col(copies))))
+    return spread.select(*[f"`{c}`" for c in docs.columns], copy)
 
 
 def op3_mixing(spark, sf_dir: str) -> DataFrame:
