@@ -387,3 +387,66 @@ def test_content_reads_the_whole_text():
     assert cotrain.content(" ".join([*plain, *["LOUD"] * 5]))[12] == 5 / 40
     assert cotrain.content("LOUD LOUD w")[12] == 2 / 3
     assert cotrain.content(" \n")[12:16] == [0.0] * 4
+
+
+def two_views(rng, n):
+    """Views that are independent given the class; each tells the classes apart, the labelled few do not show how well."""
+    marks = rng.integers(0, 2, n).astype(float)
+    a = rng.normal(0, 1, (n, 12)) + (marks[:, None] * 2 - 1) * 0.5
+    b = rng.normal(0, 1, (n, 12)) + (marks[:, None] * 2 - 1) * 0.5
+    return (a, b), marks
+
+
+def test_rounds_raise_accuracy():
+    rng = np.random.default_rng(4)
+    gains = []
+    for _ in range(5):
+        labelled, marks = two_views(rng, 12)
+        pool, _ = two_views(rng, 5000)
+        fresh, truth = two_views(rng, 5000)
+        right = [np.mean((cotrain.co_train(labelled, marks, pool, rounds)(*fresh)[0] >= 0.5) == truth) for rounds in (0, 4)]
+        gains.append(right[1] - right[0])
+    assert min(gains) > 0.02
+
+
+def test_cuts_take_whole_bins():
+    counts = np.zeros(cotrain.BINS)
+    counts[-1], counts[-2], counts[cotrain.BINS // 2], counts[0] = 3, 2, 995, 100
+    # a tenth of 1100 rows, half of each kind; the outermost bin counts whole even where it holds more
+    assert cotrain._cuts(counts, 0.5) == (max(cotrain._SURE_BIN, cotrain.BINS // 2 + 1), 0)
+    counts[-1], counts[-2] = 30, 40
+    assert cotrain._cuts(counts, 0.5)[0] == cotrain.BINS - 1
+    good, bad = cotrain._cuts(np.zeros(cotrain.BINS), 0.5)
+    assert good > bad
+
+
+def test_unlabelled_rows_of_all_tasks_take_part(spark, folder):
+    docs, labels = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "labels"))
+    used = cotrain.label_sample(labels, "quality", 60)
+    table = cotrain._view_table(docs.unionByName(docs.limit(1)).repartition(7), used, cotrain.NAMES, whole=False)
+    found = table.orderBy("id").toArrow()
+    rows, marks = cotrain._matrix(found["features"].combine_chunks()), found["label"].to_pylist()
+    free = rows[[m is None for m in marks]]
+    halves = lambda x: (x[:, : cotrain._SPLIT], x[:, cotrain._SPLIT :])
+    first = {i: (m, r) for i, m, r in zip(found["id"].to_pylist(), marks, rows, strict=True) if m is not None}
+    known = np.array([r for _, r in first.values()]), np.array([m for m, _ in first.values()], float)
+    plain = cotrain.co_train(halves(known[0]), known[1], halves(free))
+    views = cotrain.learn(table)
+    want = plain(*halves(rows))
+    got = table.select("id", *[c.alias(f"c{i}") for i, c in enumerate(views.columns(table["features"]))]).orderBy("id").toArrow()
+    for i in range(3):
+        assert np.allclose(want[i], got[f"c{i}"].to_numpy(), atol=1e-5)
+
+
+def test_very_long_and_clashing_rows_of_the_classifier(spark):
+    from pyspark.sql import functions as F
+
+    rows = [(i, "word " * (200_000 if i == 1 else 30) if i % 2 else "#$ @@ !! " * 30, None, None, None) for i in range(20)]
+    docs = frame(spark, rows, "doc_id long, text string, lang string, source string, n_chars long")
+    odd = docs.withColumns({c: F.lit("x") for c in ("id", "row", "features", "label", "__view_text")})
+    labels = frame(spark, [(i, i % 2) for i in range(12)], "doc_id long, quality int")
+    kept = cotrain.accepted(odd.unionByName(odd), labels)
+    assert kept.columns == odd.columns
+    # the long text is unlike all others; either answer about it is fine
+    assert sorted(r.doc_id for r in kept.collect() if r.doc_id != 1) == sorted([i for i in range(3, 20, 2)] * 2)
+    assert cotrain.score(odd, labels).count() == 20
