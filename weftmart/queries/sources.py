@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from weftmart.operators.aggregate import filter_group
 from weftmart.queries.registry import Tables, doubles, query
 from weftmart.session import scratch_path
+from weftmart.sources.batched import FolderTarget, write_batched
+from weftmart.sources.blocks import key_blocks, parquet_fetch, read_blocks
 from weftmart.sources.files import csv_source, file_source, select_source, sql_source, staging_source
 from weftmart.sources.jdbc import BLOCK_ROWS, block_count, block_of, key_range
 from weftmart.spec import FilterGroup, GroupColumn
@@ -101,3 +103,31 @@ def staging_window(t: Tables):
         for mode in ("upsert", "overwrite")
     ]
     return parts[0].unionByName(parts[1])
+
+
+@query(
+    "s2_key_blocks",
+    """SELECT l_suppkey, l_orderkey, l_linenumber, l_quantity FROM lineitem WHERE l_suppkey > 3 AND l_quantity < 24""",
+)
+def key_block_read(t: Tables):
+    """Blocks by quantiles of a key with many rows a value, read from a landed copy that applies the conditions."""
+    columns = ["l_suppkey", "l_orderkey", "l_linenumber", "l_quantity"]
+    rows = t.lineitem.select(*columns)
+    path = scratch_path(t.spark, "blocks")
+    rows.write.parquet(path)
+    landed = t.spark.read.parquet(path)
+    blocks = key_blocks(landed, "l_suppkey", 8, "l_orderkey")
+    wanted = [("l_suppkey", ">", 3), ("l_quantity", "<", 24.0)]
+    return read_blocks(t.spark, "weftmart_key_blocks", landed.schema, blocks, parquet_fetch(path, columns), wanted)
+
+
+@query("w5_batched_sink", "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM orders")
+def batched_sink(t: Tables):
+    """A run, one that takes its place, one beside it, and one of a name that was published before."""
+    rows = t.orders.select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")
+    target = FolderTarget(scratch_path(t.spark, "batched"))
+    write_batched(rows, target, "first")
+    write_batched(rows.where("o_orderstatus = 'O'"), target, "open", replace=True)
+    write_batched(rows.where("o_orderstatus <> 'O' OR o_orderstatus IS NULL"), target, "others")
+    write_batched(rows, target, "others")
+    return target.rows(t.spark, rows.schema)
