@@ -217,6 +217,32 @@ def _refit(models: list[Logistic], own: list[np.ndarray], marks: np.ndarray, poo
     return [b[1] for b in best]
 
 
+def _combine(logits: np.ndarray, labels: np.ndarray, trust: float = 10.0) -> Logistic:
+    """Weights of the two views' log-odds, drawn to their sum less the prior's.
+
+    That sum is right for views that are independent given the class; few calibration rows do not overrule it.
+    """
+    share = (labels.sum() + 0.5) / (len(labels) + 1)
+    x = np.hstack([logits, np.ones((len(logits), 1))])
+    start = np.array([1.0, 1.0, -np.log(share / (1 - share))])
+    keep = np.array([trust, trust, 1e-2])
+    w = start.copy()
+
+    def loss(w: np.ndarray) -> float:
+        z = x @ w
+        return float((np.logaddexp(0, z) - labels * z).sum() + (keep * (w - start) ** 2).sum() / 2)
+
+    for _ in range(30):
+        p = sigmoid(x @ w)
+        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + np.diag(keep), x.T @ (labels - p) - keep * (w - start))
+        while np.abs(step).max() > 1e-9 and loss(w + step) > loss(w):
+            step = step / 2
+        w = w + step
+        if np.abs(step).max() <= 1e-9:
+            break
+    return Logistic(np.zeros(2), np.ones(2), w[:2], float(w[2]))
+
+
 def co_train(rows: tuple[np.ndarray, np.ndarray], labels: np.ndarray, pool: tuple[np.ndarray, np.ndarray] | Pool, rounds: int = ROUNDS) -> Views:
     """``rows`` holds the two views of labelled rows, every third of which is kept for calibration.
 
@@ -250,7 +276,7 @@ def co_train(rows: tuple[np.ndarray, np.ndarray], labels: np.ndarray, pool: tupl
         models = _refit(now, own, marks, pool, taught)
     held = third if third.any() else np.ones(len(labels), bool)
     logits = np.stack([np.clip(models[v].logit(rows[v][held]), -15, 15) for v in (0, 1)], 1)
-    return Views(models[0], models[1], fit(logits, labels[held]))
+    return Views(models[0], models[1], _combine(logits, labels[held]))
 
 
 _SPLIT = len(content("a"))
