@@ -95,3 +95,14 @@ def test_op12(spark, folder):
     # perplexity of held-out texts, against single words alone
     assert 10 ** (-sum(r[6] for r in held) / words) < 0.6 * 10 ** (-sum(r[5] for r in held) / words)
     assert all(math.isfinite(r[6]) and r[6] < 0 for r in got)
+
+
+def test_a_context_is_the_whole_word_before(spark):
+    """Words that end alike are followed by different words."""
+    inside = [d for d in range(300) if lm.zlib.crc32(str(d).encode()) % lm.HELD]
+    texts = [(d, "first-ending left" if i % 2 else "other-ending right") for i, d in enumerate(inside)]
+    asked = [d for d in range(300, 900) if lm.zlib.crc32(str(d).encode()) % lm.HELD == 0][:4]
+    questions = ["first-ending left", "first-ending right", "other-ending left", "other-ending right"]
+    got = {r.id: r.score for r in lm.score(frame(spark, texts + list(zip(asked, questions, strict=True)))).collect()}
+    likely, unlikely, also_unlikely, also_likely = (got[d] for d in asked)
+    assert likely > unlikely + 1 and also_likely > also_unlikely + 1
