@@ -168,3 +168,26 @@ def test_a_window_writes_only_its_groups(spark, journal):
     assert rows(states.mart().withColumn("spread", F.round("spread", 6))) == wanted
     with pytest.raises(ValueError, match="kept aggregates"):
         MartStates(journal, mart_from_json(text.replace("count(v)", "percentile(v, 0.5)")))
+
+
+def test_versions_are_compared_by_the_columns_and_keys_asked_for(spark, tmp_path):
+    table = ChangeSets(Journal(spark, str(tmp_path / "asked")), "t", ("id",))
+    kind = "id long, v long, word string"
+    table.commit("1", lambda: spark.createDataFrame([(1, 1, "a"), (2, 2, "b"), (None, 3, "c")], kind))
+    table.commit("2", lambda: spark.createDataFrame([(2, 20, "bb"), (4, 40, "d")], kind))
+    table.remove("3", spark.createDataFrame([(1,)], "id long"))
+    every = {tuple(r) for r in table.rows().collect()}
+    assert every == {(2, 20, "bb"), (None, 3, "c"), (4, 40, "d")}
+    assert {tuple(r) for r in table.rows(["v"]).collect()} == {r[:2] for r in every}
+    # a column that is not asked for is not read, so not shuffled either
+    assert "word#" not in table.rows(["v"])._jdf.queryExecution().executedPlan().toString()
+    wanted = spark.createDataFrame([(1,), (2,), (None,)], "id long")
+    assert {tuple(r) for r in table.rows(wanted=wanted).collect()} == {r for r in every if r[0] in (2, None)}
+    assert {tuple(r) for r in table.rows_of(wanted, null_safe=False).collect()} == {(2, 20, "bb")}
+    # rows that lie by their keys meet others by them without another shuffle
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = table.rows_of(wanted, null_safe=False)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("Exchange") == 2

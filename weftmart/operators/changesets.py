@@ -73,8 +73,14 @@ class Journal:
         return written
 
 
-def _keys_alike(rows: DataFrame, others: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
-    """Semi or anti join by keys, a null key equal to a null key."""
+def _keys_alike(rows: DataFrame, others: DataFrame, keys: Sequence[str], how: str, null_safe: bool = True) -> DataFrame:
+    """Semi or anti join by keys, a null key equal to a null key.
+
+    Keys that are never null (``null_safe=False``) are compared as they are, so rows that lie by their keys are not
+    shuffled again.
+    """
+    if not null_safe:
+        return rows.join(others.select(*[named(k) for k in keys]), list(keys), how).select(*[named(c) for c in rows.columns])
     renamed = others.select(*[named(k).alias(f"__k_{i}") for i, k in enumerate(keys)])
     condition = F.lit(True)
     for i, k in enumerate(keys):
@@ -104,9 +110,14 @@ class ChangeSets:
     def exists(self) -> bool:
         return bool(self.journal.entries(self.name))
 
-    def newest(self, sets: list) -> DataFrame:
+    def _taken(self, rows: DataFrame, columns: Sequence[str] | None, wanted: DataFrame | None) -> DataFrame:
+        if columns is not None:
+            rows = rows.select(*[named(c) for c in rows.columns if c in columns or c in self.keys or c == GONE])
+        return rows if wanted is None else _keys_alike(rows, wanted, self.keys, "left_semi")
+
+    def newest(self, sets: list, columns: Sequence[str] | None = None, wanted: DataFrame | None = None) -> DataFrame:
         """The newest version of every key in some sets."""
-        read = [self.journal.read(e).withColumn(_NUMBER, F.lit(e.number)) for e in sets]
+        read = [self._taken(self.journal.read(e), columns, wanted).withColumn(_NUMBER, F.lit(e.number)) for e in sets]
         if len(read) == 1:
             return read[0].drop(_NUMBER)
         every = read[0]
@@ -114,19 +125,21 @@ class ChangeSets:
             every = every.unionByName(more)
         return last_row(every, self.keys, [_NUMBER]).drop(_NUMBER)
 
-    def rows(self) -> DataFrame:
+    def rows(self, columns: Sequence[str] | None = None, wanted: DataFrame | None = None) -> DataFrame:
+        """All rows. With ``columns`` only these and the keys, with ``wanted`` only a few keys take part when versions are compared."""
         base, sets = self._parts()
+        base = None if base is None else self._taken(base, columns, wanted)
         if not sets:
             if base is None:
                 raise LookupError(f"{self.name} has no rows yet")
             return base
-        changed = self.newest(sets)
+        changed = self.newest(sets, columns, wanted)
         alive = changed.where(~F.col(GONE)).drop(GONE)
         return alive if base is None else _keys_alike(base, changed, self.keys, "left_anti").unionByName(alive)
 
-    def rows_of(self, wanted: DataFrame) -> DataFrame:
+    def rows_of(self, wanted: DataFrame, null_safe: bool = True) -> DataFrame:
         """The rows of the given keys."""
-        return _keys_alike(self.rows(), wanted, self.keys, "left_semi")
+        return _keys_alike(self.rows(), wanted, self.keys, "left_semi", null_safe)
 
     def commit(self, run: str, build: Callable[[], DataFrame]) -> DataFrame:
         """Add the rows that ``build`` gives as the run's change set, or return the set it already has."""

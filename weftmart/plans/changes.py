@@ -86,8 +86,8 @@ class ChangeRuns:
             first = all(e.run == run for e in journal.entries(WAREHOUSE))
             if settings.delete_flag and not first:
                 keys = key_rows(source, spec, formats)
-                gone = journal.step(run, "gone", lambda: deleted_keys(self.warehouse.rows(), keys, spec.keys))
-                journal.step(run, DELETES, lambda: audit_rows(self.warehouse.rows(), gone, spec, stamp, zone))
+                gone = journal.step(run, "gone", lambda: deleted_keys(self.warehouse.rows(spec.keys), keys, spec.keys))
+                journal.step(run, DELETES, lambda: audit_rows(self.warehouse.rows(wanted=gone), gone, spec, stamp, zone))
                 for table in (self.staging, self.warehouse, self.key_table)[: 2 if spec.kind == DIMENSION else 3]:
                     table.remove(f"{run} deletes", gone)
             if spec.kind == DIMENSION:
@@ -108,7 +108,8 @@ class ChangeRuns:
         return rows.where(named(UPDATED_DATE) == literal(stamp[0]))
 
     def _touched(self, table: ChangeSets, rows: DataFrame, first: bool) -> DataFrame | None:
-        return None if first else table.rows_of(rows)
+        # keys are cleansed before they are stored
+        return None if first else table.rows_of(rows, null_safe=False)
 
     def _dimension(self, run: str, rows: DataFrame, first: bool, stamp: Stamp, formats: Any, greatest: int) -> None:
         spec = self.spec

@@ -89,8 +89,9 @@ def order_delete_changes(t: Tables):
     runs.run("1", orders_before(t), chosen, FIRST_LOAD, customers)
     runs.run("2", orders_after(t), chosen, SECOND_LOAD, customers)
     runs.run("3", orders_alive(t), settings(write_mode="upsert", delete_flag=True), THIRD_LOAD, customers)
-    parts = {"warehouse": runs.warehouse.rows(), "staging": runs.staging.rows(), "keys": runs.key_table.rows(), "audit": runs.deletes()}
-    return _labelled(parts, ["Order_Id", "DataSource_Id", "Company_Id"])
+    columns = ["Order_Id", "DataSource_Id", "Company_Id"]
+    parts = {"warehouse": runs.warehouse.rows(columns), "staging": runs.staging.rows(columns), "keys": runs.key_table.rows(columns), "audit": runs.deletes()}
+    return _labelled(parts, columns)
 
 
 def _mart_windows(t: Tables) -> MartStates:
