@@ -42,6 +42,8 @@ from weftmart.session import discard, freed_shuffles, read_if_there, scratch_pat
 
 #: bytes of text of a bucket, and of the corpus per shard
 BUCKET, SHARD = 12 << 20, 32 << 20
+#: a bucket's pairs are scored in about so many parts
+PARTS = 16
 #: the shards answer in so many jobs, so that only a share of what they are asked lies in a shuffle beside its table
 WAVES = 4
 #: sweeps to warm up, and sweeps whose probabilities are averaged
@@ -501,18 +503,22 @@ def totals(docs: DataFrame, said: DataFrame, fixed: list[np.ndarray]) -> DataFra
         held = [(t["id"], t["held"]) for t in texts]
         texts.clear()
         del places
-        pairs, at = pairs_of(words, int(words[-1]), len(n))
-        sums = np.zeros(len(pairs))
         singles = [r.single(*of_words[4 * s : 4 * s + 2]) for s, r in enumerate(known)]
-        for start in range(0, len(pairs), 1 << 16):  # small arrays at a time
-            some = slice(start, start + (1 << 16))
-            word, context = np.divmod(pairs[some], len(n))
+        before = np.concatenate([words[-1:], words[:-1]])
+        logs, done = np.zeros(len(words)), 0
+        # the pairs of some words at a time, so that only small arrays are sorted
+        for low in range(0, len(n), max(len(n) // PARTS, 1)):
+            some = np.flatnonzero((words >= low) & (words < low + max(len(n) // PARTS, 1)))
+            pairs, at = np.unique(words[some].astype(np.int64) * len(n) + before[some], return_inverse=True)
+            word, context = np.divmod(pairs, len(n))
+            own, done = slice(done, done + len(pairs)), done + len(pairs)
+            sums = np.zeros(len(pairs))
             for s, r in enumerate(known):
-                sums[some] += r.after((count[some], tables[s][some]), [v[context] for v in of_words[4 * s + 2 : 4 * s + 4]], singles[s][word])
-        del pairs, count, tables
+                sums += r.after((count[own], tables[s][own]), [v[context] for v in of_words[4 * s + 2 : 4 * s + 4]], singles[s][word])
+            logs[some] = np.log10(sums / len(known))[at]
+        del before, count, tables
         starts = np.cumsum(sizes) - sizes
-        logs = np.add.reduceat(np.log10(sums / len(known))[at], starts)
-        del at, sums
+        logs = np.add.reduceat(logs, starts)
         base = np.add.reduceat(np.log10((n + 0.1) / norm)[words], starts)
         found_in = np.add.reduceat((n > 0)[words], starts, dtype=np.int64)
         out = [*map(list, zip(*held, strict=True)), sizes, found_in, np.full(len(held), train), base, logs]
