@@ -133,6 +133,52 @@ def test_no_task_holds_a_hot_anchor(spark, monkeypatch):
         assert (held.pop() or 0) <= hot * 8
 
 
+def test_lonely_surroundings_share_no_string():
+    """Surroundings of one anchor and of others, most of which share less than a string with any other of their anchor."""
+    import pyarrow as pa
+
+    rng = random.Random(9)
+    some = lambda n: bytes(rng.choice(b"ab") for _ in range(n))
+    sides = [(some(34), some(34)) for _ in range(12)]
+    texts, grams, at = [], [], []
+    for i in range(300):
+        gram = i % 3
+        left, right = rng.choice(sides)[0][-rng.randint(1, 34) :], rng.choice(sides)[1][: rng.randint(1, 34)]
+        if rng.random() < 0.5:
+            left, right = some(17) + left[-17:], right[:17] + some(17)
+        text = left + bytes([65 + gram]) * suffix_dedup.GRAM + right
+        if len(text) >= 50:
+            texts.append(text)
+            grams.append(gram)
+            at.append(len(left))
+    single = suffix_dedup.lonely(np.array(grams, np.int64), pa.array(texts, pa.binary()), np.array(at, np.int32), 50)
+    strings = [{t[i : i + 50] for i in range(len(t) - 49)} for t in texts]
+    shares = [any(g == h and i != j and a & b for j, (h, b) in enumerate(zip(grams, strings))) for i, (g, a) in enumerate(zip(grams, strings))]
+    assert not any(s and alone for s, alone in zip(shares, single))
+    assert 0 < single.sum() < len(single)
+
+
+def test_hot_occurrences_of_a_document_are_joined(spark, monkeypatch):
+    rng = random.Random(10)
+    edge = lambda: "".join(rng.choice("abcdefgh") for _ in range(60))
+    passage = sentence(rng, 150)
+    rows = [(i, edge() + passage + edge()) for i in range(30)]
+    wanted = sorted([(d, n, r, s) for d, n, r, s, _ in suffix_dedup.brute_force(rows)], key=repr)
+    found, whole = [], suffix_dedup.covered_hot
+
+    def watched(around, length):
+        ranges = whole(around, length)
+        found.append(ranges.count())
+        return ranges
+
+    monkeypatch.setattr(suffix_dedup, "HOT", 5)
+    monkeypatch.setattr(suffix_dedup, "covered_hot", watched)
+    for bound in (suffix_dedup.BROADCAST_STRINGS, 0):
+        monkeypatch.setattr(suffix_dedup, "BROADCAST_STRINGS", bound)
+        assert result(suffix_dedup.without_repeats(frame(spark, rows)), "id", "n_bytes", "n_removed", "n_spans") == wanted
+    assert found[0] == 29
+
+
 def test_suffix_arrays_are_sorted():
     rng = random.Random(4)
     texts = [bytes(rng.choice(b"ab\0") for _ in range(rng.randint(1, 90))) for _ in range(40)]
