@@ -86,6 +86,28 @@ def test_hash_of_words_and_classes():
     assert classes[0] == classes[3] == classes[4] and classes[1] == classes[2] == classes[6]
 
 
+def test_pairs_of_a_bucket_with_little_memory():
+    """Counts of distinct pairs as by plain loops, in less than six times the bytes of the tokens' numbers beside them."""
+    import tracemalloc
+    from collections import Counter
+
+    rng = np.random.default_rng(6)
+    words = np.append(rng.integers(0, 50, 9999), 7).astype(np.uint32)
+    held = np.repeat(rng.random(100) < 0.1, 100)
+    before = np.append(np.uint32(7), words[:-1])
+    wanted = Counter(zip(words.tolist(), before.tolist()))
+    trained = Counter(zip(words[~held].tolist(), before[~held].tolist()))
+    pairs, counts = lm.pairs_of(words, held, 7, 50)
+    assert [divmod(p, 50) for p in pairs.tolist()] == sorted(wanted)
+    assert counts.tolist() == [trained[p] for p in sorted(wanted)]
+    words, held = np.tile(words, 100), np.tile(held, 100)
+    tracemalloc.start()
+    lm.pairs_of(words, held, 7, 50)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 6 * words.nbytes
+
+
 def test_op12(spark, folder):
     texts = [(r.doc_id, r.text) for r in spark.read.parquet(f"{folder}/documents.parquet").collect()]
     got = rows_of(LLM_QUERIES["op12_language_model"](spark, folder).withColumnRenamed("doc_id", "id"))

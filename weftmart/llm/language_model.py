@@ -42,6 +42,8 @@ from weftmart.session import discard, freed_shuffles, read_if_there, scratch_pat
 
 #: bytes of text of a bucket, and of the corpus per shard
 BUCKET, SHARD = 12 << 20, 32 << 20
+#: bytes of text that are hashed at once, which takes about fifty bytes for each
+STEP = 1 << 19
 #: a bucket's pairs are scored in about so many parts
 PARTS = 16
 #: the shards answer in so many jobs, so that only a share of what they are asked lies in a shuffle beside its table
@@ -70,6 +72,11 @@ def unpack(blob: bytes, kind) -> np.ndarray:
     return np.ascontiguousarray(data.reshape(np.dtype(kind).itemsize, -1).T).reshape(-1).view(kind)
 
 
+def narrow(values: np.ndarray) -> np.ndarray:
+    """The same whole numbers in half of the bytes where they fit."""
+    return values.astype(np.int32) if values.max(initial=0) < 1 << 31 else values
+
+
 def pack_sorted(values: np.ndarray) -> bytes:
     return pack(np.diff(values, prepend=U64(0)))
 
@@ -106,13 +113,25 @@ def _rows(rows: list[dict]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([r.get(c) for r in rows], t) for c, t in zip(_COLUMNS, _TYPES, strict=True)], _COLUMNS)
 
 
-def pairs_of(words: np.ndarray, end: int, known: int) -> tuple[np.ndarray, np.ndarray]:
-    """The distinct pairs ``word * known + context`` of a bucket's texts in order, and the place of each token's pair.
+def pairs_of(words: np.ndarray, held: np.ndarray, end: int, known: int) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct pairs ``word * known + context`` of a bucket's texts in order, and how many tokens of each are not held out.
 
     ``words`` are numbers under ``known``; each text ends with the number ``end``, which also stands before its first.
     """
-    before = np.concatenate([[end], words[:-1]])
-    return np.unique(words.astype(np.int64) * known + before, return_inverse=True)
+    # sorted in place: one array of all tokens is the most that is held
+    pairs = words.astype(np.int64)
+    pairs *= known
+    pairs[0] += end
+    pairs[1:] += words[:-1]
+    pairs *= 2
+    pairs += held
+    pairs.sort()
+    gone = (pairs & 1).astype(bool)
+    pairs >>= 1
+    starts = np.flatnonzero(np.append(True, pairs[1:] != pairs[:-1]))
+    stops = np.append(starts[1:], len(pairs))
+    upto = np.concatenate([[0], np.cumsum(~gone, dtype=np.uint32)])
+    return pairs[starts], (upto[stops] - upto[starts]).astype(np.uint32)
 
 
 def gather(docs: DataFrame, shards: int) -> DataFrame:
@@ -123,21 +142,23 @@ def gather(docs: DataFrame, shards: int) -> DataFrame:
         from pyspark import TaskContext
 
         bucket = (TaskContext.get().partitionId() << 32) | number
-        words, sizes = (np.concatenate(x) for x in zip(*parts, strict=True))
-        out_of = np.array(gone, bool)
-        known, place = np.unique(words, return_inverse=True)
-        pairs, at = pairs_of(place, int(np.searchsorted(known, END)), len(known))
-        trained = np.bincount(at, weights=~np.repeat(out_of, sizes), minlength=len(pairs)).astype(np.uint32)
+        sizes = np.concatenate([p[2] for p in parts])
+        known = np.unique(np.concatenate([p[0] for p in parts]))
+        place = np.concatenate([np.searchsorted(known, own).astype(np.uint32)[at] for own, at, _ in parts])
+        parts.clear()
+        pairs, trained = pairs_of(place, np.repeat(np.array(gone, bool), sizes), int(np.searchsorted(known, END)), len(known))
         edges = np.concatenate([[0], np.cumsum(sizes)])
         rows = []
         for i, doc in enumerate(ids):
-            rows.append({"kind": 1, "bucket": bucket, "id": doc, "held": gone[i], "a": pack(place[edges[i] : edges[i + 1]].astype(np.uint32))})
+            rows.append({"kind": 1, "bucket": bucket, "id": doc, "held": gone[i], "a": pack(place[edges[i] : edges[i + 1]])})
             if len(rows) >= 2000:
                 yield _rows(rows)
                 rows = []
         yield _rows(rows)
+        del rows, place
         shard = shard_of(known, shards)
-        word, context = np.divmod(pairs, len(known))
+        word, context = (x.astype(np.uint32) for x in np.divmod(pairs, len(known)))
+        del pairs
         per_word = np.bincount(word, minlength=len(known)).astype(np.uint32)
         pair_edges = np.concatenate([[0], np.cumsum(per_word.astype(np.int64))])
         for s in np.unique(shard):
@@ -149,10 +170,12 @@ def gather(docs: DataFrame, shards: int) -> DataFrame:
 
     def gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number, size, parts, ids, gone = 0, 0, [], [], []
-        for batch in slices(batches):
+        for batch in slices(batches, limit=STEP):
             data, bounds = text_bytes(batch.column(1))
             words, _, edges = tokens(data, bounds)
-            parts.append((words, np.diff(edges)))
+            # a token is kept as the number of its word in the slice
+            own, at = np.unique(words, return_inverse=True)
+            parts.append((own, at.astype(np.uint32), np.diff(edges)))
             for doc in batch.column(0).to_pylist():
                 ids.append(doc)
                 gone.append(doc is not None and zlib.crc32(str(doc).encode()) % HELD == 0)
@@ -496,7 +519,7 @@ def totals(docs: DataFrame, said: DataFrame, fixed: list[np.ndarray]) -> DataFra
     kinds = [pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64()]
 
     def bucket_rows(parts: list[dict], texts: list[dict]) -> Iterator[pa.RecordBatch]:
-        (n, *of_words), (count, *tables) = ([np.concatenate([unpack(p[c][i], np.int64) for p in parts]) for i in range(len(parts[0][c]))] for c in ("of_words", "of_pairs"))
+        (n, *of_words), (count, *tables) = ([np.concatenate([narrow(unpack(p[c][i], np.int64)) for p in parts]) for i in range(len(parts[0][c]))] for c in ("of_words", "of_pairs"))
         parts.clear()
         places = [unpack(t["a"], np.uint32) for t in texts]
         sizes, words = np.array([len(p) for p in places]), np.concatenate(places)
