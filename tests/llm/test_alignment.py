@@ -84,3 +84,33 @@ def test_stretches_come_back(parts):
 def test_op11(spark, folder):
     texts = [(r.doc_id, r.text) for r in spark.read.parquet(f"{folder}/documents.parquet").collect()]
     assert result(LLM_QUERIES["op11_alignment"](spark, folder), "doc_id", *COLUMNS[1:]) == sorted(alignment.brute_force(texts), key=repr)
+
+
+def test_a_slice_of_texts_takes_little_memory(monkeypatch):
+    """What numpy and Python hold at most over texts of several slices."""
+    import tracemalloc
+
+    import pyarrow as pa
+    import pyspark
+
+    class Task:
+        get = staticmethod(lambda: Task)
+        partitionId = staticmethod(lambda: 0)  # noqa: N815
+
+    class Table:
+        def mapInArrow(self, run, schema):
+            return run
+
+    rng = random.Random(12)
+    words = ["".join(rng.choice("abcdefgh") for _ in range(rng.randint(2, 6))) for _ in range(2000)]
+    texts = [" ".join(rng.choice(words) for _ in range(400)) for _ in range(1500)]
+    monkeypatch.setattr(pyspark, "TaskContext", Task)
+    alignment.encoders(alignment.VOCABULARIES)
+    run = alignment.align_short(Table(), alignment.VOCABULARIES, 0)
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], ["id", "text"])
+    assert batch.nbytes > 2 << 20
+    tracemalloc.start()
+    rows = sum(b.num_rows for b in run(iter([batch])))
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert rows > len(texts) and most < 130e6

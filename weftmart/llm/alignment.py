@@ -39,7 +39,7 @@ from weftmart.operators.joins import join_grouped
 from weftmart.session import materialise
 
 #: bytes of a slice of texts, of a piece of a long text, and of the byte range of one fragment
-SLICE, PIECE, RANGE = 2 << 20, 32 << 10, 8 << 10
+SLICE, PIECE, RANGE = 1 << 20, 32 << 10, 8 << 10
 #: fragments that one task composes in a round of the reduction
 FAN = 16
 #: stretches that are encoded in one call, and those that a task remembers
