@@ -87,6 +87,31 @@ def test_near_duplicates_equal_brute_force(spark):
     assert minhash.near_duplicates(docs.limit(0)).count() == 0
 
 
+def test_a_large_component_meets_few_others_in_blocks(spark, monkeypatch):
+    """Near copies that fill buckets beyond a group, and a few texts that share keys with them: some linked by one pair only."""
+    rng = random.Random(11)
+    words = [f"v{i}" for i in range(120)]
+
+    def changed(some, n):
+        some = list(some)
+        for i in rng.sample(range(len(some)), n):
+            some[i] = f"z{rng.random()}"
+        return some
+
+    rows = [(i, " ".join(changed(words, 2))) for i in range(60)]
+    rows += [(100 + i, " ".join(words[:60] + [f"u{i}x{j}" for j in range(60)])) for i in range(2)]
+    rows += [(200, " ".join(changed(rows[7][1].split(), 3)))]
+    wanted = [(d, n, c) for d, n, c, _ in minhash.brute_force(rows)]
+    assert len({c for _, _, c in wanted}) > 1
+
+    def unused(rows, plan, level):
+        raise AssertionError("a bucket of one component and a few others was cut by further symbols")
+
+    monkeypatch.setattr(minhash, "further_keys", unused)
+    got = minhash.near_duplicates(frame(spark, rows), plan=minhash.Plan(group=16))
+    assert result(got, "id", "n_shingles", "component") == sorted(wanted, key=repr)
+
+
 def test_every_pair_within_the_radius_shares_a_key():
     plan, rng = minhash.Plan(), np.random.default_rng(2)
     for _ in range(200):
