@@ -276,6 +276,32 @@ def test_fingerprints_equal_brute_force(spark, monkeypatch):
         assert result(imatch.fingerprints(docs), "id", "fingerprint", "edited_fingerprint", "near_edited", "near_next") == sorted(wanted, key=repr)
 
 
+def test_fingerprints_in_waves(spark, monkeypatch):
+    """Terms travel in waves of buckets: repeated rows, a null id and the wrap from last to first give the same in any of them."""
+    rng = random.Random(3)
+    rows = [(i // 2, sentence(rng, rng.randint(0, 60))) for i in range(120)] + [(7, "one two three")] * 5 + [(None, "w1 w2 w3"), (None, None)]
+    docs = frame(spark, rows, "id long, text string")
+    band = imatch.Lexicon(idf_low=0.5, least_documents=2)
+    whole = result(imatch.fingerprints(docs, band), "id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next")
+    written = []
+    write = imatch.write_table
+
+    def counting(df, path, **more):
+        made = write(df, path, **more)
+        written.append(made.count() if more else 0)
+        return made
+
+    monkeypatch.setattr(imatch, "write_table", counting)
+    monkeypatch.setattr(imatch, "BUCKET", 8)
+    monkeypatch.setattr(imatch, "WAVE", 3)
+    for bound in (imatch.BROADCAST_BYTES, 0):
+        written.clear()
+        monkeypatch.setattr(imatch, "BROADCAST_BYTES", bound)
+        assert result(imatch.fingerprints(docs, band), "id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next") == whole
+        waves = np.diff([n for n in written if n], prepend=0)
+        assert len(waves) >= 4 and max(waves) < len(rows) / 2
+
+
 def test_budget_fits_as_exactly_as_sizes_allow():
     rng = np.random.default_rng(3)
     for _ in range(60):
