@@ -108,6 +108,25 @@ def test_pairs_of_a_bucket_with_little_memory():
     assert most < 6 * words.nbytes
 
 
+def test_a_stored_shard_comes_back_with_little_memory():
+    """The same dishes, in less than five times the bytes of their counts, as nothing is sorted again."""
+    import tracemalloc
+
+    rng = np.random.default_rng(4)
+    per_word = np.full(4000, 50)
+    contexts = np.concatenate([np.sort(rng.choice(lm.CHILDREN, 50, replace=False)) for _ in range(4000)])
+    x = lm.Shard(np.arange(4000).astype(np.uint64), per_word, contexts, rng.geometric(0.1, len(contexts)))
+    row = next(lm._by_row(iter([lm._state_row(3, x, [])])))
+    tracemalloc.start()
+    y = lm._shard_of(row)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    for name in ("words", "word", "heads", "head", "keys", "counts"):
+        assert (getattr(x, name) == getattr(y, name)).all()
+    assert all((a == b).all() for a, b in zip(x.tables, y.tables, strict=True))
+    assert most < 5 * x.counts.nbytes
+
+
 def test_op12(spark, folder):
     texts = [(r.doc_id, r.text) for r in spark.read.parquet(f"{folder}/documents.parquet").collect()]
     got = rows_of(LLM_QUERIES["op12_language_model"](spark, folder).withColumnRenamed("doc_id", "id"))

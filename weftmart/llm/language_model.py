@@ -30,6 +30,7 @@ import zlib
 from collections.abc import Iterator
 from copy import copy
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -38,7 +39,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from weftmart.llm.common import U64, slices, text_bytes, two_columns
 from weftmart.llm.minhash import word_hashes
-from weftmart.session import discard, freed_shuffles, read_if_there, scratch_path, write_table
+from weftmart.session import discard, freed_shuffles, read_if_there, scratch_path, small_batches, write_table
 
 #: bytes of text of a bucket, and of the corpus per shard
 BUCKET, SHARD = 12 << 20, 32 << 20
@@ -48,6 +49,8 @@ STEP = 1 << 19
 PARTS = 16
 #: the shards answer in so many jobs, so that only a share of what they are asked lies in a shuffle beside its table
 WAVES = 4
+#: rows of an Arrow batch, where a row holds lists of a shard or of a bucket and shard
+ROWS = 16
 #: sweeps to warm up, and sweeps whose probabilities are averaged
 WARM, SAMPLES = 1, 2
 #: customers of a dish that come back one by one, and the share of the seated that then come at once
@@ -239,15 +242,26 @@ def found(keys: np.ndarray, of: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Shard:
-    """All dishes of some words: counts by (word, context), with tables there and at the root."""
+    """All dishes of some words: counts by (word, context), with tables there and at the root.
 
-    def __init__(self, words, per_word, contexts, counts, tables=None):
+    ``contexts`` are numbers among the sorted ``heads`` if these are given."""
+
+    def __init__(self, words, per_word, contexts, counts, tables=None, heads=None):
         self.words, self.counts = np.asarray(words, U64), counts
-        self.word = np.repeat(np.arange(len(words)), per_word)
-        self.heads, self.head = np.unique(np.asarray(contexts, U64), return_inverse=True)
-        self.keys = self.word * max(len(self.heads), 1) + self.head
+        self.word = np.repeat(np.arange(len(words), dtype=np.uint32), per_word)
+        if heads is None:
+            heads, contexts = np.unique(np.asarray(contexts, U64), return_inverse=True)
+        self.heads, self.head = heads, np.asarray(contexts, np.uint32)
         self.tables = tables or [np.ones(len(counts), np.int64), np.ones(len(words), np.int64)]
 
+    @cached_property
+    def keys(self) -> np.ndarray:
+        """The pairs in order, by which they are looked up."""
+        keys = self.word.astype(np.int64)
+        keys *= max(len(self.heads), 1)
+        keys += self.head
+        return keys
+
     def customers(self) -> list[np.ndarray]:
         return [self.counts, np.bincount(self.word, weights=self.tables[0], minlength=len(self.words)).astype(np.int64)]
 
@@ -317,8 +331,8 @@ def _state_row(shard: int, x: Shard, kept: list[bytes]) -> pa.RecordBatch:
 def _shard_of(row: dict, state: int = -1) -> Shard:
     at = state % (len(row["tables"]) // 2) * 2
     tables = [unpack(b, np.int64).copy() for b in row["tables"][at : at + 2]]
-    contexts = unpack_sorted(row["heads"])[unpack(row["head"], np.uint32)]
-    return Shard(unpack_sorted(row["words"]), unpack(row["per_word"], np.uint32), contexts, unpack(row["counts"], np.int64), tables)
+    head, heads = unpack(row["head"], np.uint32), unpack_sorted(row["heads"])
+    return Shard(unpack_sorted(row["words"]), unpack(row["per_word"], np.uint32), head, unpack(row["counts"], np.int64), tables, heads)
 
 
 def _by_row(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
@@ -483,10 +497,11 @@ def answers(asked: DataFrame, state: DataFrame, contexts: list[DataFrame]) -> Da
             if row["kind"] == 0:
                 state_row = {"words": row["a"], "per_word": row["b"], "heads": row["c"], "head": row["d"], "counts": row["e"], "tables": row["tables"]}
                 x = _shard_of(state_row)
+                x.counts, _ = narrow(x.counts), x.keys  # which all samples share
                 seats = []
                 for s in range(samples):  # the samples differ in their tables only
                     one = copy(x)
-                    one.tables = [unpack(b, np.int64) for b in row["tables"][2 * s : 2 * s + 2]]
+                    one.tables = [narrow(unpack(b, np.int64)) for b in row["tables"][2 * s : 2 * s + 2]]
                     seats.append((one, one.by_word()))
                 continue
             if not seats:  # a shard always has a state, be it without words
@@ -497,7 +512,7 @@ def answers(asked: DataFrame, state: DataFrame, contexts: list[DataFrame]) -> Da
                 (n, *root), (count, tables) = x.seated(by_word, words, per_word, heads, head)
                 of_words += [*([n] if s == 0 else []), *root, *known.get(s, _restaurants(nothing, [])).at(words)]
                 of_pairs += [*([count] if s == 0 else []), tables]
-            values = [row["bucket"], shard, [pack(v) for v in of_words], [pack(v) for v in of_pairs]]
+            values = [row["bucket"], shard, *([pack(np.asarray(v, np.int64)) for v in some] for some in (of_words, of_pairs))]
             yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(values, [pa.int64(), pa.int64(), pa.list_(pa.binary()), pa.list_(pa.binary())], strict=True)], ["bucket", "shard", "of_words", "of_pairs"])
 
     none = lambda kind, *names: [F.lit(None).cast(kind).alias(n) for n in names]
@@ -582,6 +597,7 @@ def score(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text")
         gather(texts, shards).write.partitionBy("kind").parquet(path)
         schema = GATHERED.removeprefix("kind int, ")
         asked, texts = (read_if_there(spark, f"{path}/kind={k}", schema) for k in (0, 1))
+    with freed_shuffles(spark), small_batches(spark, ROWS):
         state, stored = store(first_state(asked), "lm-state")
         samples, used = [], [f"{path}/kind=0"]
         for number in range(WARM + SAMPLES + 1):
