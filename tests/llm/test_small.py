@@ -220,6 +220,32 @@ def test_suffix_arrays_are_sorted():
         assert shared[k] == min(common, 50)
 
 
+def test_cut_and_owners_equal_plain_loops():
+    """Ranges that touch, overlap, and end where the next text begins; empty texts between the others; a null list."""
+    import pyarrow as pa
+
+    texts = ["", "abcdefghij" * 8, "", "0123456789" * 7, "xy" * 30, ""]
+    ranges = [None, [(0, 50), (50, 60), (10, 55), (70, 80)], [], [(0, 70)], [(0, 50), (55, 60)], []]
+    wanted = []
+    for doc, (text, some) in enumerate(zip(texts, ranges)):
+        gone = [any(a <= i < b for a, b in some or ()) for i in range(len(text))]
+        spans = sum(g and not (i and gone[i - 1]) for i, g in enumerate(gone))
+        wanted.append((doc, len(text), sum(gone), spans, "".join(c for c, g in zip(text, gone) if not g).encode()))
+    kind = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))
+    lists = pa.array([x and [{"start": a, "stop": b} for a, b in x] for x in ranges], kind)
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts), lists], ["id", "text", "ranges"])
+    for some in ([batch], [batch.slice(0, 3), batch.slice(3)]):
+        got = [tuple(r.values()) for b in suffix_dedup._cut(iter(some)) for r in b.to_pylist()]
+        assert got == wanted
+    data = np.frombuffer("".join(texts).encode(), np.uint8)
+    bounds = np.cumsum([0, *map(len, texts)])
+    with np.errstate(over="ignore"):
+        _, first, last, owner, place = suffix_dedup.anchors_of(data, bounds, 50)
+    starts = [p for a, b in zip(first, last) for p in range(a, b + 1)]
+    assert starts == [p for a, b in zip(bounds, bounds[1:]) for p in range(a, b - 49)]
+    assert all(bounds[o] <= a <= b <= bounds[o + 1] - 50 and a <= p <= a + 34 for a, b, o, p in zip(first, last, owner, place))
+
+
 def test_fingerprints(spark):
     rows = [(d, t) for d, t in corpus() if d != 303] + [(7, corpus()[7][1]), (None, "w1 w2 w3")]
     found = imatch.fingerprints(frame(spark, rows, "id long, text string")).collect()
