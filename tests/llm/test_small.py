@@ -112,6 +112,34 @@ def test_a_large_component_meets_few_others_in_blocks(spark, monkeypatch):
     assert result(got, "id", "n_shingles", "component") == sorted(wanted, key=repr)
 
 
+def test_tables_of_links_are_written_by_a_few_tasks_per_core(spark, monkeypatch):
+    from pathlib import Path
+
+    from weftmart import session
+    from weftmart.llm.common import components
+
+    paths, path_of = [], session.scratch_path
+
+    def noted(*args):
+        paths.append(path_of(*args))
+        return paths[-1]
+
+    monkeypatch.setattr(session, "scratch_path", noted)
+    held = {"spark.sql.shuffle.partitions": "60", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in held}
+    for k, v in held.items():
+        spark.conf.set(k, v)
+    try:
+        # chains of four, whose ends meet in several steps
+        edges = spark.range(2000).where("id % 4 > 0").selectExpr("id AS a", "id - 1 AS b")
+        assert result(components(edges), "id", "component") == sorted(((i, i - i % 4) for i in range(2000)), key=repr)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    files = [len(list(Path(p.removeprefix("file://")).glob("*.parquet"))) for p in paths]
+    assert len(files) > 1 and max(files) <= max(24, 4 * spark.sparkContext.defaultParallelism) < 60
+
+
 def test_every_pair_within_the_radius_shares_a_key():
     plan, rng = minhash.Plan(), np.random.default_rng(2)
     for _ in range(200):
