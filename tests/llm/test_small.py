@@ -112,6 +112,50 @@ def test_a_large_component_meets_few_others_in_blocks(spark, monkeypatch):
     assert result(got, "id", "n_shingles", "component") == sorted(wanted, key=repr)
 
 
+def test_many_small_groups_and_large_ones_are_compared_a_batch_at_a_time():
+    """Pairs of groups against brute force, and no output batch per group."""
+    import pyarrow as pa
+
+    plan, rng = minhash.Plan(), np.random.default_rng(4)
+    rows = []
+    for key, size in enumerate([2] * 1500 + [1, 3, 64, 65, 200, 1, 130]):
+        base, two = rng.integers(0, 1 << 16, plan.symbols, np.uint16), size == 130
+        for _ in range(size):
+            marks = base.copy()
+            marks[rng.permutation(plan.symbols)[: rng.integers(0, 26)]] ^= 1
+            block = int(rng.integers(0, 2)) if two else 0
+            # sets of which about half or most is shared
+            shingles = np.unique(rng.choice(16 if key % 2 else 40, 13)).astype(np.uint64) << np.uint64(40)
+            rows.append((key, 0, int(two), len(rows), int(rng.integers(0, 9)), 20, block, len(shingles), marks.tobytes(), shingles.tobytes()))
+    names = ["key", "low", "high", "node", "component", "choice", "block", "n", "signature", "shingles"]
+    table = pa.table({c: pa.array(x, pa.binary() if c in names[8:] else pa.int64()) for c, x in zip(names, zip(*rows, strict=True), strict=True)})
+    met, links, best = set(), set(), {}
+    for _, group in itertools.groupby(rows, key=lambda r: r[:3]):
+        for x, y in itertools.combinations(group, 2):
+            if x[4] == y[4] or 100 * min(x[7], y[7]) < plan.percent * max(x[7], y[7]) or (x[2] and x[6] == y[6]):
+                continue
+            same = np.frombuffer(x[8], np.uint16) == np.frombuffer(y[8], np.uint16)
+            apart = int((~same).sum())
+            for one, other in ((x, y), (y, x)):
+                if apart <= plan.likely:
+                    best[one[3]] = min(best.get(one[3], (99, 0)), (apart, other[3]))
+            if apart <= plan.radius and not any(same[kept].all() for kept in plan.choices()[:20]):
+                met |= {x[3], y[3]}
+                a, b = (set(np.frombuffer(r[9], np.uint64).tolist()) for r in (x, y))
+                if 100 * len(a & b) >= plan.percent * len(a | b):
+                    links.add((x[3], y[3]))
+    assert met and links and best
+    batches = table.to_batches(max_chunksize=500)
+    active = list(minhash._active(plan)(iter(batches)))
+    assert {n for b in active for n in b["node"].to_pylist()} == met
+    assert len(active) <= len(batches) + 1
+    rows_of = lambda found: {(r["a"], r["b"]) for b in found for r in b.to_pylist()}
+    assert rows_of(minhash._links(plan)(iter(batches))) == links
+    nearest = list(minhash._nearest(plan)(iter(batches)))
+    assert rows_of(nearest) == {(min(n, m), max(n, m)) for n, (_, m) in best.items()}
+    assert len(nearest) <= len(batches) + 1
+
+
 def test_tables_of_links_are_written_by_a_few_tasks_per_core(spark, monkeypatch):
     from pathlib import Path
 
