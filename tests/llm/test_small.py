@@ -230,6 +230,44 @@ def test_no_task_holds_a_hot_anchor(spark, monkeypatch):
         assert (held.pop() or 0) <= hot * 8
 
 
+def test_only_surroundings_with_an_equal_half_beside_them_are_sent(spark, monkeypatch):
+    """Grams shared by many documents without a longer string, passages just long enough, and too many documents to broadcast."""
+    from pathlib import Path
+
+    from weftmart import session
+
+    rng = random.Random(13)
+    edge = lambda n: "".join(rng.choice("abcdefgh") for _ in range(n))
+    grams = [edge(20) for _ in range(4)]
+    rows = [(i, "".join(edge(40) + rng.choice(grams) for _ in range(6)) + edge(40)) for i in range(80)]
+    held = [edge(50), edge(51), edge(90)]
+    rows += [(100 + i, edge(60) + held[i % 3] + edge(60)) for i in range(12)]
+    rows += [(200, held[0]), (201, held[0]), (202, rows[0][1]), (None, rows[0][1]), (203, held[2][:49]), (204, None), (205, held[1])]
+    wanted = sorted([(d, n, r, s) for d, n, r, s, _ in suffix_dedup.brute_force(rows)], key=repr)
+    sent, whole = [], suffix_dedup.covered
+    paths, path_of = [], session.scratch_path
+
+    def watched(around, length):
+        sent.append({i for r in around.select("ids").collect() for i in r.ids})
+        return whole(around, length)
+
+    def noted(*args):
+        paths.append(path_of(*args))
+        return paths[-1]
+
+    monkeypatch.setattr(suffix_dedup, "covered", watched)
+    monkeypatch.setattr(session, "scratch_path", noted)
+    for bound in (suffix_dedup.BROADCAST_IDS, 0):
+        monkeypatch.setattr(suffix_dedup, "BROADCAST_IDS", bound)
+        got = suffix_dedup.without_repeats(frame(spark, rows))
+        assert result(got, "id", "n_bytes", "n_removed", "n_spans") == wanted
+        # documents that share a gram only
+        assert sent.pop() <= {d for d, _ in rows if d is not None and d >= 100} | {0}
+    # tables of steps that are done are gone
+    left = [p for p in paths if Path(p.removeprefix("file://")).exists()]
+    assert len(left) <= 4 < len(paths)
+
+
 def test_lonely_surroundings_share_no_string():
     """Surroundings of one anchor and of others, most of which share less than a string with any other of their anchor."""
     import pyarrow as pa
